@@ -6,18 +6,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigear.functions import vectors as vx
-from lexigear.operators.weighting import Vocabulary, row_entries
+from lexigear.operators.weighting import Vocabulary
 
 # Largest piece of the term factors shipped to the executors at once.
 MAX_SHIPPED_BYTES = 256 * 1024 * 1024
-# Entries handled by one array operation while projecting documents.
-ENTRIES_PER_STEP = 50_000
+# Columns of one row of a summed block.
+PIECE = 32
+# Doubles held by one array operation inside a task.
+DOUBLES_PER_STEP = 2_000_000
+# Up to this many terms the product of all columns takes one pass.
+SMALL = 256
+# Blocks of directions kept on the driver.
+MAX_BLOCKS = 12
+# A singular value below this part of the largest counts as zero.
+RANK_TOLERANCE = 1e-9
 
 
 @dataclass(frozen=True)
@@ -57,62 +65,154 @@ class LsaModel:
         return LsaModel(self.vocab, self.sigma[:k], self.v[:, :k], documents)
 
 
-def factorize(matrix: DataFrame, num_terms: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+def gram_times(matrix: DataFrame, x: np.ndarray) -> np.ndarray:
+    """``A' (A X)`` for a local block ``x`` (terms x b), in one pass over the documents.
+
+    Every task adds up its share and cuts it into pieces of ``PIECE`` columns; Spark
+    sums the shares per piece.  The piece has a fixed width, so that the plan and its
+    generated code are the same for every ``b``.
+    """
+    padded = np.pad(x, ((0, 0), (0, -x.shape[1] % PIECE)))
+    shipped = matrix.sparkSession.sparkContext.broadcast(padded)
+    step = max(1, DOUBLES_PER_STEP // padded.shape[1])
+    names = [f"c{i}" for i in range(PIECE)]
+
+    def shares(batches):
+        block = shipped.value
+        share = np.zeros(block.shape)
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column("ids")).to_numpy(zero_copy_only=False)
+            ids = batch.column("ids").flatten().to_numpy()
+            weights = batch.column("weights").flatten().to_numpy()
+            sizes = sizes[sizes > 0]
+            ends = sizes.cumsum()
+            first = 0
+            while first < len(sizes):
+                # As many documents as fit the step, but at least one.
+                begin = ends[first] - sizes[first]
+                last = max(first + 1, int(np.searchsorted(ends, begin + step, "right")))
+                part = slice(begin, ends[last - 1])
+                i, w = ids[part], weights[part, None]
+                starts = ends[first:last] - sizes[first:last] - begin
+                projected = np.add.reduceat(block[i] * w, starts, axis=0)
+                # The same entries again, grouped by term.
+                order = np.argsort(i, kind="stable")
+                doc = np.repeat(np.arange(last - first), sizes[first:last])
+                terms, heads = np.unique(i[order], return_index=True)
+                share[terms] += np.add.reduceat(projected[doc[order]] * w[order], heads, axis=0)
+                first = last
+        pieces = share.reshape(-1, PIECE)
+        used = np.flatnonzero(pieces.any(axis=1))
+        columns = [pa.array(column) for column in np.ascontiguousarray(pieces[used].T)]
+        yield pa.RecordBatch.from_arrays([pa.array(used), *columns], names=["piece", *names])
+
+    schema = "piece long, " + ", ".join(f"{name} double" for name in names)
+    parts = matrix.select("ids", "weights").mapInArrow(shares, schema)
+    sums = parts.groupBy("piece").sum(*names).toArrow()
+    shipped.destroy()
+    out = np.zeros(padded.shape)
+    out.reshape(-1, PIECE)[sums.column("piece").to_numpy()] = np.column_stack(
+        [sums.column(i + 1).to_numpy() for i in range(PIECE)]
+    )
+    return out[:, : x.shape[1]]
+
+
+def _orthonormal(x: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    for _ in range(2):
+        x = np.linalg.qr(x - basis @ (basis.T @ x))[0]
+    return x
+
+
+def factorize(
+    matrix: DataFrame, num_terms: int, k: int, tol: float = 1e-9, max_passes: int = 60
+) -> tuple[np.ndarray, np.ndarray]:
     """The ``k`` largest singular values and right singular vectors (terms x k).
 
-    ``matrix`` has a vector column ``weights``; persist it, the solver passes over it
-    many times.  Fewer than ``k`` values come back if the rank is lower.  The sign of a
-    concept is arbitrary; here its entry of largest magnitude is positive.
+    ``matrix`` has the arrays ``ids`` and ``weights``; persist it, every step is a pass
+    over it.  A pass multiplies a whole block of somewhat more than ``k`` directions and
+    the next block is what the directions found so far leave unexplained.  That takes
+    about a dozen passes, where multiplying one direction at a time takes hundreds.  Up
+    to a few hundred terms a single pass gives the exact product of all columns.
+
+    It ends when all ``k`` residuals are below ``tol``, relative to the largest
+    eigenvalue of ``A'A``.  Fewer than ``k`` values come back if the rank is lower.  The
+    sign of a concept is arbitrary; here its entry of largest magnitude is positive.
     """
-    rows = MLUtils.convertVectorColumnsFromML(matrix.select("weights"), "weights")
-    svd = RowMatrix(rows, numCols=num_terms).computeSVD(min(k, num_terms))
-    sigma = np.array(svd.s.toArray())
-    v = np.array(svd.V.toArray())
+    k = min(k, num_terms)
+    width = min(num_terms, PIECE * -(-(k + max(10, k // 4)) // PIECE))
+    if num_terms <= max(SMALL, 2 * width):
+        width = num_terms
+    block = np.eye(num_terms) if width == num_terms else _orthonormal(
+        np.random.default_rng(0).standard_normal((num_terms, width)), np.empty((num_terms, 0))
+    )
+    basis = image = np.empty((num_terms, 0))
+    for number in range(max_passes):
+        basis = np.hstack([basis, block])
+        image = np.hstack([image, gram_times(matrix, block)])
+        small = basis.T @ image
+        values, mix = np.linalg.eigh((small + small.T) / 2)
+        values, mix = values[::-1], mix[:, ::-1]
+        top = mix[:, :width]
+        rest = image @ top - basis @ (top * values[:width])
+        worst = np.linalg.norm(rest[:, :k], axis=0).max()
+        if worst <= tol * max(values[0], 0.0) or basis.shape[1] >= num_terms:
+            break
+        if basis.shape[1] + width > MAX_BLOCKS * width:
+            # Keep the best directions only; their images need no new pass.
+            kept = mix[:, : MAX_BLOCKS // 2 * width]
+            basis, image = basis @ kept, image @ kept
+        block = _orthonormal(rest, basis)[:, : num_terms - basis.shape[1]]
+    else:
+        raise ArithmeticError(f"no convergence after {max_passes} passes, residual {worst}")
+    sigma = np.sqrt(np.maximum(values[:k], 0.0))
+    real = sigma > RANK_TOLERANCE * sigma[0]
+    v = (basis @ mix[:, :k])[:, real]
+    if not v.size:
+        return sigma[real], v
     largest = v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])]
-    return sigma, v * np.where(largest < 0, -1.0, 1.0)
+    return sigma[real], v * np.where(largest < 0, -1.0, 1.0)
 
 
 def _times(spark: SparkSession, right: np.ndarray):
-    """A function of a sparse row column that multiplies it by the matrix ``right``."""
+    """A function of the arrays of a sparse row that multiplies it by ``right``."""
     shipped = spark.sparkContext.broadcast(np.ascontiguousarray(right))
+    step = max(1, DOUBLES_PER_STEP // max(1, right.shape[1]))
 
     @F.pandas_udf("array<double>")
-    def multiply(entries_ids: pd.Series, entries_values: pd.Series) -> pd.Series:
+    def multiply(ids: pd.Series, weights: pd.Series) -> pd.Series:
         factors = shipped.value
-        out = np.zeros((len(entries_ids), factors.shape[1]))
-        sizes = entries_ids.map(len).to_numpy()
-        start = 0
-        while start < len(sizes):
-            # Take as many documents as fit the step, but at least one.
-            stop = start + max(1, int(np.searchsorted(sizes[start:].cumsum(), ENTRIES_PER_STEP, "right")))
-            filled = [i for i in range(start, stop) if sizes[i]]
-            if filled:
-                ids = np.concatenate([entries_ids.iloc[i] for i in filled])
-                values = np.concatenate([entries_values.iloc[i] for i in filled])
-                firsts = np.concatenate([[0], sizes[filled].cumsum()[:-1]])
-                out[filled] = np.add.reduceat(factors[ids] * values[:, None], firsts, axis=0)
-            start = stop
+        out = np.zeros((len(ids), factors.shape[1]))
+        sizes = ids.map(len).to_numpy()
+        filled = np.flatnonzero(sizes)
+        ends = sizes[filled].cumsum()
+        first = 0
+        while first < len(filled):
+            begin = ends[first] - sizes[filled[first]]
+            last = max(first + 1, int(np.searchsorted(ends, begin + step, "right")))
+            docs = filled[first:last]
+            i = np.concatenate(ids.iloc[docs].to_list())
+            w = np.concatenate(weights.iloc[docs].to_list())
+            starts = ends[first:last] - sizes[docs] - begin
+            out[docs] = np.add.reduceat(factors[i] * w[:, None], starts, axis=0)
+            first = last
         return pd.Series(list(out))
 
     return multiply
 
 
 def project(matrix: DataFrame, sigma: np.ndarray, v: np.ndarray) -> DataFrame:
-    """Replace ``weights`` by ``u``, the document's row of ``U = A V / S``.
+    """Replace ``ids`` and ``weights`` by ``u``, the document's row of ``U = A V / S``.
 
     Each document is multiplied where it lies.  The term factors go to the executors in
     blocks of concepts, so that one block stays below a fixed size.
     """
     scaled = v / sigma
     width = max(1, MAX_SHIPPED_BYTES // max(1, scaled.shape[0] * 8))
-    split = matrix.withColumn("_entries", row_entries("weights"))
     blocks = [
-        _times(matrix.sparkSession, scaled[:, i : i + width])(
-            F.col("_entries.term_id"), F.col("_entries.weight")
-        )
+        _times(matrix.sparkSession, scaled[:, i : i + width])("ids", "weights")
         for i in range(0, scaled.shape[1], width)
     ]
-    return split.withColumn("u", F.concat(*blocks)).drop("_entries", "weights")
+    return matrix.withColumn("u", F.concat(*blocks) if len(blocks) > 1 else blocks[0]).drop("ids", "weights")
 
 
 def lsa_fit(matrix: DataFrame, vocab: Vocabulary, k: int) -> LsaModel:

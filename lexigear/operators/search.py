@@ -159,11 +159,6 @@ def batch_search(
     return reduce(DataFrame.unionByName, results)
 
 
-def _best_of_batch(scores: np.ndarray, n: int) -> np.ndarray:
-    """Row numbers of the ``n`` largest scores per column; equal ones in row order."""
-    return np.argsort(-scores, axis=0, kind="stable")[:n]
-
-
 def _one_pass(model: LsaModel, names: list, block: np.ndarray, n: int, cosine: bool, id_type) -> DataFrame:
     if cosine:
         length = np.linalg.norm(block, axis=1)
@@ -186,7 +181,8 @@ def _one_pass(model: LsaModel, names: list, block: np.ndarray, n: int, cosine: b
             by_id = np.argsort(pdf.doc_id.to_numpy(), kind="stable")
             pdf, us = pdf.iloc[by_id], us[by_id]
             scores = np.round(us @ block.T, DIGITS) + 0.0
-            rows = _best_of_batch(scores, n)
+            # Largest first; a stable sort leaves equal scores in order of id.
+            rows = np.argsort(-scores, axis=0, kind="stable")[:n]
             found = pdf[["doc_id", "title"]].iloc[rows.ravel()].assign(
                 query_no=np.tile(numbers, len(rows)),
                 score=np.take_along_axis(scores, rows, axis=0).ravel(),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +13,7 @@ from lexigear.functions.stopwords import ENGLISH
 FEATURES = "features"
 
 # A word list up to this size travels with the plan; a longer one is joined.
-MAX_LIST = 100_000
+MAX_LIST = 10_000
 
 # Noun endings and what replaces them.
 NOUN_SUFFIXES = (
@@ -23,12 +22,6 @@ NOUN_SUFFIXES = (
 )
 
 
-def _without_listed(df: DataFrame, words: list[str], column: str) -> DataFrame:
-    kept = f"_{column}_kept"
-    remover = StopWordsRemover(inputCol=column, outputCol=kept, stopWords=words, caseSensitive=True)
-    return remover.transform(df).withColumn(column, F.col(kept)).drop(kept)
-
-
 def _without_joined(df: DataFrame, words: DataFrame, column: str, key: str) -> DataFrame:
     """Anti join for word lists too long to ship.
 
@@ -58,7 +51,10 @@ def drop_words(
         if len(listed) > max_list:
             return _without_joined(df, stop_words, column, key)
         stop_words = listed
-    return _without_listed(df, stop_words, column) if stop_words else df
+    if not stop_words:
+        return df
+    # A long IN list becomes one hash set, looked up once per token.
+    return df.withColumn(column, F.filter(column, lambda t: ~t.isin(stop_words)))
 
 
 def filter_terms(

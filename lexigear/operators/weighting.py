@@ -10,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexigear.functions.text import run_lengths
+from lexigear.functions.vectors import literal
 
 # A vocabulary beyond this size is joined by shuffle instead of being broadcast.
 MAX_BROADCAST_TERMS = 1_000_000
@@ -97,37 +97,26 @@ class Vocabulary:
 
 
 def doc_term_matrix(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """The input plus ``weights``, the document's TF-IDF row as a vector.
+    """The input plus the document's TF-IDF row as two arrays, ``ids`` and ``weights``.
 
-    Three transformers in a row, all in the JVM and without a shuffle: count the
-    vocabulary terms, divide by the document length, multiply by idf.  A document
-    without any vocabulary term has a zero row.
+    ``CountVectorizerModel`` counts the vocabulary terms of a document where it lies, so
+    the whole step needs no shuffle.  A document without vocabulary terms has empty
+    arrays: a zero row.
     """
-    length = F.size("features")
-    share = docs.withColumn("_share", F.when(length > 0, 1.0 / length).otherwise(0.0))
-    counted = CountVectorizerModel.from_vocabulary(
-        list(vocab.terms), inputCol="features", outputCol="_counts"
-    ).transform(share)
-    relative = Interaction(inputCols=["_share", "_counts"], outputCol="_relative").transform(counted)
-    weighted = ElementwiseProduct(
-        scalingVec=Vectors.dense(vocab.idf), inputCol="_relative", outputCol="weights"
-    ).transform(relative)
-    return weighted.drop("_share", "_counts", "_relative")
+    counter = CountVectorizerModel.from_vocabulary(
+        list(vocab.terms), inputCol="features", outputCol="_vector"
+    )
+    length, idf = F.size("features"), literal(vocab.idf)
+    counted = counter.transform(docs).select(*docs.columns, F.unwrap_udt("_vector").alias("_raw"))
+    ids, counts = F.col("_raw.indices"), F.col("_raw.values")
+    weights = F.zip_with(ids, counts, lambda i, tf: F.get(idf, i) * tf / length)
+    return counted.select(*docs.columns, ids.alias("ids"), weights.alias("weights"))
 
 
 def matrix_entries(matrix: DataFrame) -> DataFrame:
-    """``doc_id, term_id, weight`` of the non-zero entries of ``doc_term_matrix``."""
-    return matrix.select("doc_id", F.inline(row_entries("weights"))).where("weight <> 0")
-
-
-def row_entries(vector: str):
-    """A vector column as ``array<struct<term_id, weight>>``; dense rows list every entry."""
-    raw = F.unwrap_udt(vector)
-    values = raw["values"]
-    ids = F.coalesce(raw["indices"], F.sequence(F.lit(0), F.size(values) - 1))
-    pairs = F.zip_with(ids, values, lambda i, v: F.struct(i.alias("term_id"), v.alias("weight")))
-    empty = F.array().cast("array<struct<term_id:int,weight:double>>")
-    return F.when(F.size(values) > 0, pairs).otherwise(empty)
+    """``doc_id, term_id, weight`` of the stored entries of ``doc_term_matrix``."""
+    zipped = F.arrays_zip(F.col("ids").alias("term_id"), F.col("weights").alias("weight"))
+    return matrix.select("doc_id", F.inline(zipped))
 
 
 def corpus_stats(docs: DataFrame, num_freq: int) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexigear.functions import vectors as vx
 from lexigear.operators import tokens as tk
 from lexigear.operators import weighting as wt
 from lexigear.operators.decomposition import LsaModel, factorize, lsa_fit
@@ -61,11 +62,8 @@ def grid(
         for num_freq in num_freqs:
             start = time.perf_counter()
             vocab = largest.head(num_freq)
-            matrix = wt.doc_term_matrix(tokens, vocab).select("doc_id", "weights").persist()
-            weight = F.aggregate(
-                wt.row_entries("weights"), F.lit(0.0), lambda acc, e: acc + e["weight"] * e["weight"]
-            )
-            total = matrix.agg(F.sum(weight)).head()[0] or 0.0
+            matrix = wt.doc_term_matrix(tokens, vocab).select("ids", "weights").persist()
+            total = matrix.agg(F.sum(vx.dot(F.col("weights"), F.col("weights")))).head()[0] or 0.0
             sigma, _ = factorize(matrix, len(vocab), max(ks))
             matrix.unpersist()
             seconds = token_seconds + time.perf_counter() - start
