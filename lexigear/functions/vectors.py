@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from lexigear.functions.text import let
 
 # Up to this many terms an expression is written out, so that it joins whole-stage
-# code generation; beyond it a higher-order function keeps the plan small.
-UNROLL_LIMIT = 512
+# code generation; beyond it a higher-order function keeps the generated code within
+# the size the JVM compiles.
+UNROLL_LIMIT = 64
 
 
 def literal(values: Sequence[float]) -> Column:

@@ -118,30 +118,20 @@ def tune_tvs(pipeline: Pipeline, grid: list, evaluator, ratio: float = 0.8, seed
     )
 
 
-def binary_metrics(scored: DataFrame, score: str, label: str = "label") -> DataFrame:
+def binary_metrics(scored: DataFrame, score: str, label: str = "label", bins: int = 0) -> DataFrame:
     """One row: area under the ROC curve and under the precision-recall curve.
 
-    Rows are first counted per distinct score, so what is ordered is the list of
-    scores.  That list goes through one window; round the scores if it is long.
+    ``bins=0`` uses every distinct score as a threshold, which is exact.
     """
-    from pyspark.sql import Window as W
+    scored = scored.select(F.col(score).cast("double").alias("_score"), F.col(label).cast("double").alias("_label"))
 
-    counts = scored.groupBy(F.col(score).alias("s")).agg(
-        F.sum(F.col(label).cast("double")).alias("p"),
-        F.sum(1.0 - F.col(label).cast("double")).alias("n"),
-    )
-    so_far = W.orderBy(F.desc("s")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    curve = counts.withColumn("tp", F.sum("p").over(so_far)).withColumn("fp", F.sum("n").over(so_far))
-    order = W.orderBy(F.desc("s"))
-    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    steps = (
-        curve.withColumn("precision", precision)
-        .withColumn("before", F.coalesce(F.lag("precision").over(order), F.col("precision")))
-    )
-    # Trapezoids between neighbouring thresholds.
-    return steps.agg(
-        (F.sum(F.col("n") * (F.col("tp") - F.col("p") / 2)) / (F.sum("p") * F.sum("n"))).alias("area_under_roc"),
-        (F.sum(F.col("p") * (F.col("precision") + F.col("before")) / 2) / F.sum("p")).alias("area_under_pr"),
+    def area(name: str) -> float:
+        return BinaryClassificationEvaluator(
+            rawPredictionCol="_score", labelCol="_label", metricName=name, numBins=bins
+        ).evaluate(scored)
+
+    return scored.sparkSession.createDataFrame(
+        [(area("areaUnderROC"), area("areaUnderPR"))], "area_under_roc double, area_under_pr double"
     )
 
 

@@ -48,17 +48,16 @@ def assign(df: DataFrame, centers: Centers, column: str = FEATURES) -> DataFrame
 def kmeans_lloyd(df: DataFrame, centers: Centers, iterations: int, column: str = FEATURES) -> Centers:
     """Assign-and-average steps from given centers.
 
-    Each step is one partial aggregation; ``k`` rows reach the driver.  A center
+    Each step is one aggregation, combined before its shuffle; one number per center
+    and dimension reaches the driver.  A center
     without points stays where it is.  Persist ``df``.
     """
     centers = as_matrix(centers)
-    size = len(centers[0])
     for _ in range(iterations):
-        means = [F.avg(F.get(column, F.lit(j))).alias(f"m{j}") for j in range(size)]
-        rows = assign(df, centers, column).groupBy("prediction").agg(*means).collect()
-        for r in rows:
-            if r.prediction is not None:
-                centers[r.prediction] = [r[f"m{j}"] for j in range(size)]
+        values = assign(df, centers, column).select("prediction", F.posexplode(column).alias("dim", "value"))
+        means = values.groupBy("prediction", "dim").agg(F.avg("value").alias("mean"))
+        for r in means.where("prediction IS NOT NULL").collect():
+            centers[r.prediction][r.dim] = r["mean"]
     return centers
 
 

@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexigear.functions.vectors import UNROLL_LIMIT, literal
+
 FEATURES = "features"
 
 
@@ -35,18 +37,21 @@ class Scaling:
     factors: Sequence[float]
 
     def apply(self, df: DataFrame, column: str = FEATURES, out: str = FEATURES) -> DataFrame:
-        parts = [
-            (F.get(column, F.lit(j)) - m) * f for j, (m, f) in enumerate(zip(self.means, self.factors))
-        ]
-        return df.withColumn(out, F.array(*parts))
+        if len(self.means) <= UNROLL_LIMIT:
+            parts = [
+                (F.get(column, F.lit(j)) - m) * f for j, (m, f) in enumerate(zip(self.means, self.factors))
+            ]
+            return df.withColumn(out, F.array(*parts))
+        shifted = F.zip_with(column, literal(self.means), lambda x, m: x - m)
+        return df.withColumn(out, F.zip_with(shifted, literal(self.factors), lambda x, f: x * f))
 
 
 def _moments(df: DataFrame, column: str, deviation) -> tuple[list[float], list[float]]:
-    """Mean and deviation per dimension from one aggregate over the frame."""
-    size = df.select(F.size(column)).head()[0]
-    dims = [F.get(column, F.lit(j)) for j in range(size)]
-    row = df.agg(*[F.avg(d) for d in dims], *[deviation(d) for d in dims]).head()
-    return list(row[:size]), list(row[size:])
+    """Mean and deviation per dimension from one aggregation over the frame."""
+    values = df.select(F.posexplode(column).alias("dim", "value"))
+    rows = values.groupBy("dim").agg(F.avg("value").alias("mean"), deviation("value").alias("dev")).collect()
+    rows.sort(key=lambda r: r.dim)
+    return [r["mean"] for r in rows], [r["dev"] for r in rows]
 
 
 def standard_scaling(df: DataFrame, column: str = FEATURES) -> Scaling:
