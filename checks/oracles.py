@@ -267,7 +267,7 @@ def oracle_sql() -> dict[str, str]:
         "c7_compare_vocabularies": lemma_tokens("documents", "doc_id")
         + f""", l AS (SELECT term, count(*) AS df FROM (SELECT doc_id, unnest(list_distinct(features)) AS term FROM ({REGEX})) GROUP BY term),
 r AS (SELECT term, count(*) AS df FROM (SELECT doc_id, unnest(list_distinct(features)) AS term FROM lem) GROUP BY term)
-SELECT coalesce(l.term, r.term) AS term, CAST(l.df AS BIGINT) AS left_df, CAST(r.df AS BIGINT) AS right_df,
+SELECT coalesce(l.term, r.term) AS term, CAST(coalesce(l.df, 0) AS BIGINT) AS left_df, CAST(coalesce(r.df, 0) AS BIGINT) AS right_df,
 CASE WHEN r.df IS NULL THEN 'left' WHEN l.df IS NULL THEN 'right' ELSE 'both' END AS found_in
 FROM l FULL OUTER JOIN r ON l.term = r.term""",
         "d1_term_freqs": w60 + "SELECT tf.doc_id, term, CAST(tf.tf AS BIGINT) AS tf, CAST(len(features) AS BIGINT) AS doc_len FROM tf JOIN tok USING (doc_id)",

@@ -372,7 +372,8 @@ def c6_with_features(spark, sf):
 
 @query
 def c7_compare_vocabularies(spark, sf):
-    return tk.compare_vocabularies(wt.doc_freqs(regex_docs(spark, sf)), wt.doc_freqs(lemma_docs(spark, sf)))
+    found = tk.compare_vocabularies(wt.doc_freqs(regex_docs(spark, sf)), wt.doc_freqs(lemma_docs(spark, sf)))
+    return found.na.fill(0)
 
 
 @query

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from lexigear.functions.vectors import with_nearest
 from lexigear.operators.features import FEATURES, as_matrix
@@ -19,15 +20,21 @@ def kmeans_fit(
     df: DataFrame, k: int, seed: int | None = 42, max_iter: int = 50, column: str = FEATURES
 ) -> KMeansModel:
     """``seed=None`` leaves the seed to the library, as a plain ``KMeans(k)`` does."""
-    options = {"k": k, "maxIter": max_iter, "featuresCol": column}
+    options = {"k": k, "maxIter": max_iter, "featuresCol": "_vector"}
     if seed is not None:
         options["seed"] = seed
-    return KMeans(**options).fit(df)
+    return KMeans(**options).fit(_vectors(df, column))
+
+
+def _vectors(df: DataFrame, column: str) -> DataFrame:
+    """The features as vectors.  Unpersisted on purpose: K-Means then keeps the vectors
+    with their norms itself, for as long as it iterates."""
+    return df.select(array_to_vector(F.col(column)).alias("_vector"))
 
 
 def kmeans_default(df: DataFrame, k: int, column: str = FEATURES) -> KMeansModel:
     """Library defaults for everything but ``k``."""
-    return KMeans(k=k, featuresCol=column).fit(df)
+    return KMeans(k=k, featuresCol="_vector").fit(_vectors(df, column))
 
 
 def model_centers(model: KMeansModel) -> Centers:

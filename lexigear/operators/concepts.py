@@ -48,7 +48,7 @@ def concept_table(terms: DataFrame, docs: DataFrame) -> DataFrame:
 def genre_labels(genre, n: int = 5):
     """The first ``n`` labels of a genre field, all if there are fewer."""
     labels = F.filter(F.split(genre, r"\s*[,/]\s*"), lambda g: g != "")
-    return F.slice(F.transform(labels, F.trim), 1, n)
+    return F.slice(F.transform(labels, lambda g: F.trim(g)), 1, n)
 
 
 def top_docs_with_genres(

@@ -74,7 +74,7 @@ def project_2d(
     rank = F.struct((-F.col("distance")).alias("d"), F.col(key).alias("id"))
     points = placed.withColumn("x", F.col("_xy")[0]).withColumn("y", F.col("_xy")[1])
     points = points.withColumn("is_outlier", rank <= cut).drop("_vector", "_pc", "_xy")
-    return points, list(model.explainedVariance)
+    return points, [float(x) for x in model.explainedVariance]
 
 
 def outlier_sources(outliers: DataFrame) -> DataFrame:

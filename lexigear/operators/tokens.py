@@ -183,7 +183,7 @@ def tokens_lemma(
     return filter_terms(lemmas, stop_words=stop_words, alpha_only=True, key=key)
 
 
-def with_features(df: DataFrame, text: str, key: str, **options) -> DataFrame:
+def with_features(df: DataFrame, text: str, key: str = "doc_id", **options) -> DataFrame:
     """A table plus the ``features`` array of its lemmatized text column."""
     return tokens_lemma(df, text, key=key, **options)
 
