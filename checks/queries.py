@@ -651,8 +651,7 @@ def h1_kmeans_fit(spark, sf):
 @query
 def h2_kmeans_default(spark, sf):
     data = ft.normalize_pop(encoded(spark, sf)).select("l_linestatus", "features").persist()
-    scored = cl.assign(data, cl.model_centers(cl.kmeans_default(data, 15)))
-    return cl.cluster_label_counts(scored, "l_linestatus")
+    return cl.cluster_label_counts(cl.score(data, cl.kmeans_default(data, 15)), "l_linestatus")
 
 
 @query

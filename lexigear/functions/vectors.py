@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -12,11 +10,6 @@ from pyspark.sql import functions as F
 
 from lexigear.functions.text import let
 
-# Up to this many terms an expression is written out, so that it joins whole-stage
-# code generation; beyond it a higher-order function keeps the generated code within
-# the size the JVM compiles.
-UNROLL_LIMIT = 64
-
 
 def literal(values: Sequence[float]) -> Column:
     """One array literal (not one literal per element)."""
@@ -48,19 +41,13 @@ def square(x: Column) -> Column:
     return x * x
 
 
-def squared_distances(features: Column, centers: Sequence[Sequence[float]]) -> Column:
-    """Squared Euclidean distance to every center, as an array."""
-    if len(centers) * len(centers[0]) <= UNROLL_LIMIT:
-        return F.array(
-            *[
-                reduce(add, [square(F.get(features, F.lit(j)) - float(c)) for j, c in enumerate(center)])
-                for center in centers
-            ]
-        )
-    return F.transform(
-        F.array(*[literal(c) for c in centers]),
-        lambda c: total(F.zip_with(features, c, lambda x, y: square(x - y))),
-    )
+def squared_distance(a: Column, b: Column) -> Column:
+    return total(F.zip_with(a, b, lambda x, y: square(x - y)))
+
+
+def matrix(rows: Sequence[Sequence[float]]) -> Column:
+    """A small matrix as one array-of-arrays literal."""
+    return F.array(*[literal(row) for row in rows])
 
 
 def with_nearest(df: DataFrame, features: str, centers: Sequence[Sequence[float]]) -> DataFrame:
@@ -70,9 +57,10 @@ def with_nearest(df: DataFrame, features: str, centers: Sequence[Sequence[float]
     cluster and a null distance.  The distances get a column of their own because two
     results are read from them: the optimizer keeps such a projection apart.
     """
-    known = F.col(features).isNotNull()
+    own = F.col(features)
+    distances = F.transform(matrix(centers), lambda c: squared_distance(own, c))
     return (
-        df.withColumn("_d2", F.when(known, squared_distances(F.col(features), centers)))
+        df.withColumn("_d2", F.when(own.isNotNull(), distances))
         .withColumn("_min", F.array_min("_d2"))
         .withColumn("prediction", (F.array_position("_d2", F.col("_min")) - 1).cast("int"))
         .withColumn("distance", F.sqrt("_min"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexigear.functions.vectors import with_nearest
+from lexigear.functions.vectors import matrix, squared_distance, with_nearest
 from lexigear.operators.features import FEATURES, as_matrix
 
 Centers = Sequence[Sequence[float]]
@@ -52,6 +52,16 @@ def assign(df: DataFrame, centers: Centers, column: str = FEATURES) -> DataFrame
     return with_nearest(df, column, centers)
 
 
+def score(df: DataFrame, model: KMeansModel, column: str = FEATURES) -> DataFrame:
+    """Add ``prediction`` and ``distance`` of a fitted model.
+
+    The model finds the cluster; only the distance to that one center is computed here.
+    """
+    found = model.transform(df.withColumn("_vector", array_to_vector(F.col(column)))).drop("_vector")
+    own = F.get(matrix(model_centers(model)), F.col("prediction"))
+    return found.withColumn("distance", F.sqrt(squared_distance(F.col(column), own)))
+
+
 def kmeans_lloyd(df: DataFrame, centers: Centers, iterations: int, column: str = FEATURES) -> Centers:
     """Assign-and-average steps from given centers.
 

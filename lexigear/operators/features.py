@@ -13,10 +13,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexigear.functions.vectors import UNROLL_LIMIT, literal
+from lexigear.functions.vectors import literal
 
 FEATURES = "features"
 
+# Up to this many dimensions scaling is written out and joins whole-stage code
+# generation; beyond it the generated code would outgrow what the JVM compiles.
+UNROLL_LIMIT = 64
+
 
 def assemble(df: DataFrame, columns: Sequence[str], out: str = FEATURES) -> DataFrame:
     """Numeric columns as one array.  A null or NaN is an error."""

@@ -16,13 +16,17 @@ THRESHOLD_RANK = 100
 
 
 def top_outliers(scored: DataFrame, n: int = REPORT, key: str = "point_id") -> DataFrame:
-    """The ``n`` largest distances over all clusters; equal ones in order of id."""
-    return scored.where(F.col("distance").isNotNull()).orderBy(F.desc("distance"), key).limit(n)
+    """The ``n`` largest distances over all clusters; equal ones in order of id.
+
+    Nulls sort last and are dropped after the cut: a filter before it would be pushed
+    below the scoring and compute every distance twice.
+    """
+    return scored.orderBy(F.desc("distance"), key).limit(n).where(F.col("distance").isNotNull())
 
 
 def anomaly_threshold(scored: DataFrame, n: int = THRESHOLD_RANK) -> DataFrame:
     """One row: the ``n``-th largest distance, or the smallest if there are fewer rows."""
-    largest = scored.where(F.col("distance").isNotNull()).orderBy(F.desc("distance")).limit(n)
+    largest = scored.select("distance").orderBy(F.desc("distance")).limit(n)
     return largest.agg(F.min("distance").alias("threshold"))
 
 
@@ -38,7 +42,7 @@ def anomaly_share(scored: DataFrame, n: int = THRESHOLD_RANK) -> DataFrame:
     Whatever lies above the ``n``-th largest distance is among the ``n`` largest, so no
     second pass over all rows is needed to count them.
     """
-    largest = scored.where(F.col("distance").isNotNull()).orderBy(F.desc("distance")).limit(n).select("distance")
+    largest = scored.select("distance").orderBy(F.desc("distance")).limit(n)
     total = scored.select(F.count("*")).scalar()
     lowest = largest.agg(
         F.min("distance").alias("threshold"), F.collect_list("distance").alias("all")

@@ -55,7 +55,7 @@ def sweep_k(
         start = time.perf_counter()
         model = cl.kmeans_fit(data, k, seed, max_iter)
         centers[k] = cl.model_centers(model)
-        scored = cl.assign(data, centers[k]).drop(FEATURES)
+        scored = cl.score(data, model).drop(FEATURES)
         mean, total = scored.agg(F.avg("distance"), F.count("*")).head()
         report = scored.select(F.lit(k).alias("k"), key, "prediction", "distance", *kept)
         schema = report.schema
@@ -77,8 +77,8 @@ def sweep_entropy(data: DataFrame, ks: Iterable[int], label: str = "label") -> D
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
     for k in ks:
-        centers = cl.model_centers(cl.kmeans_default(data, k))
-        rows.append((k, cl.cluster_entropy(cl.assign(data, centers), label).head()[0]))
+        scored = cl.score(data, cl.kmeans_default(data, k))
+        rows.append((k, cl.cluster_entropy(scored, label).head()[0]))
     data.unpersist()
     return data.sparkSession.createDataFrame(rows, "k int, entropy double")
 
@@ -88,7 +88,7 @@ def sweep_scores(data: DataFrame, ks: Iterable[int]) -> DataFrame:
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
     for k in ks:
-        centers = cl.model_centers(cl.kmeans_default(data, k))
-        rows.append((k, cl.avg_distance(cl.assign(data, centers)).head()[0]))
+        scored = cl.score(data, cl.kmeans_default(data, k))
+        rows.append((k, cl.avg_distance(scored).head()[0]))
     data.unpersist()
     return data.sparkSession.createDataFrame(rows, "k int, avg_distance double")
