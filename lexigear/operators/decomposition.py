@@ -24,8 +24,9 @@ DOUBLES_PER_STEP = 2_000_000
 SMALL = 256
 # Blocks of directions kept on the driver.
 MAX_BLOCKS = 12
-# A singular value below this part of the largest counts as zero.
-RANK_TOLERANCE = 1e-9
+# A singular value below this part of the largest counts as zero.  The values are roots
+# of eigenvalues of A'A, whose rounding errors have a root of about 1e-8.
+RANK_TOLERANCE = 1e-7
 
 
 @dataclass(frozen=True)
