@@ -801,6 +801,11 @@ def h19_timed_runs(spark, sf):
     return grid_runs(spark, sf).select("run_name", "runtime_seconds")
 
 
+@query
+def h19_timed_stages(spark, sf):
+    return lsa.timed_fit(documents(spark, sf), tk.tokens_regex, o.WIDE_FREQ, 25)[1]
+
+
 @query
 def h20_explained_variance(spark, sf):
     scored = lloyd_scored(spark, sf)

@@ -19,7 +19,7 @@ MAX_SHIPPED_BYTES = 256 * 1024 * 1024
 # Columns of one row of a summed block.
 PIECE = 32
 # Doubles held by one array operation inside a task.
-DOUBLES_PER_STEP = 2_000_000
+DOUBLES_PER_STEP = 250_000
 # Up to this many terms the product of all columns takes one pass.
 SMALL = 256
 # Blocks of directions kept on the driver.
@@ -99,8 +99,9 @@ def gram_times(matrix: DataFrame, x: np.ndarray) -> np.ndarray:
                 # The same entries again, grouped by term.
                 order = np.argsort(i, kind="stable")
                 doc = np.repeat(np.arange(last - first), sizes[first:last])
-                terms, heads = np.unique(i[order], return_index=True)
-                share[terms] += np.add.reduceat(projected[doc[order]] * w[order], heads, axis=0)
+                term = i[order]
+                heads = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+                share[term[heads]] += np.add.reduceat(projected[doc[order]] * w[order], heads, axis=0)
                 first = last
         pieces = share.reshape(-1, PIECE)
         used = np.flatnonzero(pieces.any(axis=1))

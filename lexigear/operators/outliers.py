@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -112,7 +110,3 @@ def relative_distance(scored: DataFrame) -> DataFrame:
     spread = F.broadcast(cluster_spread(scored))
     ratio = F.when(F.col("spread") > 0, F.col("distance") / F.col("spread"))
     return scored.join(spread, "prediction", "left").withColumn("relative", ratio)
-
-
-def outlier_columns(sensors: Sequence[str]) -> list[str]:
-    return ["point_id", "source_file", "prediction", "distance", *sensors]

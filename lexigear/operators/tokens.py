@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexigear.functions import text as fx
 from lexigear.functions.stopwords import ENGLISH
+from lexigear.shared import through_table
 
 FEATURES = "features"
 
@@ -166,7 +167,11 @@ def lemmatize(
     serve as one.
     """
     terms = df.select(F.explode(F.array_distinct(column)).alias("form")).distinct()
-    mapping = lemma_map(terms, lexicon if lexicon is not None else terms.toDF("lemma"), exceptions)
+    if lexicon is None:
+        # Used on both sides of a join: tokenize once, read the distinct terms twice.
+        terms = through_table(terms, "terms")
+        lexicon = terms.toDF("lemma")
+    mapping = lemma_map(terms, lexicon, exceptions)
     pairs = mapping.limit(max_map + 1).collect()
     if len(pairs) > max_map:
         return _replace_joined(df, mapping, column, key)

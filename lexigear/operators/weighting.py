@@ -24,11 +24,12 @@ MAX_BROADCAST_TERMS = 1_000_000
 
 def term_freqs(docs: DataFrame) -> DataFrame:
     """``doc_id, term, tf, doc_len``; ``doc_len`` counts all tokens of the document."""
-    counts = docs.select(
+    # The runs are computed inside the generator.  As a column of their own they would get
+    # a not-empty filter, pushed down to where it computes tokens and runs once more.
+    return docs.select(
         "doc_id", F.size("features").cast("long").alias("doc_len"),
-        run_lengths(F.col("features")).alias("runs"),
-    )
-    return counts.select("doc_id", "doc_len", F.inline("runs")).select("doc_id", "term", "tf", "doc_len")
+        F.inline(run_lengths(F.col("features"))),
+    ).select("doc_id", "term", "tf", "doc_len")
 
 
 def doc_lengths(docs: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lexigear.functions import vectors as vx
 from lexigear.operators import tokens as tk
 from lexigear.operators import weighting as wt
-from lexigear.operators.decomposition import LsaModel, factorize, lsa_fit
+from lexigear.operators.decomposition import LsaModel, factorize, lsa_fit, project
 from lexigear.shared import through_table
 
 # The parameter grid of the reference runs.
@@ -36,6 +36,31 @@ def fit(docs: DataFrame, num_freq: int, k: int, keep: bool = False) -> LsaModel:
     return model
 
 
+def timed_fit(
+    docs: DataFrame, tokenize: Callable[[DataFrame], DataFrame], num_freq: int, k: int
+) -> tuple[LsaModel, DataFrame]:
+    """Fit with every stage run to its end, and the seconds each stage took."""
+    times = []
+
+    def timed(stage: str, action):
+        start = time.perf_counter()
+        result = action()
+        times.append((stage, time.perf_counter() - start))
+        return result
+
+    tokens = tokenize(docs).select("doc_id", "title", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    timed("tokens", tokens.count)
+    vocab = timed("vocabulary", lambda: wt.Vocabulary.fetch(wt.vocabulary(tokens, num_freq)))
+    matrix = wt.doc_term_matrix(tokens, vocab).drop("features").persist(StorageLevel.MEMORY_AND_DISK)
+    timed("matrix", matrix.count)
+    sigma, v = timed("decomposition", lambda: factorize(matrix, len(vocab), k))
+    factors = timed("document factors", lambda: through_table(project(matrix, sigma, v), "factors"))
+    matrix.unpersist()
+    tokens.unpersist()
+    stages = docs.sparkSession.createDataFrame(times, "stage string, seconds double")
+    return LsaModel(vocab, sigma, v, factors), stages
+
+
 def grid(
     docs: DataFrame,
     tokenizers: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
