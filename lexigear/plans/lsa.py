@@ -15,7 +15,7 @@ from lexigear.operators import weighting as wt
 from lexigear.operators.decomposition import LsaModel, factorize, lsa_fit, project
 from lexigear.shared import through_table
 
-# The parameter grid of the reference runs.
+# The default parameter grid.
 GRID_NUM_FREQ = (5000, 10000, 20000)
 GRID_K = (25, 100, 250)
 

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+@cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="lexigear-")
+
+
 def shared_folder(spark: SparkSession, name: str = "table") -> str:
     """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -20,8 +26,7 @@ def shared_folder(spark: SparkSession, name: str = "table") -> str:
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder all executors reach")
-        base = tempfile.mkdtemp(prefix="lexigear-")
-        spark.conf.set(CHECKPOINT_KEY, base)
+        base = _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
