@@ -7,25 +7,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigear.llm import simhash_cover, stream_dedup
+from lexigear.llm import pseudonyms, simhash_cover, stream_dedup, swap_packing, weak_quality
+
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_swap_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return swap_packing.pack_documents(table(spark, sf, "documents"), vocabulary(BYTE_BPE))
+
+
 def op2_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = stream_dedup.members(table(spark, sf, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op3_weak_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = weak_quality.scored(docs, weak_quality.fit(docs))
+    return found.select("doc_id", "score", "label_posterior", (F.col("score") >= weak_quality.THRESHOLD).alias("kept"))
+
+
+def op4_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its text after pseudonymization and the places of pseudonyms."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = pseudonyms.pseudonymize_documents(docs, spans=True)
+    return found.select("doc_id", "text", F.size("pii_spans").alias("n_found"), F.array_distinct("pii_spans.kind").alias("kinds"))
+
+
 def op8_simhash_cover(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash_cover.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_swap_packing": op1_swap_packing,
     "op2_stream_dedup": op2_stream_dedup,
+    "op3_weak_quality": op3_weak_quality,
+    "op4_pseudonyms": op4_pseudonyms,
     "op8_simhash_cover": op8_simhash_cover,
 }
 

@@ -239,4 +239,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     found = near_duplicates(docs, id_col, text_col)
     gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "dropped")
-    return docs.join(small(gone), docs[id_col] == F.col("gone_id"), "left_anti")
+    return docs.join(small(gone), docs[id_col] == gone["gone_id"], "left_anti")

@@ -100,14 +100,20 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dig
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group of equal texts, that of the largest id, columns as they are."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = materialize(members(docs, id_col, text_col), "members")
-    gone = materialize(found.where("NOT doc_id <=> keep_id").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")).distinct(), "dropped")
-    same = docs[id_col].eqNullSafe(F.col("gone_id")) & (sha256(text) == F.col("gone_digest"))
-    left = docs.join(small(gone), same, "left_anti")
-    twins = materialize(found.where("doc_id <=> keep_id").groupBy("doc_id", "digest").count().where("count > 1").select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")), "twins")
+    key = [F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")]
+    gone = materialize(found.where("NOT doc_id <=> keep_id").select(*key).distinct(), "dropped")
+    twins = materialize(found.where("doc_id <=> keep_id").groupBy("doc_id", "digest").count().where("count > 1").select(*key), "twins")
+
+    def same(rows: DataFrame, keys: DataFrame):
+        text = F.coalesce(rows[text_col].cast("string"), F.lit(""))
+        return rows[id_col].eqNullSafe(keys["gone_id"]) & (sha256(text) == keys["gone_digest"])
+
+    left = docs.join(small(gone), same(docs, gone), "left_anti")
     if twins.isEmpty():
         return left
-    same = left[id_col].eqNullSafe(F.col("gone_id")) & (sha256(text) == F.col("gone_digest"))
-    twice = left.join(twins, same, "left_semi").dropDuplicates([id_col, text_col])
-    return left.join(twins, same, "left_anti").unionByName(twice)
+    twice = left.join(twins, same(left, twins), "left_semi")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = twice.groupBy(F.col(id_col).alias("k1"), sha256(text).alias("k2")).agg(F.first(whole).alias("row")).select("row.*")
+    return left.join(twins, same(left, twins), "left_anti").unionByName(once)
