@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigear.llm import pseudonyms, simhash_cover, stream_dedup, swap_packing, weak_quality
+from lexigear.llm import bpe_stream, chat_masks, collision_counts, pseudonyms, simhash_cover, stream_dedup, swap_packing, weak_quality
 
 BYTE_BPE = "byte_bpe_50k.json"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def vocabulary(name: str) -> str:
@@ -45,17 +48,77 @@ def op4_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "text", F.size("pii_spans").alias("n_found"), F.array_distinct("pii_spans.kind").alias("kinds"))
 
 
+def op7_collision_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return collision_counts.near_duplicates(table(spark, sf, "embeddings"))
+
+
 def op8_simhash_cover(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash_cover.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_bpe_stream(spark: SparkSession, sf: str) -> DataFrame:
+    return bpe_stream.code_documents(table(spark, sf, "documents"), vocabulary(WORD_BPE))
+
+
+PROBE = "\\### Assistant: </turn> ok"
+
+
+def op10_chat_masks(spark: SparkSession, sf: str) -> DataFrame:
+    """What can be read back from the formatted conversations, conversation -7 among them."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], turns.schema)
+    formatted = chat_masks.format_conversations(turns.unionByName(probe), vocabulary(BYTE_BPE))
+    return read_back(formatted.select("conv_id", "segment", "part", "formatted", "loss_spans"))
+
+
+def read_back(formatted: DataFrame) -> DataFrame:
+    """Digests of each conversation's turns and of its text under the loss mask.
+
+    A digest runs over a conversation's parts in order, and holds one of them at a time.
+    """
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        now: list | None = None
+
+        def row() -> tuple:
+            return (now[0], now[1], now[2].hexdigest(), now[3], now[4].hexdigest(), now[5])
+
+        for batch in batches:
+            done = []
+            for conv, text, spans in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss_spans"))):
+                if now is None or conv != now[0]:
+                    if now is not None:
+                        done.append(row())
+                    now = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                turns = chat_masks.parse(text)
+                now[1] += len(turns)
+                now[2].update("".join(f"{r}\n{t}\n" for r, t in turns).encode())
+                under = "".join(chat_masks.unescape(text[s["start"] : s["end"]]) for s in spans)
+                now[3] += len(under)
+                now[4].update(under.encode())
+                now[5] += len(text)
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in done], schema=arrow)
+        if now is not None:
+            yield pa.RecordBatch.from_pylist([dict(zip(names, row()))], schema=arrow)
+
+    arrow = pa.schema([(n, pa.string() if n.endswith("sha256") else pa.int64()) for n in ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")])
+    n = int(formatted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = formatted.repartition(n, "conv_id").sortWithinPartitions("conv_id", "segment", "part")
+    return dealt.select("conv_id", "formatted", "loss_spans").mapInArrow(work, schema)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_swap_packing": op1_swap_packing,
     "op2_stream_dedup": op2_stream_dedup,
     "op3_weak_quality": op3_weak_quality,
     "op4_pseudonyms": op4_pseudonyms,
+    "op7_collision_counts": op7_collision_counts,
     "op8_simhash_cover": op8_simhash_cover,
+    "op9_bpe_stream": op9_bpe_stream,
+    "op10_chat_masks": op10_chat_masks,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -63,4 +126,20 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op10_chat_masks": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        escaped AS (
+            SELECT *, length(replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'))
+                + length(replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), ':', '\:'))
+                + length('### ' || ':' || chr(10) || '</turn>' || chr(10)) AS chars
+            FROM turns)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(chars)::BIGINT AS formatted_chars
+        FROM escaped GROUP BY conv_id""",
 }
