@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigear.llm import bpe_stream, chat_masks, collision_counts, pseudonyms, simhash_cover, stream_dedup, swap_packing, weak_quality
+from lexigear.llm import bpe_stream, chat_masks, collision_counts, html_crf, pseudonyms, simhash_cover, stream_dedup, swap_packing, weak_quality
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -48,6 +48,10 @@ def op4_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "text", F.size("pii_spans").alias("n_found"), F.array_distinct("pii_spans.kind").alias("kinds"))
 
 
+def op5_html_crf(spark: SparkSession, sf: str) -> DataFrame:
+    return html_crf.extract(table(spark, sf, "pages"))
+
+
 def op7_collision_counts(spark: SparkSession, sf: str) -> DataFrame:
     return collision_counts.near_duplicates(table(spark, sf, "embeddings"))
 
@@ -115,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_stream_dedup": op2_stream_dedup,
     "op3_weak_quality": op3_weak_quality,
     "op4_pseudonyms": op4_pseudonyms,
+    "op5_html_crf": op5_html_crf,
     "op7_collision_counts": op7_collision_counts,
     "op8_simhash_cover": op8_simhash_cover,
     "op9_bpe_stream": op9_bpe_stream,
