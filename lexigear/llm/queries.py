@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigear.llm import bpe_stream, chat_masks, collision_counts, html_crf, pseudonyms, simhash_cover, stream_dedup, swap_packing, weak_quality
+from lexigear.llm import bpe_stream, chat_masks, collision_counts, column_bwt, html_crf, pseudonyms, simhash_cover, stream_dedup, swap_packing, weak_quality
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -52,6 +52,11 @@ def op5_html_crf(spark: SparkSession, sf: str) -> DataFrame:
     return html_crf.extract(table(spark, sf, "pages"))
 
 
+def op6_column_bwt(spark: SparkSession, sf: str) -> DataFrame:
+    found = column_bwt.remove_repeats(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_collision_counts(spark: SparkSession, sf: str) -> DataFrame:
     return collision_counts.near_duplicates(table(spark, sf, "embeddings"))
 
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_weak_quality": op3_weak_quality,
     "op4_pseudonyms": op4_pseudonyms,
     "op5_html_crf": op5_html_crf,
+    "op6_column_bwt": op6_column_bwt,
     "op7_collision_counts": op7_collision_counts,
     "op8_simhash_cover": op8_simhash_cover,
     "op9_bpe_stream": op9_bpe_stream,
