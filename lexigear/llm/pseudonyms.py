@@ -88,7 +88,14 @@ def phone(text: str, move: Move) -> str | None:
             return None
         return refill(text, n[:2] + str(move(int(n[2:]), 10 ** (len(n) - 2), f"phone{n[:2]}")).zfill(len(n) - 2))
     lead, n = (n[:1], n[1:]) if len(n) == 11 and n[0] == "1" else ("", n)
-    if len(n) != 10 or n[0] in "01" or n[3] in "01":
+    if len(n) != 10:
+        return None
+    if n[0] in "01" or n[3] in "01":
+        # not in use by the numbering plan: only a leading + tells that it is meant as a number
+        while text[0] == "+":
+            n = str(move(int(n), 10**10, "phone1 unused")).zfill(10)
+            if n[0] in "01" or n[3] in "01":
+                return refill(text, lead + n)
         return None
     rank = ((int(n[:3]) - 200) * 800 + int(n[3:6]) - 200) * 10_000 + int(n[6:])
     rank, line = divmod(move(rank, 800 * 800 * 10_000, "phone1"), 10_000)
@@ -229,11 +236,11 @@ KINDS: list[tuple[str, str, Callable[[str, Move], str | None]]] = [
     ("key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,255}\b", bare_key),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{2,4}){3,8}\b", account),
     ("phone", r"(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,5}(?:[ .\-]?\d{2,5}){1,4}(?![\w])", phone),
-    ("date", r"(?<![\d.\-/])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\d\-/]|\.\d)", calendar),
+    ("date", r"(?<!\d)(?<!\d[.\-/])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\d\-/]|\.\d)", calendar),
     ("date", r"\b(?i:\d{1,2} +(?:%s)\.? +\d{4}|(?:%s)\.? +\d{1,2},? +\d{4})\b" % ((names := "|".join(f"{m}|{m[:3]}" for m in MONTHS)), names), named_date),
-    ("ssn", r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])", social),
-    ("card", r"(?<![\d.\-])\d(?:[ \-]?\d){12,18}(?![\d\-])", card),
-    ("ip", r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)", address),
+    ("ssn", r"(?<!\d)(?<!\d-)\d{3}-\d{2}-\d{4}(?!\d|-\d)", social),
+    ("card", r"(?<!\d)(?<!\d[.\-])(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}|\d{4}[ \-]\d{6}[ \-]\d{4,5}|\d{13,19})(?!\d|-\d)", card),
+    ("ip", r"(?<!\d)(?<!\d\.)\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)", address),
     ("phone", r"(?<![\w+\-])(?:1[ .\-])?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .\-])[2-9]\d{2}[ .\-]\d{4}(?![\w\-])", phone),
 ]
 ANY = re.compile("|".join(f"(?P<k{i}>{pattern})" for i, (_, pattern, _) in enumerate(KINDS)))
