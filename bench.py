@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -40,6 +41,7 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lexigear-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

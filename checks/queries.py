@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
+from functools import cache, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,16 +22,29 @@ from lexigear.operators import search as se
 from lexigear.operators import tokens as tk
 from lexigear.operators import weighting as wt
 from lexigear.plans import gearbox, lsa
-from lexigear.shared import shared_folder, spread, through_table
+from lexigear.shared import CHECKPOINT_KEY, shared_folder, spread, through_table
 from lexigear.sources import dumps, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
 
 
+@cache
+def own_folder() -> str:
+    return tempfile.mkdtemp(prefix="lexigear-checks-")
+
+
 def query(fn: Query) -> Query:
-    REGISTERED[fn.__name__] = fn
-    return fn
+    """Registers a query.  A local check session that names no shared folder gets one."""
+
+    @wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        if spark.conf.get(CHECKPOINT_KEY, None) is None and spark.sparkContext.master.startswith("local["):
+            spark.conf.set(CHECKPOINT_KEY, own_folder())
+        return fn(spark, sf)
+
+    REGISTERED[fn.__name__] = run
+    return run
 
 
 # Inputs

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ from lexigear.functions.vectors import literal
 FEATURES = "features"
 
 # Up to this many dimensions scaling is written out and joins whole-stage code
-# generation; beyond it the generated code would outgrow what the JVM compiles.
+# generation; beyond it the generated code would outgrow what the JVM compiles.  Both
+# forms give the same rows; a null array stays null.
 UNROLL_LIMIT = 64
 
 
@@ -45,29 +48,33 @@ class Scaling:
             parts = [
                 (F.get(column, F.lit(j)) - m) * f for j, (m, f) in enumerate(zip(self.means, self.factors))
             ]
-            return df.withColumn(out, F.array(*parts))
+            return df.withColumn(out, F.when(F.col(column).isNotNull(), F.array(*parts)))
         shifted = F.zip_with(column, literal(self.means), lambda x, m: x - m)
         return df.withColumn(out, F.zip_with(shifted, literal(self.factors), lambda x, f: x * f))
 
 
-def _moments(df: DataFrame, column: str, deviation) -> tuple[list[float], list[float]]:
-    """Mean and deviation per dimension from one aggregation over the frame."""
-    values = df.select(F.posexplode(column).alias("dim", "value"))
-    rows = values.groupBy("dim").agg(F.avg("value").alias("mean"), deviation("value").alias("dev")).collect()
-    rows.sort(key=lambda r: r.dim)
-    return [r["mean"] for r in rows], [r["dev"] for r in rows]
+def _moments(df: DataFrame, column: str) -> tuple[np.ndarray, np.ndarray, int]:
+    """Mean and sample deviation per dimension and the number of arrays, in one
+    aggregation that keeps two numbers per dimension; null arrays do not count."""
+    vector = array_to_vector(F.col(column)).alias("v")
+    found = df.where(F.col(column).isNotNull()).select(vector).select(
+        Summarizer.metrics("mean", "std", "count").summary(F.col("v")).alias("m")
+    )
+    m = found.head().m
+    return m.mean.toArray(), m.std.toArray(), m["count"]
 
 
 def standard_scaling(df: DataFrame, column: str = FEATURES) -> Scaling:
     """Sample standard deviation; a constant dimension becomes 0."""
-    means, deviations = _moments(df, column, F.stddev_samp)
-    return Scaling(means, [1.0 / d if d else 0.0 for d in deviations])
+    means, deviations, _ = _moments(df, column)
+    return Scaling(means.tolist(), [1.0 / d if d else 0.0 for d in deviations.tolist()])
 
 
 def population_scaling(df: DataFrame, column: str = FEATURES) -> Scaling:
     """Population standard deviation; a constant dimension is only shifted."""
-    means, deviations = _moments(df, column, F.stddev_pop)
-    return Scaling(means, [1.0 / d if d and d > 0 else 1.0 for d in deviations])
+    means, deviations, n = _moments(df, column)
+    deviations = deviations * np.sqrt((n - 1) / n) if n else deviations
+    return Scaling(means.tolist(), [1.0 / d if d > 0 else 1.0 for d in deviations.tolist()])
 
 
 def standardize(df: DataFrame, column: str = FEATURES) -> DataFrame:
@@ -78,33 +85,41 @@ def normalize_pop(df: DataFrame, column: str = FEATURES) -> DataFrame:
     return population_scaling(df, column).apply(df, column)
 
 
-def categories(df: DataFrame, columns: Sequence[str], max_values: int = 10_000) -> dict[str, list]:
+def categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
     """Distinct values per column in alphabetical order, from one pass.
 
-    They become columns of the encoding, so there can only be a moderate number; more
-    than ``max_values`` is an error rather than a cut.
+    They become the columns of the encoding, so they are needed on the driver, however
+    many there are.
     """
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns])
     )
-    rows = df.select(pairs.alias("p")).select("p.*").distinct().limit(len(columns) * max_values + 1).collect()
-    if len(rows) > len(columns) * max_values:
-        raise ValueError(f"more than {max_values} categories per column in {list(columns)}")
-    return {c: sorted(r.value for r in rows if r.name == c and r.value is not None) for c in columns}
+    rows = df.select(pairs.alias("p")).select("p.*").where("value IS NOT NULL").distinct().toArrow()
+    found: dict[str, list] = {c: [] for c in columns}
+    for name, value in zip(rows.column("name").to_pylist(), rows.column("value").to_pylist()):
+        found[name].append(value)
+    return {c: sorted(v) for c, v in found.items()}
 
 
 def one_hot(
     df: DataFrame, first: str, categorical: Sequence[str], numeric: Sequence[str],
     values: dict[str, list] | None = None, out: str = FEATURES,
 ) -> DataFrame:
-    """Array of the first number, one 0/1 per category (all kept), and the other numbers."""
+    """Array of the first number, one 0/1 per category (all kept), and the other numbers.
+
+    The flags of a column are one expression over the list of its categories, so the plan
+    stays as small with thousands of them.  Unknown and null values have no flag set.
+    """
     if values is None:
         values = categories(df, categorical)
-    flags = [
-        F.when(F.col(c).cast("string") == v, 1.0).otherwise(0.0) for c in categorical for v in values[c]
-    ]
+
+    def flags(name: str) -> Column:
+        listed = F.lit(values[name]) if values[name] else F.array().cast("array<string>")
+        return F.transform(listed, lambda v: F.coalesce(F.col(name).cast("string") == v, F.lit(False)).cast("double"))
+
     numbers = [F.col(c).cast("double") for c in numeric]
-    return df.withColumn(out, F.array(F.col(first).cast("double"), *flags, *numbers))
+    parts = [F.array(F.col(first).cast("double")), *map(flags, categorical), F.array(*numbers).cast("array<double>")]
+    return df.withColumn(out, F.concat(*parts))
 
 
 def drop_categoricals(df: DataFrame, first: str, numeric: Sequence[str], out: str = FEATURES) -> DataFrame:

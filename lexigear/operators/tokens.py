@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigear.functions import text as fx
@@ -13,8 +15,11 @@ from lexigear.shared import through_table
 
 FEATURES = "features"
 
-# A word list up to this size travels with the plan; a longer one is joined.
+# A word list up to this size travels with the plan; a longer one is joined.  Both give
+# the same rows.
 MAX_LIST = 10_000
+# Lemma pairs that are shipped to the tasks (some 4 MB); more are joined, with the same result.
+MAX_PAIRS = 100_000
 
 # Noun endings and what replaces them.
 NOUN_SUFFIXES = (
@@ -23,6 +28,10 @@ NOUN_SUFFIXES = (
 )
 
 
+def _empty() -> Column:
+    return F.array().cast("array<string>")
+
+
 def _without_joined(df: DataFrame, words: DataFrame, column: str, key: str) -> DataFrame:
     """Anti join for word lists too long to ship.
 
@@ -36,7 +45,7 @@ def _without_joined(df: DataFrame, words: DataFrame, column: str, key: str) -> D
         .groupBy(key)
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "term"))).alias("_kept"))
     )
-    restored = F.coalesce(F.col("_kept.term"), F.array().cast("array<string>"))
+    restored = F.coalesce(F.col("_kept.term"), _empty())
     return df.join(kept, key, "left").withColumn(column, restored).drop("_kept")
 
 
@@ -44,14 +53,20 @@ def drop_words(
     df: DataFrame, stop_words: DataFrame | list[str] | None, column: str = FEATURES,
     key: str = "doc_id", max_list: int = MAX_LIST,
 ) -> DataFrame:
-    """Remove stop words.  ``None`` means the built-in English list."""
+    """Remove stop words.  ``None`` means the built-in English list.
+
+    A null in the list stops nothing, and a null token array counts as empty.
+    """
+    df = df.withColumn(column, F.coalesce(column, _empty()))
     if stop_words is None:
         stop_words = ENGLISH
     if isinstance(stop_words, DataFrame):
+        stop_words = stop_words.where("term IS NOT NULL")
         listed = [r.term for r in stop_words.select("term").limit(max_list + 1).collect()]
         if len(listed) > max_list:
             return _without_joined(df, stop_words, column, key)
         stop_words = listed
+    stop_words = [w for w in stop_words if w is not None]
     if not stop_words:
         return df
     # A long IN list becomes one hash set, looked up once per token.
@@ -84,8 +99,8 @@ def tokens_exercise(df: DataFrame, text: str = "text", stop_words=None, key: str
 
 
 def tokens_split(df: DataFrame, text: str = "text") -> DataFrame:
-    """Split at non-word runs, without any filter; empty strings stay."""
-    return df.withColumn(FEATURES, F.split(F.lower(F.col(text)), fx.NON_WORD, -1))
+    """Split at non-word runs, without any filter; empty strings stay.  Null text has no token."""
+    return df.withColumn(FEATURES, F.coalesce(F.split(F.lower(F.col(text)), fx.NON_WORD, -1), _empty()))
 
 
 def lemma_candidates(terms: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
@@ -121,56 +136,73 @@ def lemma_map(terms: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None
     return best.select("form", F.col("best.candidate").alias("lemma")).where("form <> lemma")
 
 
+def _lists(old: pa.Array, new: pa.Array) -> pa.Array:
+    """``new`` cut into lists like those of ``old``; a null list becomes an empty one."""
+    # ``flatten`` starts at the first row of the batch, so the offsets do too.
+    ends = pc.cumulative_sum(pc.coalesce(pc.list_value_length(old), pa.scalar(0, pa.int32())))
+    offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])
+    return pa.ListArray.from_arrays(offsets, new)
+
+
 def _replace_listed(df: DataFrame, pairs: list, column: str) -> DataFrame:
-    """Replace forms by lemmas inside the rows, one Arrow batch at a time."""
-    spark = df.sparkSession
-    table = spark.sparkContext.broadcast(([p.form for p in pairs], [p.lemma for p in pairs]))
-
-    def replace(batches):
-        forms, lemmas = (pa.array(v, pa.string()) for v in table.value)
-        for batch in batches:
-            at = batch.schema.get_field_index(column)
-            old = batch.column(at)
-            flat = old.flatten()
-            hit = pc.index_in(flat, value_set=forms)
-            new = pc.coalesce(lemmas.take(hit), flat.cast(pa.string()))
-            # ``flatten`` starts at the first row of the batch, so the offsets do too.
-            ends = pc.cumulative_sum(pc.coalesce(pc.list_value_length(old), pa.scalar(0, pa.int32())))
-            offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])
-            columns = list(batch.columns)
-            columns[at] = pa.ListArray.from_arrays(offsets, new)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
-
-    return df.mapInArrow(replace, df.schema)
+    """Replace forms by lemmas inside the rows.  Only the token column passes through
+    Python, and a task builds its lookup once."""
+    listed = {p.form: p.lemma for p in pairs}
+
+    @F.arrow_udf("array<string>")
+    def replace(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for old in batches:
+            # Look up each distinct form of the batch, not each token.
+            codes = old.flatten().cast(pa.string()).dictionary_encode()
+            forms = codes.dictionary.to_pylist()
+            lemmas = pa.array([listed.get(form, form) for form in forms], pa.string())
+            yield _lists(old, lemmas.take(codes.indices))
+
+    return df.withColumn(column, replace(column))
 
 
 def _replace_joined(df: DataFrame, mapping: DataFrame, column: str, key: str) -> DataFrame:
-    """Replacement for maps too large to ship: explode, join, gather per document."""
-    tokens = df.select(key, F.posexplode(column).alias("_pos", "form"))
-    replaced = (
-        tokens.join(mapping, "form", "left")
-        .withColumn("term", F.coalesce("lemma", "form"))
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("_pos", "term"))).alias("_new"))
-    )
-    restored = F.coalesce(F.col("_new.term"), F.array().cast("array<string>"))
-    return df.join(replaced, key, "left").withColumn(column, restored).drop("_new")
+    """Replacement for maps too large to ship.
+
+    Only the distinct forms of a document that have a lemma are joined and gathered, so a
+    frequent form is one row per document and most forms are none after the join.
+    """
+    changed = df.select(key, F.explode(F.array_distinct(column)).alias("form")).join(mapping, "form")
+    pair = F.struct("form", "lemma")
+    own = changed.groupBy(key).agg(F.collect_set(pair).alias("_pairs"))
+
+    @F.arrow_udf("array<string>")
+    def replace(tokens: pa.Array, forms: pa.Array, lemmas: pa.Array) -> pa.Array:
+        rows = []
+        for row, old, new in zip(tokens.to_pylist(), forms.to_pylist(), lemmas.to_pylist()):
+            listed = dict(zip(old or (), new or ()))
+            rows.append([listed.get(t, t) for t in row or ()])
+        return pa.array(rows, pa.list_(pa.string()))
+
+    replaced = replace(column, F.col("_pairs.form"), F.col("_pairs.lemma"))
+    return df.join(own, key, "left").withColumn(column, replaced).drop("_pairs")
+
+
+def lexicon_of(df: DataFrame, column: str = FEATURES) -> DataFrame:
+    """``lemma``: the distinct terms of the documents, written out for reuse."""
+    return through_table(df.select(F.explode(F.array_distinct(column)).alias("lemma")).distinct(), "terms")
 
 
 def lemmatize(
     df: DataFrame, lexicon: DataFrame | None = None, exceptions: DataFrame | None = None,
-    column: str = FEATURES, key: str = "doc_id", max_map: int = 2_000_000,
+    column: str = FEATURES, key: str = "doc_id", max_map: int = MAX_PAIRS,
 ) -> DataFrame:
     """Replace every token by its lemma.
 
     The rules run once per distinct term.  Without a lexicon, the documents' own terms
     serve as one.
     """
-    terms = df.select(F.explode(F.array_distinct(column)).alias("form")).distinct()
     if lexicon is None:
         # Used on both sides of a join: tokenize once, read the distinct terms twice.
-        terms = through_table(terms, "terms")
-        lexicon = terms.toDF("lemma")
+        lexicon = lexicon_of(df, column)
+        terms = lexicon.toDF("form")
+    else:
+        terms = df.select(F.explode(F.array_distinct(column)).alias("form")).distinct()
     mapping = lemma_map(terms, lexicon, exceptions)
     pairs = mapping.limit(max_map + 1).collect()
     if len(pairs) > max_map:
@@ -180,11 +212,11 @@ def lemmatize(
 
 def tokens_lemma(
     df: DataFrame, text: str = "text", stop_words=None, lexicon: DataFrame | None = None,
-    exceptions: DataFrame | None = None, key: str = "doc_id",
+    exceptions: DataFrame | None = None, key: str = "doc_id", max_map: int = MAX_PAIRS,
 ) -> DataFrame:
     """Letter runs, lower-cased and lemmatized, then filtered."""
     words = df.withColumn(FEATURES, fx.matches(text, fx.LETTERS))
-    lemmas = lemmatize(words, lexicon, exceptions, key=key)
+    lemmas = lemmatize(words, lexicon, exceptions, key=key, max_map=max_map)
     return filter_terms(lemmas, stop_words=stop_words, alpha_only=True, key=key)
 
 

@@ -2,31 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-@cache
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="lexigear-")
-
-
 def shared_folder(spark: SparkSession, name: str = "table") -> str:
-    """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting: its one machine is the whole
-    cluster, so a temporary folder is as shared as anything can be there.
-    """
+    """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``."""
     base = spark.conf.get(CHECKPOINT_KEY, None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder all executors reach")
-        base = _local_base()
+        raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder all executors reach")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -43,13 +30,12 @@ def through_table(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Rebalance a scan that has fewer splits than the session has cores.
+    """Rebalance a scan of one or two splits, if the session has more cores.
 
-    A large table has thousands of splits and passes unchanged; only a table of one
-    or two row groups is worth a shuffle.  ``scan`` must be free of shuffles, since
-    its split count is read from the physical plan.
+    A larger table passes unchanged, however many cores there are.  ``scan`` must be free
+    of shuffles, since its split count is read from the physical plan.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
+    if scan.rdd.getNumPartitions() >= min(cores, 3):
         return scan
     return scan.repartition(cores, *keys)

@@ -45,8 +45,7 @@ def test_one_hot_layout(spark):
     df = spark.createDataFrame([(5.0, "udp", "SF", 9), (6.0, "tcp", "S0", 8)], "d double, p string, s string, n int")
     rows = ft.one_hot(df, "d", ("p", "s"), ("n",)).orderBy("d").collect()
     assert [r.features for r in rows] == [[5.0, 0.0, 1.0, 0.0, 1.0, 9.0], [6.0, 1.0, 0.0, 1.0, 0.0, 8.0]]
-    with pytest.raises(ValueError):
-        ft.categories(df, ["p", "s"], max_values=1)
+    assert ft.categories(df, ["p", "s"]) == {"p": ["tcp", "udp"], "s": ["S0", "SF"]}
 
 
 def test_assign(spark, data):
