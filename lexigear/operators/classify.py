@@ -43,19 +43,16 @@ def hash_split(df: DataFrame, key: str, train: float = 0.8, seed: int = 42) -> t
 
 
 def indexers(columns: Sequence[str], label: str, order: str = "frequencyDesc") -> list[StringIndexer]:
-    """Category indexers; rows with unseen categories are skipped."""
-    every = [(c, f"{c}_indexed") for c in columns] + [(label, "label")]
-    return [
-        StringIndexer(inputCol=c, outputCol=o, handleInvalid="skip", stringOrderType=order)
-        for c, o in every
-    ]
+    """One indexer of all columns, fitted in one pass; rows with unseen categories are skipped."""
+    every = [*columns, label]
+    names = [*[f"{c}_indexed" for c in columns], "label"]
+    return [StringIndexer(inputCols=every, outputCols=names, handleInvalid="skip", stringOrderType=order)]
 
 
 def index_categories(df: DataFrame, columns: Sequence[str], order: str = "frequencyDesc") -> DataFrame:
-    for c in columns:
-        stage = StringIndexer(inputCol=c, outputCol=f"{c}_indexed", handleInvalid="skip", stringOrderType=order)
-        df = stage.fit(df).transform(df)
-    return df
+    names = [f"{c}_indexed" for c in columns]
+    stage = StringIndexer(inputCols=list(columns), outputCols=names, handleInvalid="skip", stringOrderType=order)
+    return stage.fit(df).transform(df)
 
 
 def tree_pipeline(categorical: Sequence[str], numeric: Sequence[str], label: str, classifier) -> Pipeline:
@@ -123,16 +120,16 @@ def binary_metrics(scored: DataFrame, score: str, label: str = "label", bins: in
 
     ``bins=0`` uses every distinct score as a threshold, which is exact.
     """
-    scored = scored.select(F.col(score).cast("double").alias("_score"), F.col(label).cast("double").alias("_label"))
+    scored = scored.select(F.col(score).cast("double").alias("_score"), F.col(label).cast("double").alias("_label")).persist()
 
     def area(name: str) -> float:
         return BinaryClassificationEvaluator(
             rawPredictionCol="_score", labelCol="_label", metricName=name, numBins=bins
         ).evaluate(scored)
 
-    return scored.sparkSession.createDataFrame(
-        [(area("areaUnderROC"), area("areaUnderPR"))], "area_under_roc double, area_under_pr double"
-    )
+    areas = (area("areaUnderROC"), area("areaUnderPR"))
+    scored.unpersist()
+    return scored.sparkSession.createDataFrame([areas], "area_under_roc double, area_under_pr double")
 
 
 def confusion(scored: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:

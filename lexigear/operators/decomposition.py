@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import warnings
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -20,13 +21,17 @@ MAX_SHIPPED_BYTES = 256 * 1024 * 1024
 PIECE = 32
 # Doubles held by one array operation inside a task.
 DOUBLES_PER_STEP = 250_000
-# Up to this many terms the product of all columns takes one pass.
+# Up to this many terms the product of all columns takes one pass.  More terms iterate,
+# to the same result.
 SMALL = 256
 # Blocks of directions kept on the driver.
 MAX_BLOCKS = 12
-# A singular value below this part of the largest counts as zero.  The values are roots
-# of eigenvalues of A'A, whose rounding errors have a root of about 1e-8.
-RANK_TOLERANCE = 1e-7
+# A singular value below this part of the largest counts as zero: the default of Spark's
+# ``computeSVD``.
+R_COND = 1e-9
+# Roots of eigenvalues of A'A carry errors of about 1e-8.  Values below this part of the
+# largest are measured again as lengths of A v, whose errors are those of a double.
+DOUBTFUL = 1e-6
 
 
 @dataclass(frozen=True)
@@ -35,13 +40,17 @@ class LsaModel:
 
     ``sigma`` (k values) and ``v`` (terms x k) are local, as the decomposition itself
     delivers them.  ``documents`` holds one row ``u`` per document and stays a
-    DataFrame; it is never collected.
+    DataFrame; it is never collected.  ``tokenizer`` names how the documents were
+    tokenized, and ``lexicon`` (``lemma``) is what their words were lemmatized with, so
+    that queries are treated alike.
     """
 
     vocab: Vocabulary
     sigma: np.ndarray
     v: np.ndarray
     documents: DataFrame
+    tokenizer: str = "regex"
+    lexicon: DataFrame | None = None
 
     @property
     def k(self) -> int:
@@ -57,22 +66,29 @@ class LsaModel:
 
     def terms(self) -> DataFrame:
         """``term_id, term, v``."""
-        rows = [(i, t, row.tolist()) for i, (t, row) in enumerate(zip(self.vocab.terms, self.v))]
-        return self.spark.createDataFrame(rows, "term_id int, term string, v array<double>")
+        n, k = self.v.shape
+        rows = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), pa.array(self.v.ravel()))
+        table = pa.table({"term_id": pa.array(np.arange(n, dtype=np.int32)), "term": pa.array(list(self.vocab.terms), pa.string()), "v": rows})
+        return self.spark.createDataFrame(table, "term_id int, term string, v array<double>")
 
     def truncate(self, k: int) -> LsaModel:
         """The model of the ``k`` strongest concepts.  Needs no new decomposition."""
         documents = self.documents.withColumn("u", F.slice("u", 1, k))
-        return LsaModel(self.vocab, self.sigma[:k], self.v[:, :k], documents)
+        return replace(self, sigma=self.sigma[:k], v=self.v[:, :k], documents=documents)
 
 
 def gram_times(matrix: DataFrame, x: np.ndarray) -> np.ndarray:
-    """``A' (A X)`` for a local block ``x`` (terms x b), in one pass over the documents.
+    """``A' (A X)`` for a local block ``x`` (terms x b).
 
     Every task adds up its share and cuts it into pieces of ``PIECE`` columns; Spark
     sums the shares per piece.  The piece has a fixed width, so that the plan and its
-    generated code are the same for every ``b``.
+    generated code are the same for every ``b``.  There are no more tasks than cores,
+    since each has a share to send.  A block that is too large to ship goes in slices of
+    columns, one pass each.
     """
+    columns = max(1, MAX_SHIPPED_BYTES // (8 * PIECE * max(1, len(x)))) * PIECE
+    if x.shape[1] > columns:
+        return np.hstack([gram_times(matrix, x[:, i : i + columns]) for i in range(0, x.shape[1], columns)])
     padded = np.pad(x, ((0, 0), (0, -x.shape[1] % PIECE)))
     shipped = matrix.sparkSession.sparkContext.broadcast(padded)
     step = max(1, DOUBLES_PER_STEP // padded.shape[1])
@@ -109,7 +125,8 @@ def gram_times(matrix: DataFrame, x: np.ndarray) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used), *columns], names=["piece", *names])
 
     schema = "piece long, " + ", ".join(f"{name} double" for name in names)
-    parts = matrix.select("ids", "weights").mapInArrow(shares, schema)
+    cores = matrix.sparkSession.sparkContext.defaultParallelism
+    parts = matrix.select("ids", "weights").coalesce(cores).mapInArrow(shares, schema)
     sums = parts.groupBy("piece").sum(*names).toArrow()
     shipped.destroy()
     out = np.zeros(padded.shape)
@@ -125,54 +142,83 @@ def _orthonormal(x: np.ndarray, basis: np.ndarray) -> np.ndarray:
     return x
 
 
+def _lengths(matrix: DataFrame, v: np.ndarray) -> np.ndarray:
+    """``|A v|`` of each column: one pass that adds up squares."""
+    times = _times(matrix.sparkSession, v)
+    rows = matrix.select(F.posexplode(times("ids", "weights")).alias("i", "x"))
+    found = np.zeros(v.shape[1])
+    for i, total in rows.groupBy("i").agg(F.sum(F.col("x") * F.col("x"))).collect():
+        found[i] = np.sqrt(total)
+    return found
+
+
 def factorize(
-    matrix: DataFrame, num_terms: int, k: int, tol: float = 1e-9, max_passes: int = 60
+    matrix: DataFrame, num_terms: int, k: int, tol: float = 1e-9, max_passes: int = 60,
+    r_cond: float = R_COND, block: int | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """The ``k`` largest singular values and right singular vectors (terms x k).
 
     ``matrix`` has the arrays ``ids`` and ``weights``; persist it, every step is a pass
-    over it.  A pass multiplies a whole block of somewhat more than ``k`` directions and
-    the next block is what the directions found so far leave unexplained.  That takes
-    about a dozen passes, where multiplying one direction at a time takes hundreds.  Up
-    to a few hundred terms a single pass gives the exact product of all columns.
+    over it.  A pass multiplies a whole block of directions (somewhat more than ``k``
+    unless ``block`` gives another width), and the next block is what the directions
+    found so far leave unexplained.  That takes about a dozen passes, where multiplying
+    one direction at a time takes hundreds.  Up to a few hundred terms a single pass
+    gives the exact product of all columns.
 
     It ends when all ``k`` residuals are below ``tol``, relative to the largest
-    eigenvalue of ``A'A``.  Fewer than ``k`` values come back if the rank is lower.  The
-    sign of a concept is arbitrary; here its entry of largest magnitude is positive.
+    eigenvalue of ``A'A``.  If that takes more than ``max_passes``, what has been found is
+    returned with a warning that names the residual.  Values below ``r_cond`` times the
+    largest count as zero, so fewer than ``k`` come back if the rank is lower, and none
+    if all weights are zero or there are no terms.  The sign of a concept is arbitrary;
+    here its entry of largest magnitude is positive.
     """
     k = min(k, num_terms)
-    width = min(num_terms, PIECE * -(-(k + max(10, k // 4)) // PIECE))
-    if num_terms <= max(SMALL, 2 * width):
+    if not k:
+        return np.empty(0), np.empty((num_terms, 0))
+    width = min(num_terms, block or PIECE * -(-(k + max(10, k // 4)) // PIECE))
+    if block is None and num_terms <= max(SMALL, 2 * width):
         width = num_terms
-    block = np.eye(num_terms) if width == num_terms else _orthonormal(
+    held = max(MAX_BLOCKS * width, 2 * k + width)
+    new = np.eye(num_terms) if width == num_terms else _orthonormal(
         np.random.default_rng(0).standard_normal((num_terms, width)), np.empty((num_terms, 0))
     )
     basis = image = np.empty((num_terms, 0))
     for number in range(max_passes):
-        basis = np.hstack([basis, block])
-        image = np.hstack([image, gram_times(matrix, block)])
+        basis = np.hstack([basis, new])
+        image = np.hstack([image, gram_times(matrix, new)])
         small = basis.T @ image
         values, mix = np.linalg.eigh((small + small.T) / 2)
         values, mix = values[::-1], mix[:, ::-1]
-        top = mix[:, :width]
-        rest = image @ top - basis @ (top * values[:width])
-        worst = np.linalg.norm(rest[:, :k], axis=0).max()
-        if worst <= tol * max(values[0], 0.0) or basis.shape[1] >= num_terms:
+        rest = image @ mix[:, : max(k, width)] - basis @ (mix[:, : max(k, width)] * values[: max(k, width)])
+        residual = np.linalg.norm(rest[:, :k], axis=0)
+        open_ = np.flatnonzero(residual > tol * max(values[0], 0.0))
+        if basis.shape[1] >= num_terms or basis.shape[1] >= k and not len(open_):
             break
-        if basis.shape[1] + width > MAX_BLOCKS * width:
+        # The first directions that are not settled yet, and after them the next best.
+        order = np.concatenate((open_, np.setdiff1d(np.arange(rest.shape[1]), open_)))[:width]
+        rest = rest[:, order]
+        if basis.shape[1] + width > held:
             # Keep the best directions only; their images need no new pass.
-            kept = mix[:, : MAX_BLOCKS // 2 * width]
+            kept = mix[:, : held // 2]
             basis, image = basis @ kept, image @ kept
-        block = _orthonormal(rest, basis)[:, : num_terms - basis.shape[1]]
+        if rest.shape[1] < width or not np.abs(rest).max() > 0:
+            fill = np.random.default_rng(number + 1).standard_normal((num_terms, width))
+            rest = np.hstack([rest, fill])[:, :width] if np.abs(rest).max() > 0 else fill
+        new = _orthonormal(rest, basis)[:, : num_terms - basis.shape[1]]
     else:
-        raise ArithmeticError(f"no convergence after {max_passes} passes, residual {worst}")
+        warnings.warn(f"{len(open_)} of {k} concepts have not settled after {max_passes} passes; largest residual {residual.max():.3g}", stacklevel=2)
     sigma = np.sqrt(np.maximum(values[:k], 0.0))
-    real = sigma > RANK_TOLERANCE * sigma[0]
-    v = (basis @ mix[:, :k])[:, real]
+    v = basis @ mix[:, :k]
+    if sigma[0] > 0 and (doubtful := sigma < DOUBTFUL * sigma[0]).any():
+        sigma[doubtful] = _lengths(matrix, v[:, doubtful])
+    real = sigma > r_cond * sigma[0]
+    sigma, v = sigma[real], v[:, real]
+    order = np.argsort(-sigma, kind="stable")
+    sigma, v = sigma[order], v[:, order]
     if not v.size:
-        return sigma[real], v
+        return sigma, v
     largest = v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])]
-    return sigma[real], v * np.where(largest < 0, -1.0, 1.0)
+    return sigma, v * np.where(largest < 0, -1.0, 1.0)
 
 
 def _times(spark: SparkSession, right: np.ndarray):
@@ -208,6 +254,8 @@ def project(matrix: DataFrame, sigma: np.ndarray, v: np.ndarray) -> DataFrame:
     Each document is multiplied where it lies.  The term factors go to the executors in
     blocks of concepts, so that one block stays below a fixed size.
     """
+    if not len(sigma):
+        return matrix.withColumn("u", F.array().cast("array<double>")).drop("ids", "weights")
     scaled = v / sigma
     width = max(1, MAX_SHIPPED_BYTES // max(1, scaled.shape[0] * 8))
     blocks = [
@@ -217,9 +265,12 @@ def project(matrix: DataFrame, sigma: np.ndarray, v: np.ndarray) -> DataFrame:
     return matrix.withColumn("u", F.concat(*blocks) if len(blocks) > 1 else blocks[0]).drop("ids", "weights")
 
 
-def lsa_fit(matrix: DataFrame, vocab: Vocabulary, k: int) -> LsaModel:
-    """Decompose ``doc_term_matrix`` output.  Other columns of a document stay with it."""
-    sigma, v = factorize(matrix, len(vocab), k)
+def lsa_fit(matrix: DataFrame, vocab: Vocabulary, k: int, **options) -> LsaModel:
+    """Decompose ``doc_term_matrix`` output.  Other columns of a document stay with it.
+
+    ``options`` go to ``factorize``.
+    """
+    sigma, v = factorize(matrix, len(vocab), k, **options)
     return LsaModel(vocab, sigma, v, project(matrix.drop("features"), sigma, v))
 
 
@@ -239,15 +290,22 @@ def normalize_rows(df: DataFrame, column: str) -> DataFrame:
 
 
 def save_model(model: LsaModel, path: str) -> None:
-    """Keep a model for later searches: four parquet tables below ``path``."""
+    """Keep a model for later searches: parquet tables below ``path``."""
     model.documents.write.mode("overwrite").parquet(f"{path}/documents")
     model.concepts().write.mode("overwrite").parquet(f"{path}/concepts")
     model.terms().write.mode("overwrite").parquet(f"{path}/terms")
     model.vocab.frame(model.spark).write.mode("overwrite").parquet(f"{path}/vocabulary")
+    kind = model.spark.createDataFrame([(model.tokenizer, model.lexicon is not None)], "tokenizer string, has_lexicon boolean")
+    kind.write.mode("overwrite").parquet(f"{path}/tokenizer")
+    if model.lexicon is not None:
+        model.lexicon.write.mode("overwrite").parquet(f"{path}/lexicon")
 
 
 def load_model(spark: SparkSession, path: str) -> LsaModel:
     vocab = Vocabulary.fetch(spark.read.parquet(f"{path}/vocabulary"))
-    sigma = [r.sigma for r in spark.read.parquet(f"{path}/concepts").orderBy("concept").collect()]
-    v = [r.v for r in spark.read.parquet(f"{path}/terms").orderBy("term_id").collect()]
-    return LsaModel(vocab, np.array(sigma), np.array(v), spark.read.parquet(f"{path}/documents"))
+    sigma = spark.read.parquet(f"{path}/concepts").orderBy("concept").toArrow().column("sigma").to_numpy()
+    terms = spark.read.parquet(f"{path}/terms").orderBy("term_id").toArrow().column("v")
+    v = terms.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(terms), len(sigma))
+    kind = spark.read.parquet(f"{path}/tokenizer").head()
+    lexicon = spark.read.parquet(f"{path}/lexicon") if kind.has_lexicon else None
+    return LsaModel(vocab, sigma, v, spark.read.parquet(f"{path}/documents"), kind.tokenizer, lexicon)

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from lexigear.functions import vectors as vx
 from lexigear.operators.decomposition import LsaModel
+from lexigear.shared import through_table
 
 DIGITS = 9
 # Queries scored together in one pass over the documents.
@@ -149,7 +150,8 @@ def batch_search(
     no result.
     """
     passes = max(1, -(-queries.count() // queries_per_pass))
-    vectors = query_vector(queries, model.vocab.frame(model.spark))
+    # Every pass reads its block of queries; written out, they are tokenized once.
+    vectors = through_table(query_vector(queries, model.vocab.frame(model.spark)), "queries")
     dealt = vectors.withColumn("_pass", F.pmod(F.xxhash64("query_id"), F.lit(passes)))
     id_type = queries.schema["query_id"].dataType
     results = []

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from lexigear.functions.text import run_lengths
 from lexigear.functions.vectors import literal
 
-# A vocabulary beyond this size is joined by shuffle instead of being broadcast.
+# A vocabulary beyond this size is joined by shuffle instead of being broadcast, to the
+# same result.
 MAX_BROADCAST_TERMS = 1_000_000
 
 
@@ -101,9 +102,12 @@ def doc_term_matrix(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     """The input plus the document's TF-IDF row as two arrays, ``ids`` and ``weights``.
 
     ``CountVectorizerModel`` counts the vocabulary terms of a document where it lies, so
-    the whole step needs no shuffle.  A document without vocabulary terms has empty
-    arrays: a zero row.
+    the whole step needs no shuffle.  A document without vocabulary terms, or with null
+    in place of tokens, has empty arrays: a zero row.
     """
+    docs = docs.withColumn("features", F.coalesce("features", F.array().cast("array<string>")))
+    if not len(vocab):
+        return docs.select("*", F.array().cast("array<int>").alias("ids"), F.array().cast("array<double>").alias("weights"))
     counter = CountVectorizerModel.from_vocabulary(
         list(vocab.terms), inputCol="features", outputCol="_vector"
     )
@@ -120,8 +124,11 @@ def matrix_entries(matrix: DataFrame) -> DataFrame:
     return matrix.select("doc_id", F.inline(zipped))
 
 
-def corpus_stats(docs: DataFrame, num_freq: int) -> DataFrame:
-    """One row of counts: documents, tokens, distinct terms, vocabulary, matrix size."""
+def corpus_stats(
+    docs: DataFrame, num_freq: int, files: DataFrame | None = None, stop_words: DataFrame | None = None
+) -> DataFrame:
+    """One row of counts: documents, tokens, distinct terms, vocabulary, matrix size, and,
+    where they are given, input files (one row each) and stop words."""
     per_doc = docs.select(F.size("features").alias("n"))
     totals = per_doc.agg(
         F.count("*").alias("num_docs"),
@@ -129,6 +136,9 @@ def corpus_stats(docs: DataFrame, num_freq: int) -> DataFrame:
         F.sum((F.col("n") == 0).cast("long")).alias("empty_docs"),
     )
     terms = doc_freqs(docs).agg(F.count("*").alias("n")).scalar()
+    for name, given in (("num_files", files), ("num_stop_words", stop_words)):
+        if given is not None:
+            totals = totals.withColumn(name, given.distinct().agg(F.count("*").alias("n")).scalar())
     return (
         totals.withColumn("num_terms", terms)
         .withColumn("vocabulary_size", F.least("num_terms", F.lit(num_freq).cast("long")))

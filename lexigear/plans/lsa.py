@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexigear.functions import text as fx
 from lexigear.functions import vectors as vx
+from lexigear.operators import concepts as co
+from lexigear.operators import search as se
 from lexigear.operators import tokens as tk
 from lexigear.operators import weighting as wt
 from lexigear.operators.decomposition import LsaModel, factorize, lsa_fit, project
@@ -20,22 +24,50 @@ GRID_NUM_FREQ = (5000, 10000, 20000)
 GRID_K = (25, 100, 250)
 
 
-def fit(docs: DataFrame, num_freq: int, k: int, keep: bool = False) -> LsaModel:
+TOKENIZERS = {"regex": tk.tokens_regex, "exercise": tk.tokens_exercise, "nlp": tk.tokens_lemma}
+
+
+def fit(
+    docs: DataFrame, num_freq: int, k: int, keep: bool = False, tokenizer: str = "regex",
+    lexicon: DataFrame | None = None, **options,
+) -> LsaModel:
     """Decompose documents with token arrays (``doc_id, title, features``).
 
-    The weighted rows are persisted while the solver runs.  With ``keep`` the document
-    factors are written to the shared folder, so that any number of searches read them
-    instead of projecting the documents anew.
+    The documents are tokenized once: their tokens are persisted until the weighted rows
+    are, and these while the solver runs.  With ``keep`` the document factors are written
+    to the shared folder, so that any number of searches read them instead of projecting
+    the documents anew, and nothing stays persisted.  ``tokenizer`` and ``lexicon`` are
+    kept for queries; ``options`` go to the solver.
     """
-    vocab = wt.Vocabulary.fetch(wt.vocabulary(docs, num_freq))
-    matrix = wt.doc_term_matrix(docs, vocab).drop("features").persist(StorageLevel.MEMORY_AND_DISK)
-    model = lsa_fit(matrix, vocab, k)
+    tokens = docs.persist(StorageLevel.MEMORY_AND_DISK)
+    vocab = wt.Vocabulary.fetch(wt.vocabulary(tokens, num_freq))
+    matrix = wt.doc_term_matrix(tokens, vocab).drop("features").persist(StorageLevel.MEMORY_AND_DISK)
+    matrix.count()
+    tokens.unpersist()
+    model = replace(lsa_fit(matrix, vocab, k, **options), tokenizer=tokenizer, lexicon=lexicon)
     if keep:
-        model = LsaModel(vocab, model.sigma, model.v, through_table(model.documents, "factors"))
+        model = replace(model, documents=through_table(model.documents, "factors"))
         matrix.unpersist()
     return model
 
 
+def query_terms(model: LsaModel, text: str) -> list[str]:
+    """The terms of a query text, made the way the model's documents were tokenized.
+
+    Its words are lemmatized against the documents' lexicon, so "wolves" finds documents
+    about a wolf although they never say "wolves".
+    """
+    row = model.spark.createDataFrame([(0, text)], "doc_id int, text string")
+    return query_tokens(model, row).head().features
+
+
+def query_tokens(model: LsaModel, queries: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``features`` of many query texts at once, as ``query_terms``."""
+    if model.tokenizer == "nlp":
+        return tk.tokens_lemma(queries, text, lexicon=model.lexicon, key=key)
+    return TOKENIZERS[model.tokenizer](queries, text, key=key)
+
+
 def timed_fit(
     docs: DataFrame, tokenize: Callable[[DataFrame], DataFrame], num_freq: int, k: int
 ) -> tuple[LsaModel, DataFrame]:
@@ -66,15 +98,16 @@ def grid(
     tokenizers: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
     num_freqs: Sequence[int] = GRID_NUM_FREQ,
     ks: Sequence[int] = GRID_K,
+    shared: bool = False,
 ) -> list[dict]:
     """Every combination of tokenizer, vocabulary size and k, with runtimes.
 
     Documents are tokenized once per tokenizer and document frequencies counted once:
-    a smaller vocabulary is the head of a larger one.  One decomposition at the largest
-    k per vocabulary serves the smaller ks.  ``runtime_seconds`` is what the run would
-    take alone: tokens + weights + its share of decomposition time, which is measured
-    for the largest k.  ``energy`` is the part of the squared weights the k concepts
-    keep.
+    a smaller vocabulary is the head of a larger one.  Each k has a decomposition of its
+    own, so that ``runtime_seconds`` is what the run would take alone: tokens, weights
+    and its decomposition.  With ``shared`` one decomposition at the largest k serves all
+    ks of a vocabulary, and they report its time.  ``energy`` is the part of the squared
+    weights the k concepts keep.
     """
     if tokenizers is None:
         tokenizers = {"regex": tk.tokens_regex, "nlp": tk.tokens_lemma}
@@ -89,10 +122,12 @@ def grid(
             vocab = largest.head(num_freq)
             matrix = wt.doc_term_matrix(tokens, vocab).select("ids", "weights").persist()
             total = matrix.agg(F.sum(vx.dot(F.col("weights"), F.col("weights")))).head()[0] or 0.0
-            sigma, _ = factorize(matrix, len(vocab), max(ks))
-            matrix.unpersist()
-            seconds = token_seconds + time.perf_counter() - start
+            weight_seconds = token_seconds + time.perf_counter() - start
             for k in ks:
+                if not shared or k == ks[0]:
+                    start = time.perf_counter()
+                    sigma, _ = factorize(matrix, len(vocab), max(ks) if shared else k)
+                    seconds = weight_seconds + time.perf_counter() - start
                 energy = float((sigma[:k] ** 2).sum() / total) if total else 0.0
                 runs.append(
                     {
@@ -104,6 +139,7 @@ def grid(
                         "energy": energy,
                     }
                 )
+            matrix.unpersist()
         tokens.unpersist()
     return runs
 
@@ -118,7 +154,7 @@ def pick_best(runs: DataFrame) -> DataFrame:
     return runs.orderBy(F.desc(F.round("energy", 9)), "k", "numFreq", "tokenizer").limit(1)
 
 
-def movie_docs(movies: DataFrame) -> DataFrame:
+def movie_docs(movies: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     """Movies (``Title, Genre, Plot``) as documents with ``features``.
 
     Titles are not unique (remakes), so the id is a hash of the whole record.
@@ -128,8 +164,21 @@ def movie_docs(movies: DataFrame) -> DataFrame:
         record.alias("doc_id"), F.col("Title").alias("title"), F.col("Genre").alias("genre"),
         F.col("Plot").alias("text"),
     )
-    return tk.with_features(docs, "text").drop("text")
+    return tk.with_features(docs, "text", lexicon=lexicon).drop("text")
+
+
+def movie_lsa(movies: DataFrame, num_freq: int = 5000, k: int = 25, **options) -> LsaModel:
+    """A model of lemmatized plots that lemmatizes its queries alike.
+
+    Its documents keep ``genre``; rank concepts with ``top_terms`` and ``top_docs``, and
+    search it with ``movie_search``.
+    """
+    words = movies.select(fx.matches("Plot", fx.LETTERS).alias(tk.FEATURES))
+    lexicon = tk.lexicon_of(words)
+    return fit(movie_docs(movies, lexicon), num_freq, k, tokenizer="nlp", lexicon=lexicon, **options)
 
 
-def movie_lsa(movies: DataFrame, num_freq: int = 5000, k: int = 25) -> LsaModel:
-    return fit(movie_docs(movies), num_freq, k)
+def movie_search(model: LsaModel, text: str, n: int = 10) -> DataFrame:
+    """``doc_id, title, score, genres`` of the movies closest to a keyword query."""
+    found = se.search_cosine(model, query_terms(model, text), n)
+    return co.top_docs_with_genres(found, model.documents.select("doc_id", "genre"))

@@ -12,6 +12,7 @@ HEADER = r'^[^\n]*?id="([^"]*)"[^\n]*?url="([^"]*)"[^\n]*?title="([^"]*)"'
 BODY = r"(?s)^[^\n]*\n(.*?)(?<=\n)</doc>"
 OPENING = r"(?:^|\n)<doc "
 OPENING_LINE = "\n<doc "
+ATTRIBUTE = r'^(?:<doc |\s*[\w:.-]+=")'
 
 
 def read_dump(spark: SparkSession, glob: str) -> DataFrame:
@@ -65,11 +66,13 @@ def read_documents(spark: SparkSession, glob: str) -> DataFrame:
 
     The reader breaks files at lines that open a block, so a record is one block and a
     file of any size is shared by many tasks.  Text before the first block of a file
-    is a record too; it is told apart by its missing header.
+    is a record too; a record that begins neither with the tag nor with an attribute is
+    such text.
     """
     records = spark.read.text(glob, lineSep=OPENING_LINE)
+    begun = records.where(F.regexp_like("value", F.lit(ATTRIBUTE)))
     # The first record of a file still carries its opening tag.
-    return _documents(records, F.regexp_replace("value", r"^<doc ", ""))
+    return _documents(begun, F.regexp_replace("value", r"^<doc ", ""))
 
 
 def write_dump(docs: DataFrame, path: str, docs_per_file: int = 1000) -> None:

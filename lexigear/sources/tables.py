@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexigear.shared import through_table
+
 # The columns of the delimited inputs.
 MOVIE_SCHEMA = T.StructType(
     [
@@ -73,7 +75,8 @@ def with_stable_id(df: DataFrame, rows_per_task: int = 1_000_000) -> DataFrame:
     one row may have any number of copies.
     """
     columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    # Read by both branches below: written out, the rows are shuffled once.
+    counted = through_table(df.groupBy(*columns).agg(F.count("*").alias("_copies")), "copies")
 
     def numbered(rows: DataFrame, first, last) -> DataFrame:
         each = rows.select(*columns, F.explode(F.sequence(first, last)).alias("_copy"))
