@@ -17,13 +17,16 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from checks import queries as q  # noqa: E402
+from lexigear.operators import classify as jc  # noqa: E402
 from lexigear.operators import concepts as co  # noqa: E402
 from lexigear.operators import search as se  # noqa: E402
 from lexigear.operators import tokens as tk  # noqa: E402
 from lexigear.operators import weighting as wt  # noqa: E402
 from lexigear.plans import gearbox, lsa  # noqa: E402
+from lexigear.sources.tables import with_point_id  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -62,6 +65,54 @@ def sweep_job(spark, sf: str, ks) -> None:
     gearbox.sweep_k(data, ks, keep=["l_partkey"]).outliers.count()
 
 
+def copies(spark, sf: str, table: str, times: int):
+    """``times`` copies of a table, written out, as input of the size that was published."""
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/{table}-{times}"
+    rows = spark.read.parquet(f"{sf}/{table}.parquet")
+    rows.select("*", F.explode(F.sequence(F.lit(1), F.lit(times))).alias("copy")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def large_sweep(spark, sf: str, ks, seconds: dict) -> None:
+    """Fit and scoring alone, as the published times: 14.4 million three-sensor readings."""
+    rows = copies(spark, sf, "lineitem", 24).select("l_quantity", "l_discount", "l_tax")
+    data = gearbox.prepare(rows, ["l_quantity", "l_discount", "l_tax"])
+    data = with_point_id(data).select("point_id", "features").persist()
+    data.count()
+    for k in ks:
+        summary = gearbox.sweep_k(data, (k,), keep=[]).summary
+        seconds[f"large_kmeans_k{k}"] = round(summary.head().runtime_seconds, 3)
+    data.unpersist()
+
+
+def large_lsa(spark, sf: str, num_freq: int, k: int, times: int = 5) -> None:
+    docs = copies(spark, sf, "documents", times)
+    name = F.concat_ws("-", "doc_id", "copy")
+    lsa_run(tk.tokens_regex(docs.select(name.alias("doc_id"), name.alias("title"), "text")).select("doc_id", "title", "features"), num_freq, k)
+
+
+def lsa_run(docs, num_freq: int, k: int) -> None:
+    model = lsa.fit(docs, num_freq, k, keep=True)
+    run(co.top_terms(model))
+    run(co.top_docs(model))
+
+
+def full_jobs(spark, sf: str) -> dict:
+    """Whole grids and published sizes; only with BENCH_FULL=1."""
+    from checks import exact
+
+    docs = lambda: q.documents(spark, sf)
+    return {
+        "lsa_20000_250": lambda: lsa_run(q.regex_docs(spark, sf), 20000, 250),
+        "lsa_grid_regex": lambda: lsa.grid(docs(), {"regex": tk.tokens_regex}),
+        "large_lsa_5000_25": lambda: large_lsa(spark, sf, 5000, 25),
+        "tune_cv_18": lambda: run(exact.tuned(spark, sf, jc.tune_cv, jc.decision_tree(), jc.area_under_roc())),
+        "tune_tvs_18": lambda: run(exact.tuned(spark, sf, jc.tune_tvs, jc.decision_tree(), jc.area_under_roc())),
+        "forest_cv_54": lambda: run(exact.tuned(spark, sf, jc.tune_cv, jc.random_forest(), jc.accuracy(), trees=jc.TREES)),
+        "sweep_entropy_120_160": lambda: gearbox.sweep_entropy(q.labelled_features(spark, sf), range(120, 161, 10)),
+    }
+
+
 def jobs(spark, sf: str) -> dict:
     docs = lambda: q.documents(spark, sf)
     return {
@@ -94,6 +145,13 @@ def main() -> None:
         job()
         seconds[name] = round(time.perf_counter() - start, 3)
         spark.catalog.clearCache()
+    if os.environ.get("BENCH_FULL"):
+        for name, job in full_jobs(spark, SF_DIR).items():
+            start = time.perf_counter()
+            job()
+            seconds[name] = round(time.perf_counter() - start, 3)
+            spark.catalog.clearCache()
+        large_sweep(spark, SF_DIR, (2, 7, 12), seconds)
     total = round(sum(seconds.values()), 3)
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": SF_DIR.rsplit("sf", 1)[-1]}))
     spark.stop()

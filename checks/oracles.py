@@ -250,7 +250,7 @@ def oracle_sql() -> dict[str, str]:
         f"CAST(prediction AS INT) AS prediction, round(distance, 6) AS distance FROM ({TOPS})",
         "b2_write_scores": f"{LLOYDS} SELECT CAST(k AS INT) AS k, round(avg_distance, 6) AS avg_distance FROM ({SCORES})",
         "b3_write_scored_sample": f"{LLOYD} SELECT CAST(id AS BIGINT) AS point_id, CAST(prediction AS INT) AS prediction, round(distance, 6) AS distance "
-        f"FROM s ORDER BY {ORDER_42.format(key='id')} LIMIT 100",
+        f"FROM s ORDER BY {ORDER_42.format(key='id')} LIMIT 5000",
         "b5_saved_model_search": SEARCH,
         "b6_dump_clusters": f"{LLOYD} SELECT CAST(prediction AS INT) AS cluster, CAST(count(*) AS BIGINT) AS n, "
         "CAST(sum(len(f)) AS BIGINT) AS n_values, round(sum(list_sum(f)), 4) AS total FROM s GROUP BY 1",

@@ -310,7 +310,7 @@ def b2_write_scores(spark, sf):
 @query
 def b3_write_scored_sample(spark, sf):
     path = shared_folder(spark, "sample")
-    sample = ol.fixed_sample(lloyd_scored(spark, sf), 100).select("point_id", "prediction", "distance")
+    sample = ol.fixed_sample(lloyd_scored(spark, sf)).select("point_id", "prediction", "distance")
     sinks.write_scored_sample(sample, path)
     schema = "point_id long, prediction int, distance double"
     return spark.read.schema(schema).option("header", True).csv(path).select("point_id", "prediction", rounded("distance"))
@@ -723,10 +723,13 @@ def h8_sweep_k(spark, sf):
     return readings_sweep(spark, sf).summary
 
 
+def labelled_features(spark, sf) -> DataFrame:
+    return ft.normalize_pop(encoded(spark, sf)).select(F.col("l_linestatus").alias("label"), "features")
+
+
 @query
 def h8_sweep_entropy(spark, sf):
-    data = ft.normalize_pop(encoded(spark, sf)).select(F.col("l_linestatus").alias("label"), "features")
-    return gearbox.sweep_entropy(data, (5, 10, 15))
+    return gearbox.sweep_entropy(labelled_features(spark, sf), (5, 10, 15))
 
 
 @query
@@ -797,7 +800,7 @@ def h16_fixed_sample(spark, sf):
 @query
 def h17_project_2d(spark, sf):
     scored = lloyd_scored(spark, sf)
-    points, _ = ol.project_2d(scored, ol.fixed_sample(scored, 200))
+    points, _ = ol.project_2d(scored, ol.fixed_sample(scored))
     return points.select("point_id", "x", "y", "prediction", "is_outlier")
 
 
