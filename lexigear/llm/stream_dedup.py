@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 
 from lexigear.llm.common import materialize, scratch, small
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; a task that has committed its part of it unloads it, so that an executor
+#: holds only the databases it is working on, however many partitions the state has.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 
 
 def sha256(text: Column) -> Column:
@@ -46,13 +50,15 @@ def ingest(spark: SparkSession, folder: str) -> DataFrame:
     def put(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/groups/run-{number}")
 
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
     try:
         query = groups.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     found = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/groups")
     if found.agg(F.min("batch") == F.max("batch")).first()[0] is False:
         newest = F.max_by(F.struct("group_size", "winner"), "batch").alias("now")
