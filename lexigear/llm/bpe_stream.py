@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lexigear.llm.common import texts
+from lexigear.llm.common import few, texts
 from lexigear.llm.swap_packing import byte_alphabet
 
 CACHED = 300_000  # entries of each memo of a task; a full one is emptied
@@ -285,7 +285,7 @@ def code_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path)
-        for batch in batches:
+        for batch in few(batches):
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
                 ids_hash, text_hash, n = hashlib.sha256(), hashlib.sha256(), 0

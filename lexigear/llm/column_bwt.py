@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigear.llm.common import materialize, run_starts, runs
+from lexigear.llm.common import few, materialize, run_starts, runs
 
 WIDTH = 200
 GRAM = 64
@@ -177,7 +177,7 @@ def anchor_hashes(rows: DataFrame) -> DataFrame:
     """(hash, row): every anchor of every document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             row = batch.column(0).to_numpy()
             for doc, h, *_ in excerpts([t.encode() for t in batch.column(1).to_pylist()]):
                 if len(doc):
@@ -192,7 +192,7 @@ def cut_excerpts(rows: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         written: set[bytes] = set()
-        for batch in batches:
+        for batch in few(batches):
             data = [t.encode() for t in batch.column(2).to_pylist()]
             wanted = [np.array(x, dtype=np.int64) for x in batch.column(3).to_pylist()]
             doc_id, row = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -339,7 +339,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     same = (F.col("row") == F.col("its_row")) & F.col("doc_id").eqNullSafe(F.col("its_id"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches, 100):
             out = []
             for doc, text, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 data = text.encode()

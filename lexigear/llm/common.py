@@ -46,18 +46,12 @@ def texts(column: pa.ChunkedArray | pa.Array) -> list[str]:
     return ["" if x is None else x for x in column.to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
-    """Cuts a batch so that no piece holds much more than ``most`` bytes of ``column``;
-    a single longer value stays whole."""
-    sizes = [0 if not x.is_valid else len(x.as_buffer()) for x in batch.column(column)]
-    start = held = 0
-    for i, n in enumerate(sizes):
-        if held and held + n > most:
-            yield batch.slice(start, i - start)
-            start, held = i, 0
-        held += n
-    if start < len(sizes):
-        yield batch.slice(start)
+def few(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a task turns few texts at a time into
+    Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def runs(batches: Iterator[pa.RecordBatch], key: list[str], rows: int = 50_000) -> Iterator[pa.Table]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigear.llm.common import texts
+from lexigear.llm.common import few, texts
 from lexigear.llm.html_blocks import Block, blocks
 
 OTHER, MAIN = 0, 1
@@ -283,7 +283,7 @@ def extract(pages: DataFrame, field: Field | None = None, id_col: str = "page_id
     model = field or default_field()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             found = ["\n\n".join(main_blocks(h, model)) for h in texts(batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

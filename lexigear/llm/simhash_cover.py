@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigear.llm.common import materialize, run_starts, runs, small, texts
+from lexigear.llm.common import few, materialize, run_starts, runs, small, texts
 from lexigear.llm.components import connected_components
 
 SEED = 42
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, fp): one row per document; fp is the unsigned fingerprint as a signed long."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             fps = np.fromiter((fingerprint(t) for t in texts(batch.column(1))), dtype=np.uint64, count=batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lexigear.llm.common import materialize, texts
+from lexigear.llm.common import few, materialize, texts
 
 CAPACITY = 1024
 END = 2
@@ -84,7 +84,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).ids
-        for batch in batches:
+        for batch in few(batches):
             rows: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
                 ids = array("I", encode(text))

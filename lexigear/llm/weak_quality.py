@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigear.llm.common import texts
+from lexigear.llm.common import few, texts
 
 TRAIN_ROWS = 4_000  # documents that the scorer is fitted on, those with the smallest id hashes
 BUCKETS = 1 << 15
@@ -101,7 +101,7 @@ def with_votes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = 3 ** np.arange(len(LABELLERS))
-        for batch in batches:
+        for batch in few(batches):
             found = [int(base @ votes(t, measure(t))) for t in (x.encode() for x in texts(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int32())], names=["doc_id", "pattern"])
 
@@ -251,7 +251,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_r
 
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = 3 ** np.arange(len(LABELLERS))
-        for batch in batches:
+        for batch in few(batches):
             rows = []
             for t in (x.encode() for x in texts(batch.column(0))):
                 m = measure(t)
@@ -278,7 +278,7 @@ def scored(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_co
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = 3 ** np.arange(len(LABELLERS))
-        for batch in batches:
+        for batch in few(batches):
             score, pattern = [], []
             for t in (x.encode() for x in texts(batch.column(1))):
                 score.append(model.scorer.score(t))
@@ -294,7 +294,8 @@ def score_column(text: str, model: QualityModel):
 
     @F.arrow_udf("double")
     def apply(column: pa.Array) -> pa.Array:
-        return pa.array([model.scorer.score(t.encode()) for t in texts(column)], pa.float64())
+        parts = (column.slice(at, 500) for at in range(0, len(column), 500))
+        return pa.array([model.scorer.score(t.encode()) for part in parts for t in texts(part)], pa.float64())
 
     return apply(F.col(text).cast("string"))
 
