@@ -300,7 +300,8 @@ def repeated_spans(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     ``rows`` come from ``keyed``.
     """
     every = materialize(anchor_hashes(rows), "anchors")
-    often = every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # written out, so that the join below can split a hash that holds many rows
+    often = materialize(every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "often")
     hits = materialize(every.join(often, "hash").groupBy("row").agg(F.collect_set("hash").alias("hashes")), "hits")
     entries = hits.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0)), F.count("*")).first()
     near = rows
