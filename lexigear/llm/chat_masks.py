@@ -129,13 +129,14 @@ def format_conversations(turns: DataFrame, path: str, loss_role: str = LOSS_ROLE
         keys: list[tuple] = []
         held: list[Formatted] = []
         now: tuple | None = None
-        part, pending = 0, []
+        part, pending, size = 0, [], 0
 
         def close() -> None:
-            nonlocal pending, part
+            nonlocal pending, part, size
             if pending:
                 keys.append((*now, part))
                 held.append(render(pending))
+                size += len(held[-1].text)
                 part, pending = part + 1, []
 
         for batch in batches:
@@ -146,9 +147,9 @@ def format_conversations(turns: DataFrame, path: str, loss_role: str = LOSS_ROLE
                 elif len(pending) == MOST_ROWS:
                     close()
                 pending.append((role, text))
-                if sum(len(h.text) for h in held[-1:]) > 1_000_000 or len(held) >= 200:
+                if size > 1_000_000 or len(held) >= 200:
                     yield _encoded(keys, held, path, loss_role)
-                    keys, held = [], []
+                    keys, held, size = [], [], 0
         close()
         if held:
             yield _encoded(keys, held, path, loss_role)
