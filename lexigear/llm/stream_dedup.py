@@ -73,7 +73,8 @@ def collided(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str, dig
     read = docs.select(digest(text).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes"), F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     rows = read.join(small(hits), ["digest", "n_bytes"])
     kept = rows.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest", "n_bytes").agg(F.min("text").alias("kept_text"))
-    differ = rows.join(kept, ["digest", "n_bytes"]).where(F.col("text") != F.col("kept_text"))
+    # written out, so that the join can split a digest that holds many rows
+    differ = rows.join(materialize(kept, "winners"), ["digest", "n_bytes"]).where(F.col("text") != F.col("kept_text"))
     return materialize(differ.select("digest", "n_bytes").distinct(), "collided")
 
 
