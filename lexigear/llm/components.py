@@ -13,8 +13,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round links every node's larger neighbours, then its smaller ones, to the smallest
     neighbour; the table shrinks to one edge from each node to its component's smallest
-    node.  Rounds grow with the logarithm of the longest path.  All steps are joins on a
-    side that has one row per node, so a node with very many edges can be split.  Loops
+    node.  Rounds grow with the logarithm of the longest path.  All steps are joins with a
+    written table of one row per node, so the edges of a node that has very many can be
+    split over tasks.  Loops
     and repeated edges are ignored, edges with a null end too; nodes without edges do not
     come back.
     """
@@ -35,12 +36,13 @@ def _mark(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Links the neighbours of x that are larger than x to the smallest of x and its neighbours."""
     both = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y")))
-    least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
+    least = materialize(both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m")), "least")
     return both.where("y > x").join(least, "x").select(F.col("m").alias("a"), F.col("y").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links x and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("b").agg(F.min("a").alias("m"))
+    edges = materialize(edges, "large-star")
+    least = materialize(edges.groupBy("b").agg(F.min("a").alias("m")), "least")
     moved = edges.join(least, "b").where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
     return moved.unionByName(least.select(F.col("m").alias("a"), "b")).distinct()
