@@ -75,7 +75,9 @@ def collided(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str, dig
     kept = rows.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest", "n_bytes").agg(F.min("text").alias("kept_text"))
     # written out, so that the join can split a digest that holds many rows
     differ = rows.join(materialize(kept, "winners"), ["digest", "n_bytes"]).where(F.col("text") != F.col("kept_text"))
-    return materialize(differ.select("digest", "n_bytes").distinct(), "collided")
+    # as above: a grouping on the join's own key would keep it from splitting
+    rows_apart = materialize(differ.select("digest", "n_bytes"), "differing")
+    return materialize(rows_apart.distinct(), "collided")
 
 
 def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = sha256) -> DataFrame:
