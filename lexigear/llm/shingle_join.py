@@ -1,0 +1,134 @@
+"""Pairs of documents whose sets of word shingles are alike, found completely.
+
+Two sets of a similarity (Jaccard) of at least s share one of the first n - ceil(s n) + 1
+shingles of either, in any order of all shingles that is the same for both (prefix filter).
+Prefixes by hash value come first: they are a small part of all shingles, and drop the
+documents that meet no other.  The sets of the rest are ordered from rare to frequent
+shingles, so that common lines stay out of the prefixes; what meets there is compared
+shingle by shingle.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+from fractions import Fraction
+from math import ceil
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from lexigear.llm.common import few, materialize, texts
+from lexigear.llm.components import connected_components
+
+SEED = 42
+
+
+def shingles(text: str, width: int) -> np.ndarray:
+    """Sorted XXH64 of the different word shingles; A-Z lowered, no words give none."""
+    words = text.encode("utf-8", "replace").lower().split()
+    if not words:
+        return np.empty(0, dtype=np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    last = max(len(words) - width + 1, 1)
+    spans = zip(starts[:last].tolist(), ends[min(width, len(words)) - 1 :].tolist())
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in spans), dtype=np.uint64, count=last))
+
+
+def prefix_size(n: int, similarity: Fraction) -> int:
+    return n - ceil(similarity * n) + 1 if n else 0
+
+
+def shingle_sets(docs: DataFrame, width: int, similarity: Fraction | None) -> DataFrame:
+    """(doc_id, digest, n, shingles) of (doc_id, text); with a similarity, the prefix only."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few(batches):
+            sets = [shingles(t, width) for t in texts(batch.column(1))]
+            digests = pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())
+            sizes = pa.array([len(s) for s in sets], pa.int32())
+            held = sets if similarity is None else [s[: prefix_size(len(s), similarity)] for s in sets]
+            offsets = np.concatenate(([0], np.cumsum([len(s) for s in held]))).astype(np.int32)
+            values = np.concatenate([np.empty(0, dtype=np.uint64), *held]).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+            yield pa.RecordBatch.from_arrays([batch.column(0), digests, sizes, lists], names=["doc_id", "digest", "n", "shingles"])
+
+    return docs.mapInArrow(of, "doc_id long, digest binary, n int, shingles array<long>")
+
+
+def alike(a: str, b: str, similarity: Fraction) -> Column:
+    """Whether sizes ``a`` and ``b`` allow the similarity."""
+    p, q = F.lit(similarity.numerator), F.lit(similarity.denominator)
+    return F.least(a, b) * q >= F.greatest(a, b) * p
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+    """(u, v): the representatives of those ``pairs`` (a, b) of digests that are alike."""
+    left = sets.select(F.col("digest").alias("a"), F.col("rep").alias("u"), F.col("shingles").alias("x"))
+    right = sets.select(F.col("digest").alias("b"), F.col("rep").alias("v"), F.col("shingles").alias("y"))
+    common = F.size(F.array_intersect("x", "y"))
+    enough = common * F.lit(similarity.denominator) >= (F.size("x") + F.size("y") - common) * F.lit(similarity.numerator)
+    return pairs.join(left, "a").join(right, "b").where(enough).select("u", "v")
+
+
+def links(docs: DataFrame, width: int, similarity: float, stars: bool = True) -> DataFrame:
+    """(node, component) of all documents linked by a similarity of ``similarity`` or more.
+
+    ``docs`` has doc_id and text.  Documents of equal sets, those without words among them,
+    are alike.  Of the documents that meet at a shingle, each is compared with one of them
+    first (``stars``); all pairs that are not connected by then follow.
+    """
+    least = Fraction(str(similarity))
+    if not 0 < least <= 1:
+        raise ValueError("similarity must be above 0 and at most 1")
+    short = materialize(shingle_sets(docs, width, least), "prefixes")
+    reps = materialize(short.groupBy("digest").agg(F.min("doc_id").alias("rep")), "reps")
+    equal = short.select("doc_id", "digest").join(reps, "digest").where("doc_id <> rep").select(F.col("rep").alias("u"), F.col("doc_id").alias("v"))
+    heads = short.join(reps, "digest").where("doc_id = rep").select("digest", "doc_id", F.explode("shingles").alias("t")).distinct()
+    heads = materialize(heads, "heads")
+    met = heads.groupBy("t").agg(F.count("*").alias("df")).where("df > 1").select("t")
+    alive = materialize(heads.join(met, "t").select("digest", F.col("doc_id").alias("rep")).distinct(), "alive")
+
+    ids = alive.select(F.col("rep").alias("doc_id")).distinct()
+    whole = shingle_sets(docs.join(ids, "doc_id", "left_semi"), width, None)
+    whole = whole.join(alive, ["digest"]).where("doc_id = rep").dropDuplicates(["digest"])
+    sets = materialize(whole.select("digest", "rep", "n", "shingles"), "sets")
+    every = sets.select("digest", F.explode("shingles").alias("t"))
+    counts = materialize(every.groupBy("t").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
+    shared = every.join(counts, "t").groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("shared"))
+    p, q = F.lit(least.numerator), F.lit(least.denominator)
+    # shingles of no other document stand before all others
+    own = F.col("n") - F.size("shared")
+    room = F.col("n") - F.ceil(F.col("n") * p / q - F.lit(1e-9)).cast("int") + 1 - own
+    firsts = sets.select("digest", "rep", "n").join(shared, "digest").where(room > 0)
+    meets = firsts.select("digest", "rep", "n", F.explode(F.slice("shared", F.lit(1), room)).alias("s")).select("digest", "rep", "n", "s.t")
+    meets = materialize(meets, "meetings")
+
+    found = equal
+    known = None
+    if stars:
+        middle = materialize(meets.groupBy("t").agg(F.min(F.struct(F.xxhash64("digest", "t"), "digest", "n")).alias("m")), "middles")
+        pairs = meets.join(middle, "t").where((F.col("m.digest") != F.col("digest")) & alike("n", "m.n", least))
+        pairs = pairs.select(F.least("digest", "m.digest").alias("a"), F.greatest("digest", "m.digest").alias("b")).distinct()
+        found = materialize(equal.unionByName(verified(pairs, sets, least)), "stars")
+        known = materialize(connected_components(found), "components")
+    now = materialize(_labelled(meets, known), "labelled")
+    mixed = now.groupBy("t").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("t")
+    left = materialize(now.join(mixed, "t"), "mixed")
+    a, b = left.alias("a"), left.alias("b")
+    apart = (F.col("a.t") == F.col("b.t")) & (F.col("a.component") < F.col("b.component")) & alike("a.n", "b.n", least)
+    pairs = a.join(b, apart).select(F.col("a.digest").alias("a"), F.col("b.digest").alias("b")).distinct()
+    return connected_components(found.unionByName(verified(pairs, sets, least)))
+
+
+def _labelled(meets: DataFrame, known: DataFrame | None) -> DataFrame:
+    """``meets`` with the component of each document; without a link it is its own."""
+    if known is None:
+        return meets.withColumn("component", F.col("rep"))
+    return meets.join(known, F.col("rep") == F.col("node"), "left").select("digest", "rep", "n", "t", F.coalesce("component", "rep").alias("component"))
