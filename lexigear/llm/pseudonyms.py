@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable
 from datetime import date
 from math import isqrt, prod
@@ -83,6 +84,8 @@ def card(text: str, move: Move) -> str | None:
 
 def phone(text: str, move: Move) -> str | None:
     n = only_digits(text)
+    if not n:
+        return None
     if text[0] == "+" and n[0] != "1":
         if not 8 <= len(n) <= 15:
             return None
@@ -245,15 +248,29 @@ KINDS: list[tuple[str, str, Callable[[str, Move], str | None]]] = [
 ]
 ANY = re.compile("|".join(f"(?P<k{i}>{pattern})" for i, (_, pattern, _) in enumerate(KINDS)))
 HINT = re.compile(r"[0-9@=]")
+_OTHER_DIGIT = re.compile(r"(?![0-9])\d")
+
+
+def in_script(old: str, new: str) -> str:
+    """``new`` with its digits in the script that ``old`` has at their places; where the
+    layout has changed its length, in the first script other than ASCII."""
+    if old.isascii():
+        return new
+    zeros = [ord(c) - unicodedata.decimal(c) if c.isdecimal() else 48 for c in old]
+    if len(new) != len(old):
+        zeros = [next((z for z in zeros if z != 48), 48)] * len(new)
+    return "".join(chr(z + int(c)) if c in digits else c for c, z in zip(new, zeros))
 
 
 def pseudonymize(text: str, key: bytes = KEY) -> tuple[str, list[tuple[int, int, str]]]:
     """The text with pseudonyms, and (start, end, kind) of each in the new text.
 
     A candidate that no validator accepts stays as it is, and the search goes on behind
-    its first character, so that a longer look-alike hides no value.
+    its first character, so that a longer look-alike hides no value.  Decimal digits of any
+    script count as digits, and stay in their script.
     """
-    if not HINT.search(text):
+    plain = text if text.isascii() else _OTHER_DIGIT.sub(lambda m: str(unicodedata.decimal(m[0])), text)
+    if not HINT.search(plain):
         return text, []
 
     def move(value: int, size: int, tweak: str) -> int:
@@ -262,11 +279,11 @@ def pseudonymize(text: str, key: bytes = KEY) -> tuple[str, list[tuple[int, int,
     out: list[str] = []
     spans: list[tuple[int, int, str]] = []
     at = done = length = 0
-    while found := ANY.search(text, at):
+    while found := ANY.search(plain, at):
         new = kind = None
         for i, (name, pattern, turn) in enumerate(KINDS):
             hit = found[0] if found.lastgroup == f"k{i}" else None
-            if hit is None and (other := ALONE[i].match(text, found.start())):
+            if hit is None and (other := ALONE[i].match(plain, found.start())):
                 hit = other[0]
             if hit is not None and (new := turn(hit, move)) is not None:
                 kind, end = name, found.start() + len(hit)
@@ -274,6 +291,7 @@ def pseudonymize(text: str, key: bytes = KEY) -> tuple[str, list[tuple[int, int,
         if new is None:
             at = found.start() + 1
             continue
+        new = in_script(text[found.start() : end], new)
         out += [text[done : found.start()], new]
         length += found.start() - done
         spans.append((length, length + len(new), kind))

@@ -177,6 +177,21 @@ def test_value_behind_a_look_alike():
     assert not any(v in new for v in ("4503905691731149", "86.227.24.100", "1.2.3.4", "(152) 555-8590")) and len(spans) == 4
 
 
+@pytest.mark.parametrize("value", ["+971 50 123 4567", "4503905691731149", "1980-02-29", "57.55.151.50", "ab.17@mail5.example.com", "password=ddc9f86a9e94140273"])
+def test_digits_of_other_scripts(value):
+    """They move as their ASCII forms do, and stay in their script."""
+    plain, spans = pseudonyms.pseudonymize(f"no 1 {value} x")
+    for zero in "\u0660\uff10\U0001d7ce":
+        other = re.sub("[0-9]", lambda m: chr(ord(zero) + int(m[0])), value)
+        new, found = pseudonyms.pseudonymize(f"no 1 {other} x")
+        assert found == spans and other not in new
+        back = re.sub(r"\d", lambda m: str(int(m[0])), new)
+        assert back == plain
+        assert other.isascii() or not new[len("no 1 ") :].isascii()
+    assert pseudonyms.pseudonymize("= +\u0661\u0662 only")[1] == []
+    assert pseudonyms.phone("+\u0661\u0662", None) is None
+
+
 def test_pseudonymized_documents(spark):
     rows = [(1, "mail ab.17@mail5.example.com"), (2, None), (3, ""), (None, "mail ab.17@mail5.example.com"), (4, "x 57.55.151.50 " * 20_000)]
     frame = docs(spark, rows)
