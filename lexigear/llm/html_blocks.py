@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 #: Elements of HTML by what they do to the text around them.
@@ -12,7 +14,9 @@ BLOCK = frozenset(
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = "script|style|noscript|template|textarea|title|iframe|object|svg|math|canvas|audio|video"
+HIDDEN = "script|style|noscript|template|textarea|title|iframe"
+#: Hidden up to their closing tags; without one, or closed in the tag, only the tag itself is skipped.
+DRAWN = frozenset("object svg canvas audio video".split())
 CLOSES_P = BLOCK - {"body", "html", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "option", "optgroup", "legend", "figcaption", "summary"}
 #: An opening tag that ends an open element of the same group, up to the container named last.
 SIBLINGS = {
@@ -32,6 +36,8 @@ _TOKEN = re.compile(
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)[^>]*+>|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
+_DRAWN = re.compile(rf"""<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>{"|".join(sorted(DRAWN))})(?=[\s/>])(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S | re.I)
+_VALUE_END = re.compile(r"""=\s*+[^\s"'>]+\Z""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN_ATTRIBUTE = re.compile(r"""(?:\s|^)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.I)
 _NAME = re.compile(r"[a-z0-9]+")
@@ -59,18 +65,24 @@ class _Page:
     pieces: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     blocks: list[Block] = field(default_factory=list)
+    places: dict[str, list[int]] = field(default_factory=dict)  # where in the stack each name stands
+    words: Counter[str] = field(default_factory=Counter)  # of all open elements
+
+    def path(self) -> tuple[str, ...]:
+        """All words; those of elements far out, beyond 500, once each."""
+        near = tuple(w for e in self.stack[-500:] for w in e.words)
+        return near if len(self.stack) <= 500 else (*self.words, *near)
 
     def flush(self) -> None:
         if self.pieces:
             text = clean("".join(self.pieces))
             if text:
-                path = tuple(w for e in self.stack for w in e.words)
-                self.blocks.append(Block(text, path, len(clean("".join(self.linked)))))
+                self.blocks.append(Block(text, self.path(), len(clean("".join(self.linked)))))
             self.pieces, self.linked = [], []
 
     def add(self, text: str) -> None:
         self.pieces.append(text)
-        if any(e.name == "a" for e in self.stack):
+        if self.places.get("a"):
             self.linked.append(text)
 
     def open(self, name: str, rest: str) -> None:
@@ -90,25 +102,34 @@ class _Page:
                 if _HIDDEN_ATTRIBUTE.search(rest):
                     words.append(".hidden")
             if len(self.stack) < 500:
+                self.places.setdefault(name, []).append(len(self.stack))
+                self.words.update(words)
                 self.stack.append(_Open(name, tuple(words)))
 
     def close(self, name: str) -> None:
         if name in BLOCK:
             self.flush()
-        if any(e.name == name for e in self.stack):
+        if self.places.get(name):
             barrier = KEEPS - {name} if name not in KEEPS and name not in ("html",) else frozenset()
             self.end({name}, barrier)
 
     def end(self, names: set[str], barrier: frozenset[str] | set[str]) -> None:
         """Closes the innermost open element of ``names``, unless a barrier lies inside it."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].name in names:
-                if self.pieces and any(e.name in BLOCK for e in self.stack[i:]):
-                    self.flush()
-                del self.stack[i:]
-                return
-            if self.stack[i].name in barrier:
-                return
+        i = self.innermost(names)
+        if i < 0 or i < self.innermost(barrier):
+            return
+        if self.pieces and any(e.name in BLOCK for e in self.stack[i:]):
+            self.flush()
+        for e in reversed(self.stack[i:]):
+            self.places[e.name].pop()
+            for w in e.words:
+                self.words[w] -= 1
+                if not self.words[w]:
+                    del self.words[w]
+        del self.stack[i:]
+
+    def innermost(self, names: Iterable[str]) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
 
 
 def clean(text: str) -> str:
@@ -116,11 +137,28 @@ def clean(text: str) -> str:
     return _SPACE.sub(" ", html.unescape(text)).strip()
 
 
+def drawn_spans(page: str) -> dict[int, int]:
+    """Where each drawn element that has a closing tag starts and ends."""
+    spans: dict[int, int] = {}
+    open_at: dict[str, list[int]] = {}
+    for tag in _DRAWN.finditer(page):
+        if not tag["name"]:
+            continue
+        waiting = open_at.setdefault(tag["name"].lower(), [])
+        if not tag["close"]:
+            if not tag["rest"].endswith("/") or _VALUE_END.search(tag["rest"]):
+                waiting.append(tag.start())
+        elif waiting:
+            spans[waiting.pop()] = tag.end()
+    return spans
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order; a page without text has none."""
     found = _Page()
+    drawn: dict[int, int] | None = None
     at = 0
-    for token in _TOKEN.finditer(page):
+    while token := _TOKEN.search(page, at):
         if token.start() > at:
             found.add(page[at : token.start()])
         at = token.end()
@@ -129,6 +167,10 @@ def blocks(page: str) -> list[Block]:
             name = name.lower()
             if token["close"] or token["close2"]:
                 found.close(name)
+            elif name in DRAWN:
+                if drawn is None:
+                    drawn = drawn_spans(page)
+                at = drawn.get(token.start(), at)
             else:
                 found.open(name, token["rest"] or "")
     if at < len(page):

@@ -226,6 +226,17 @@ def test_blocks():
         html_blocks.blocks(odd)
 
 
+@pytest.mark.parametrize("drawn", ['<svg class="icon"/>', "<svg/>", "<math/>", "<object data='x' />", "<video src=x>", "<audio>", "<svg><title/><svg>no</svg>no</svg>", "<canvas>no</canvas>", "<video src=a/b/>no</video>", "<VIDEO><video>no</video>"])
+def test_drawn_elements_hide_nothing_else(drawn):
+    page = f"<header>{drawn}</header><article><p>Text here.</p></article>"
+    assert [(b.text, b.path) for b in html_blocks.blocks(page)] == [("Text here.", ("article", "p"))]
+
+
+def test_text_of_math_stays():
+    page = "<article><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>"
+    assert [b.text for b in html_blocks.blocks(page)] == ["So x=2 holds."]
+
+
 def test_marginals_against_all_labellings():
     r = np.random.default_rng(0)
     score, pairs, start = r.standard_normal((4, 2)), r.standard_normal((2, 2)), r.standard_normal(2)
