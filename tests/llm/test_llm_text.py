@@ -237,6 +237,19 @@ def test_text_of_math_stays():
     assert [b.text for b in html_blocks.blocks(page)] == ["So x=2 holds."]
 
 
+def test_deep_pages():
+    """Closing tags close what they belong to, however deep; and neither depth nor open tags take long."""
+    for tag in ("div", "b", "span"):
+        page = "<article>" + f"<{tag}>" * 600 + "in" + f"</{tag}>" * 600 + "<p>still in</p></article><footer>out</footer>"
+        found = html_blocks.blocks(page)
+        assert [b.text for b in found][-2:] == (["still in", "out"] if tag == "div" else [found[-2].text, "out"])
+        assert "article" in found[0].path and found[-2].path[0] == "article" and found[-1].path == ("footer",)
+    nested = html_blocks.blocks("<nav>" + "<div>" * 700 + "x")[0].path
+    assert {"nav", "div"} == set(nested)
+    assert len(html_blocks.blocks("<p>" + "<div>" + "<b>" * 50_000 + "x</p>" * 50_000)) > 0
+    assert html_blocks.blocks("<video>" * 50_000 + "x")[0].text == "x"
+
+
 def test_marginals_against_all_labellings():
     r = np.random.default_rng(0)
     score, pairs, start = r.standard_normal((4, 2)), r.standard_normal((2, 2)), r.standard_normal(2)
