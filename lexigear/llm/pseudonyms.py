@@ -200,9 +200,18 @@ def named_date(text: str, move: Move) -> str | None:
     return f"{word}{found[4]}{new.day}{found[6]}{new.year}"
 
 
+BLOCK_CHARS = 64  # the digest of a round covers both halves of such a block
+
+
 def by_class(text: str, move: Move, tweak: str) -> str:
-    """Permutes letters within their case and digits, as one number in mixed radix."""
-    hexadecimal = len(text) >= 8 and re.fullmatch("[0-9a-f]+", text)
+    """Permutes letters within their case and digits; blocks of 64 characters are one number
+    in mixed radix each."""
+    hexadecimal = len(text) >= 8 and re.fullmatch("[0-9a-f]+", text) is not None
+    places = range(0, len(text), BLOCK_CHARS)
+    return "".join(_block(text[at : at + BLOCK_CHARS], move, f"{tweak}{at}:" if at else tweak, hexadecimal) for at in places)
+
+
+def _block(text: str, move: Move, tweak: str, hexadecimal: bool) -> str:
     sets = ["0123456789abcdef" if hexadecimal else next((s for s in (digits, ascii_lowercase, ascii_uppercase) if c in s), c) for c in text]
     value = 0
     for c, s in zip(text, sets):
@@ -235,8 +244,8 @@ def bare_key(text: str, move: Move) -> str | None:
 #: Kind, how a candidate looks, and its validator.  The order decides between overlapping kinds.
 KINDS: list[tuple[str, str, Callable[[str, Move], str | None]]] = [
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@(?:[A-Za-z0-9\-]{1,63}\.)+[A-Za-z]{2,24}", mail),
-    ("secret", r"""(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b["']?\s{0,3}[:=]\s{0,3}["']?[A-Za-z0-9+/_\-]{6,512})""", secret),
-    ("key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,255}\b", bare_key),
+    ("secret", r"""(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b["']?\s{0,3}[:=]\s{0,3}["']?[A-Za-z0-9+/_\-]{6,}+(?:\.[A-Za-z0-9+/_\-]++)*+)""", secret),
+    ("key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}+\b", bare_key),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{2,4}){3,8}\b", account),
     ("phone", r"(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,5}(?:[ .\-]?\d{2,5}){1,4}(?![\w])", phone),
     ("date", r"(?<!\d)(?<!\d[.\-/])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\d\-/]|\.\d)", calendar),

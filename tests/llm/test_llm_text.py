@@ -192,6 +192,18 @@ def test_digits_of_other_scripts(value):
     assert pseudonyms.phone("+\u0661\u0662", None) is None
 
 
+@pytest.mark.parametrize("lead,value", [("token=", "aB3" * 700), ("secret: ", "0f" * 900), ("", "ghp_" + "aB3" * 300), ("token=", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dBjftJeZ4CVPmB92K27uhbUJU1p1r_wW1gFWFOEjXk")])
+def test_secrets_move_to_their_end(lead, value):
+    new, spans = pseudonyms.pseudonymize(f"no 1 {lead}{value} end. Next")
+    assert spans == [(5, 5 + len(lead) + len(value), "secret" if lead else "key")]
+    got = new[5 + len(lead) : -len(" end. Next")]
+    assert len(got) == len(value) and new.endswith(" end. Next")
+    assert re.sub("[0-9a-z]", "x", got) == re.sub("[0-9a-z]", "x", value) if value[:2] == "0f" else re.sub("[^.]", "x", got) == re.sub("[^.]", "x", value)
+    places = range(4 if not lead else 0, len(value) - 20, 20)
+    assert all(got[i : i + 20] != value[i : i + 20] for i in places) and got[-15:] != value[-15:]
+    assert pseudonyms.pseudonymize(f"{lead}{value}. Next")[0].endswith(f"{got}. Next")
+
+
 def test_pseudonymized_documents(spark):
     rows = [(1, "mail ab.17@mail5.example.com"), (2, None), (3, ""), (None, "mail ab.17@mail5.example.com"), (4, "x 57.55.151.50 " * 20_000)]
     frame = docs(spark, rows)
