@@ -3,8 +3,11 @@ whole result; each stands beside its SQL."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from checks import oracles as o
@@ -19,7 +22,7 @@ from lexigear.operators import search as se
 from lexigear.operators import tokens as tk
 from lexigear.operators import weighting as wt
 from lexigear.plans import gearbox, lsa
-from lexigear.shared import shared_folder
+from lexigear.shared import shared_folder, through_table
 from lexigear.sources import sinks, tables
 
 SQL: dict[str, str] = {}
@@ -38,17 +41,34 @@ def exact(sql: str):
 # Concepts: the rows of ``embeddings`` as factors U and V
 
 
-def given_model(spark, sf) -> dc.LsaModel:
-    rows = spark.read.parquet(f"{sf}/embeddings.parquet")
-    local = rows.select("vec_id", F.col("embedding").cast("array<double>").alias("u")).orderBy("vec_id").toArrow()
-    names = [f"vec {i}" for i in local.column("vec_id").to_pylist()]
-    v = np.array(local.column("u").to_pylist())
-    documents = rows.select(
-        F.col("vec_id").alias("doc_id"), F.concat(F.lit("vec "), F.col("vec_id").cast("string")).alias("title"),
-        F.col("embedding").cast("array<double>").alias("u"),
-    )
-    vocab = wt.Vocabulary(names, [1] * len(names), [0.5] * len(names))
-    return dc.LsaModel(vocab, np.arange(v.shape[1], 0, -1.0), v, documents)
+@dataclass(frozen=True)
+class GivenModel(dc.LsaModel):
+    """A model whose terms are a table too, so that no row of it passes through the driver."""
+
+    given_terms: DataFrame | None = None
+
+    def terms(self) -> DataFrame:
+        return self.given_terms
+
+
+def numbered_rows(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with their ``no`` in the order of ``key``, from 0 on; only counts by partition meet."""
+    placed = rows.repartitionByRange(key).sortWithinPartitions(key)
+    placed = placed.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    placed = through_table(placed, "placed")
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    return placed.join(F.broadcast(starts), "_part").withColumn("no", F.col("_before") + F.col("_at")).drop("_part", "_at", "_before", "_n")
+
+
+def given_model(spark, sf, terms: bool = True) -> dc.LsaModel:
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", F.col("embedding").cast("array<double>").alias("u"))
+    name = F.concat(F.lit("vec "), F.col("vec_id").cast("string"))
+    documents = rows.select(F.col("vec_id").alias("doc_id"), name.alias("title"), "u")
+    width = rows.agg(F.max(F.size("u"))).first()[0] or 0
+    given = numbered_rows(rows, "vec_id").select(F.col("no").alias("term_id"), name.alias("term"), F.col("u").alias("v")) if terms else None
+    return GivenModel(wt.Vocabulary([], [], []), np.arange(width, 0, -1.0), np.empty((0, width)), documents, given_terms=given)
 
 
 RANKED = """
@@ -70,7 +90,7 @@ def f1_top_terms_given(spark, sf):
 
 @exact(f"WITH {RANKED} SELECT concept, rank, vec_id AS doc_id, 'vec ' || vec_id AS title, weight FROM top")
 def f2_top_docs_given(spark, sf):
-    return numbered(co.top_docs(given_model(spark, sf)))
+    return numbered(co.top_docs(given_model(spark, sf, terms=False)))
 
 
 @exact(f"WITH {RANKED} SELECT concept, string_agg('vec ' || vec_id, ', ' ORDER BY rank) AS terms, string_agg('vec ' || vec_id, ', ' ORDER BY rank) AS titles FROM top GROUP BY concept")
@@ -83,7 +103,7 @@ def f3_concept_table_given(spark, sf):
 def f4_top_docs_with_genres_given(spark, sf):
     genre = F.concat(F.lit("g"), F.col("label").cast("string"), F.lit(" / x, "), F.col("vec_id").cast("string"))
     genres = spark.read.parquet(f"{sf}/embeddings.parquet").select(F.col("vec_id").alias("doc_id"), genre.alias("genre"))
-    listed = co.top_docs_with_genres(co.top_docs(given_model(spark, sf)), genres)
+    listed = co.top_docs_with_genres(co.top_docs(given_model(spark, sf, terms=False)), genres)
     return numbered(listed.withColumn("genres", F.array_join("genres", ", ")))
 
 

@@ -1,9 +1,11 @@
 """Null, empty and rank-deficient input, and both sides of every size switch."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks import exact
 from lexigear.operators import decomposition as dc
 from lexigear.operators import features as ft
 from lexigear.operators import search as se
@@ -152,3 +154,22 @@ def test_stable_ids_of_copies(spark):
     df = spark.createDataFrame([(1, "a")] * 7 + [(2, None)], "n int, s string")
     found = tables.with_stable_id(df, rows_per_task=3)
     assert found.count() == 8 and found.select("point_id").distinct().count() == 8
+
+
+GIVEN = ["f1_top_terms_given", "f2_top_docs_given", "f3_concept_table_given", "f4_top_docs_with_genres_given", "c7_compare_concepts_given"]
+
+
+@pytest.mark.parametrize("name", GIVEN)
+def test_given_factors_stay_tables(spark, monkeypatch, name):
+    """The whole result of the SQL, and no table comes to the driver on the way."""
+    sf = "/root/testdata/sf0.001"
+
+    def refuse(self, *a):
+        raise AssertionError("a table came to the driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(type(spark.range(1)), "toArrow", refuse)
+        found = getattr(exact, name)(spark, sf)
+    wanted = duckdb.sql(exact.SQL[name].replace("FROM embeddings", f"FROM '{sf}/embeddings.parquet'"))
+    rows = lambda r: sorted(map(repr, r))
+    assert rows(tuple(r[c] for c in wanted.columns) for r in found.collect()) == rows(wanted.fetchall())
