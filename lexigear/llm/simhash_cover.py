@@ -19,7 +19,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigear.llm import shingle_join
 from lexigear.llm.common import few, materialize, run_starts, runs, small, texts
 from lexigear.llm.components import connected_components
 
@@ -216,15 +215,10 @@ def links(cover: DataFrame, distance: int = DISTANCE, hot_rows: int = HOT_ROWS)
 # ---------------------------------------------------------------- the operator
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, distance: int = DISTANCE, similarity: float | None = None
-) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """(doc_id, fp, component_id): one row per document.
 
     Fingerprints of ``width`` words that differ in at most ``distance`` bits are linked.
-    With a ``similarity``, documents are linked by the similarity of their sets of shingles
-    instead: a radius of bits that no such pair exceeds does not exist, so candidates come
-    from ``shingle_join``, which misses none, and are compared shingle by shingle.
 
     Null text counts as empty, and empty texts share fingerprint zero.  Equal fingerprints
     are one class, so a group of copies of any size is one row in the search.  A row
@@ -232,12 +226,8 @@ def near_duplicates(
     Rows that repeat an id each come back.
     """
     if not 0 <= distance <= DISTANCE:
-        raise ValueError(f"the anchors find pairs of up to {DISTANCE} differing bits; use similarity for more")
+        raise ValueError(f"the anchors find pairs of up to {DISTANCE} differing bits")
     prints = materialize(fingerprints(docs, id_col, text_col, width), "fingerprints")
-    if similarity is not None:
-        found = components_by_similarity(docs, id_col, text_col, width, similarity)
-        out = prints.join(found, F.col("doc_id") == F.col("node"), "left")
-        return out.select("doc_id", "fp", F.coalesce("component", "doc_id").alias("component_id"))
     classes = materialize(prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
     # an id that repeats with different texts stands for several fingerprints: they are one node
     found = materialize(connected_components(links(covered(classes), distance)), "components")
@@ -246,23 +236,12 @@ def near_duplicates(
     return out.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def components_by_similarity(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: float) -> DataFrame:
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return materialize(shingle_join.links(narrow.where("doc_id IS NOT NULL"), width, similarity), "components")
-
-
-def keep_one(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, distance: int = DISTANCE, similarity: float | None = None
-) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The documents without those linked to one of a smaller id; columns stay as they are.
 
     Rows without an id stay.  Of rows that repeat an id all stay or none.
     """
-    if similarity is None:
-        found = near_duplicates(docs, id_col, text_col, width, distance)
-        gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"))
-    else:
-        found = components_by_similarity(docs, id_col, text_col, width, similarity)
-        gone = found.where("node <> component").select(F.col("node").alias("gone_id"))
+    found = near_duplicates(docs, id_col, text_col, width, distance)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id"))
     gone = materialize(gone.distinct(), "dropped")
     return docs.join(small(gone), docs[id_col] == gone["gone_id"], "left_anti")

@@ -147,59 +147,6 @@ def test_near_duplicates(spark):
     assert simhash_cover.near_duplicates(docs(spark, [])).count() == 0
 
 
-def similar(a, b):
-    a, b = ({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if (w := (t or "").lower().split()) else set() for t in (a, b))
-    return a == b or len(a & b) * 5 >= len(a | b) * 4
-
-
-def groups(rows):
-    """The smallest id linked to each, pair by pair."""
-    label = {i: i for i, _ in rows}
-
-    def root(i):
-        while label[i] != i:
-            i = label[i]
-        return i
-
-    for i, t in rows:
-        for j, u in rows:
-            if j < i and similar(t, u):
-                x, y = sorted((root(i), root(j)))
-                label[y] = x
-    return {i: root(i) for i in label}
-
-
-@pytest.mark.parametrize("stars", [False, True])
-def test_near_copies_by_similarity(spark, stars):
-    """Near copies of 0.6 to 1 similarity, chains of them, a common line, and short texts."""
-    from lexigear.llm import shingle_join
-
-    r = random.Random(3)
-    word = lambda: "".join(r.choice("abcdefghij") for _ in range(5))
-    line = [word() for _ in range(12)]
-    rows = [None, "", "One", "one", "one two", "a b c d e", "A b  c d e", "a b c d e f", "w " * 3000]
-    for _ in range(25):
-        base = [word() for _ in range(r.randint(8, 120))]
-        for _ in range(6):
-            rows.append(" ".join(base + line * r.randint(0, 1)))
-            for _ in range(r.randint(0, 2)):
-                base[r.randrange(len(base))] = word()
-    ids = r.sample(range(1000), len(rows))
-    rows = list(zip(ids, rows))
-    expected = groups(rows)
-    assert 30 < sum(i != g for i, g in expected.items()) < len(rows)
-    frame = spark.createDataFrame([*rows, (None, "one")], "doc_id long, text string")
-    found = {x.node: x.component for x in shingle_join.links(frame.where("doc_id IS NOT NULL"), 5, 0.8, stars).collect()}
-    assert {i: found.get(i, i) for i in ids} == expected
-    if stars:
-        near = simhash_cover.near_duplicates(frame, width=5, similarity=0.8).collect()
-        assert {x.doc_id: x.component_id for x in near} == expected | {None: None}
-        import corpus_pipeline
-
-        kept = {x.doc_id for x in corpus_pipeline.near_dedup(spark, frame, "").collect()}
-        assert kept == {i for i, g in expected.items() if i == g} | {None}
-
-
 # ---------------------------------------------------------------- vectors
 
 
