@@ -14,9 +14,6 @@ from lexigear.llm import pseudonyms, simhash_cover, stream_dedup, swap_packing,
 from lexigear.llm.common import materialize
 from lexigear.llm.queries import BYTE_BPE, table, vocabulary
 
-#: Documents are near copies if their sets of five-word shingles are 0.8 or more alike.
-NEAR_WIDTH, NEAR_SIMILARITY = 5, 0.8
-
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised scorer takes for good."""
@@ -29,8 +26,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles, that of the smallest id."""
-    return simhash_cover.keep_one(docs, width=NEAR_WIDTH, similarity=NEAR_SIMILARITY)
+    """One document of each group linked by its fingerprints, that of the smallest id."""
+    return simhash_cover.keep_one(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
