@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigear.llm import bpe_stream, chat_masks, collision_counts, column_bwt, html_crf, pseudonyms, simhash_cover, stream_dedup, swap_packing, weak_quality
+from lexigear.llm import bit_planes, bitmap_manifest, bpe_stream, chat_masks, collision_counts, column_bwt, html_crf, pseudonyms, secret_owners, simhash_cover, stream_dedup, swap_packing, weak_quality
+from lexigear.llm.oracles import ORACLE_SQL  # noqa: F401  part of what this module registers
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -119,6 +120,25 @@ def read_back(formatted: DataFrame) -> DataFrame:
     return dealt.select("conv_id", "formatted", "loss_spans").mapInArrow(work, schema)
 
 
+def op11_secret_owners(spark: SparkSession, sf: str) -> DataFrame:
+    """Spans of every document; its source is its repository and owner."""
+    found = secret_owners.scan_documents(table(spark, sf, "documents"))
+    digest = F.sha2(F.col("base_spans").cast("binary"), 256)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest.alias("base_sha256"), "spans", "n_live", "n_shared", "n_example")
+
+
+def op12_bit_planes(spark: SparkSession, sf: str) -> DataFrame:
+    return bit_planes.cluster(table(spark, sf, "embeddings")).drop("centroid")
+
+
+def op13_bitmap_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Proofs of every document, those of tampered texts among them."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    made = bitmap_manifest.build(table(spark, sf, "documents"), changed={"text": bitmap_manifest.lowered(F.col("text"))}, where=tampered)
+    found = bitmap_manifest.proofs(made)
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_swap_packing": op1_swap_packing,
     "op2_stream_dedup": op2_stream_dedup,
@@ -130,27 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_cover": op8_simhash_cover,
     "op9_bpe_stream": op9_bpe_stream,
     "op10_chat_masks": op10_chat_masks,
-}
-
-ORACLE_SQL: dict[str, str] = {
-    "op2_stream_dedup": """
-        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
-        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
-    "op10_chat_masks": r"""
-        WITH turns AS (
-            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
-            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
-        escaped AS (
-            SELECT *, length(replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'))
-                + length(replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), ':', '\:'))
-                + length('### ' || ':' || chr(10) || '</turn>' || chr(10)) AS chars
-            FROM turns)
-        SELECT conv_id, count(*) AS n_turns,
-               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
-               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-               sum(chars)::BIGINT AS formatted_chars
-        FROM escaped GROUP BY conv_id""",
+    "op11_secret_owners": op11_secret_owners,
+    "op12_bit_planes": op12_bit_planes,
+    "op13_bitmap_manifest": op13_bitmap_manifest,
 }

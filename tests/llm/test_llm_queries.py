@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     base = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         base.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     found = queries.QUERIES[name](spark, SF)
     wanted = base.sql(queries.ORACLE_SQL[name])
@@ -26,7 +26,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):
