@@ -1,12 +1,16 @@
-"""Where intermediate tables go, and how source scans are spread over the cores."""
+"""Where intermediate tables go, how source scans are spread over the cores, and row numbers."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# A scan of fewer bytes a core is small: moving it costs less than idle cores.
+SMALL_BYTES_PER_CORE = 32 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession, name: str = "table") -> str:
@@ -29,13 +33,34 @@ def through_table(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scan_bytes(scan: DataFrame) -> int:
+    """The size that the optimizer expects of a scan: that of its files."""
+    return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Rebalance a scan of one or two splits, if the session has more cores.
+    """Deal out a small scan whose files can't occupy the cores by themselves.
 
-    A larger table passes unchanged, however many cores there are.  ``scan`` must be free
-    of shuffles, since its split count is read from the physical plan.
+    Files are cut by bytes, but a Parquet file is read by row groups: a small table is often
+    one row group, and so one task, in several splits.  Asked are bytes and files therefore:
+    a table as large as the cores are many, or one of as many files, passes unchanged.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= min(cores, 3):
+    if len(scan.inputFiles()) >= cores or scan_bytes(scan) >= cores * SMALL_BYTES_PER_CORE:
         return scan
     return scan.repartition(cores, *keys)
+
+
+def numbered_rows(rows: DataFrame, *keys: str, name: str = "no") -> DataFrame:
+    """``rows`` with their number in the order of ``keys``, from 0 on.
+
+    Rows are dealt out by ranges of the keys and numbered where they lie; what meets in one
+    task is a count for each range.  Rows of equal keys are numbered in any order.
+    """
+    placed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = placed.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    placed = through_table(placed, "placed")
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    return placed.join(F.broadcast(starts), "_part").withColumn(name, F.col("_before") + F.col("_at")).drop("_part", "_at", "_before", "_n")
