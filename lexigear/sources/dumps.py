@@ -12,7 +12,6 @@ HEADER = r'^[^\n]*?id="([^"]*)"[^\n]*?url="([^"]*)"[^\n]*?title="([^"]*)"'
 BODY = r"(?s)^[^\n]*\n(.*?)(?<=\n)</doc>"
 OPENING = r"(?:^|\n)<doc "
 OPENING_LINE = "\n<doc "
-ATTRIBUTE = r'^(?:<doc |\s*[\w:.-]+=")'
 
 
 def read_dump(spark: SparkSession, glob: str) -> DataFrame:
@@ -65,14 +64,19 @@ def read_documents(spark: SparkSession, glob: str) -> DataFrame:
     """Read and parse in one splittable scan, for files too large for one row.
 
     The reader breaks files at lines that open a block, so a record is one block and a
-    file of any size is shared by many tasks.  Text before the first block of a file
-    is a record too; a record that begins neither with the tag nor with an attribute is
-    such text.
+    file of any size is shared by many tasks.  Only the first record of a file may be
+    something else, text before the first block, and it is told by its place: the first
+    row read from offset 0.  A scan that returns no text finds these places.
     """
-    records = spark.read.text(glob, lineSep=OPENING_LINE)
-    begun = records.where(F.regexp_like("value", F.lit(ATTRIBUTE)))
-    # The first record of a file still carries its opening tag.
-    return _documents(begun, F.regexp_replace("value", r"^<doc ", ""))
+    place = F.monotonically_increasing_id().alias("place")
+    scan = spark.read.text(glob, lineSep=OPENING_LINE)
+    starts = scan.select(place, "_metadata.file_path", "_metadata.file_block_start").where("file_block_start = 0")
+    firsts = starts.groupBy("file_path").agg(F.min("place").alias("place")).select("place", F.lit(True).alias("first"))
+    # A few bytes for each file, of which the driver holds the path and more anyway.
+    records = scan.select(place, "value").join(F.broadcast(firsts), "place", "left")
+    opened = F.startswith("value", F.lit("<doc "))
+    begun = records.where(F.col("first").isNull() | opened)
+    return _documents(begun, F.when(F.col("first").isNotNull(), F.substr("value", F.lit(6))).otherwise(F.col("value")))
 
 
 def write_dump(docs: DataFrame, path: str, docs_per_file: int = 1000) -> None:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigear.shared import through_table
+from lexigear.sources.quoted import read_quoted
 
 # The columns of the delimited inputs.
 MOVIE_SCHEMA = T.StructType(
@@ -99,32 +100,27 @@ def with_stable_id(df: DataFrame, rows_per_task: int = 1_000_000) -> DataFrame:
 
 def read_labelled(spark: SparkSession, path: str, width: int) -> DataFrame:
     """Comma-separated records of ``width`` fields: one number, three categories,
-    numbers, and the label last."""
-    middle = [T.StructField(f"number_{i}", T.DoubleType()) for i in range(4, width - 1)]
-    schema = T.StructType(
-        [
-            T.StructField("number_0", T.DoubleType()),
-            T.StructField("protocol", T.StringType()),
-            T.StructField("service", T.StringType()),
-            T.StructField("state", T.StringType()),
-            *middle,
-            T.StructField("label", T.StringType()),
-        ]
-    )
-    return spark.read.schema(schema).option("header", False).csv(path)
+    numbers, and the label last.
+
+    A number that is none, or a missing one, is an error that names its field and value;
+    so is a record of more or fewer fields.
+    """
+    names = ["number_0", "protocol", "service", "state", *[f"number_{i}" for i in range(4, width - 1)], "label"]
+    fields = spark.read.schema(", ".join(f"{n} string" for n in [*names, "more"])).option("header", False).csv(path)
+
+    def number(name: str) -> Column:
+        found = F.expr(f"try_cast({name} AS double)")
+        message = F.concat(F.lit(f"no number in {name}: "), F.coalesce(F.col(name), F.lit("nothing")))
+        return F.when(found.isNull(), F.raise_error(message).cast("double")).otherwise(found).alias(name)
+
+    whole = F.col("label").isNotNull() & F.col("more").isNull()
+    label = F.when(whole, F.col("label")).otherwise(F.raise_error(F.lit(f"a record has not {width} fields")).cast("string"))
+    return fields.select(*[number(n) if n.startswith("number_") else F.col(n) for n in names[:-1]], label.alias("label"))
 
 
 def read_movies(spark: SparkSession, path: str) -> DataFrame:
     """``Title, Genre, Plot`` of a movie CSV whose quoted plots may span lines."""
-    return (
-        spark.read.schema(MOVIE_SCHEMA)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-        .select("Title", "Genre", "Plot")
-    )
+    return read_quoted(spark, path, MOVIE_SCHEMA).select("Title", "Genre", "Plot")
 
 
 def read_survey(spark: SparkSession, path: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from lexigear.sources import dumps, sinks, tables
@@ -57,6 +58,17 @@ def test_dump_round_trip(spark, folder):
     assert back.where("content = concat('text ', doc_id, '\nmore\n')").count() == 50
 
 
+def test_documents_after_text_that_looks_like_a_block(spark, tmp_path):
+    """Text before the first block is dropped, whatever it looks like."""
+    like = 'id="7" url="u" title="no block">\nbody\n</doc>\n'
+    block = '<doc id="1" url="u" title="t">\ntext\n</doc>\n'
+    for name, text in (("a", like + block + block), ("b", block), ("c", " " + block + block), ("d", like), ("e", "<doc " + block), ("f", "")):
+        (tmp_path / f"{name}.txt").write_text(text)
+    for glob in [f"{tmp_path}/{n}.txt" for n in "abcdef"] + [f"{tmp_path}/*"]:
+        split = sorted(map(tuple, dumps.read_documents(spark, glob).collect()))
+        assert split == sorted(map(tuple, dumps.parse_documents(dumps.read_dump(spark, glob)).collect())), glob
+
+
 def test_sample_is_repeatable(spark):
     df = spark.range(10_000).withColumnRenamed("id", "path")
     first = {r.path for r in dumps.sample_files(df, 0.3, seed=1).collect()}
@@ -101,6 +113,13 @@ def test_read_labelled(spark, tmp_path):
     assert (row.number_0, row.protocol, row.service, row.state, row.number_4, row.number_5, row.label) == (0.0, "tcp", "http", "SF", 181.0, 5450.0, "normal.")
 
 
+@pytest.mark.parametrize("bad", ["x", "", "1,2"])
+def test_read_labelled_refuses_what_is_no_number(spark, tmp_path, bad):
+    (tmp_path / "kdd.csv").write_text(f"0,tcp,http,SF,181,{bad},normal.\n")
+    with pytest.raises(Exception, match="no number in number_5" if bad != "1,2" else "not 7 fields"):
+        tables.read_labelled(spark, str(tmp_path / "kdd.csv"), width=7).collect()
+
+
 def test_read_movies(spark, tmp_path):
     header = "Release Year,Title,Origin/Ethnicity,Director,Cast,Genre,Wiki Page,Plot\n"
     body = '1999,"Up, down",US,D,C,"drama, comedy",w,"He said ""go"".\nThen left."\n'
