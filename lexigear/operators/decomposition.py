@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from dataclasses import dataclass, replace
+from math import sqrt
 
 import numpy as np
 import pandas as pd
@@ -13,19 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigear.functions import vectors as vx
+from lexigear.operators.blocks import PIECE, SLICES, SUMMED, LocalBlocks, Progress, TableBlocks, summands, summed
 from lexigear.operators.weighting import Vocabulary
 
 # Largest piece of the term factors shipped to the executors at once.
 MAX_SHIPPED_BYTES = 256 * 1024 * 1024
-# Columns of one row of a summed block.
-PIECE = 32
 # Doubles held by one array operation inside a task.
 DOUBLES_PER_STEP = 250_000
 # Up to this many terms the product of all columns takes one pass.  More terms iterate,
 # to the same result.
 SMALL = 256
-# Blocks of directions kept on the driver.
+# Blocks of directions kept, and up to how many bytes with their images on the driver.
 MAX_BLOCKS = 12
+LOCAL_BYTES = 512 * 1024 * 1024
 # A singular value below this part of the largest counts as zero: the default of Spark's
 # ``computeSVD``.
 R_COND = 1e-9
@@ -80,19 +81,24 @@ class LsaModel:
 def gram_times(matrix: DataFrame, x: np.ndarray) -> np.ndarray:
     """``A' (A X)`` for a local block ``x`` (terms x b).
 
-    Every task adds up its share and cuts it into pieces of ``PIECE`` columns; Spark
-    sums the shares per piece.  The piece has a fixed width, so that the plan and its
-    generated code are the same for every ``b``.  There are no more tasks than cores,
-    since each has a share to send.  A block that is too large to ship goes in slices of
-    columns, one pass each.
+    A block that is too large to ship goes in slices of columns, one pass each.
     """
     columns = max(1, MAX_SHIPPED_BYTES // (8 * PIECE * max(1, len(x)))) * PIECE
     if x.shape[1] > columns:
         return np.hstack([gram_times(matrix, x[:, i : i + columns]) for i in range(0, x.shape[1], columns)])
-    padded = np.pad(x, ((0, 0), (0, -x.shape[1] % PIECE)))
-    shipped = matrix.sparkSession.sparkContext.broadcast(padded)
-    step = max(1, DOUBLES_PER_STEP // padded.shape[1])
-    names = [f"c{i}" for i in range(PIECE)]
+    shipped = matrix.sparkSession.sparkContext.broadcast(x)
+    out = gram_times_shipped(matrix, shipped, *x.shape)
+    shipped.destroy()
+    return out
+
+
+def gram_times_shipped(matrix: DataFrame, shipped, rows: int, width: int, slices: int = 1) -> np.ndarray:
+    """``A' (A X)`` for a block that the tasks have.
+
+    Every task adds up its share; Spark sums the shares.  There are no more tasks than
+    cores, since each has a share to send.
+    """
+    step = max(1, DOUBLES_PER_STEP // max(1, width))
 
     def shares(batches):
         block = shipped.value
@@ -119,27 +125,11 @@ def gram_times(matrix: DataFrame, x: np.ndarray) -> np.ndarray:
                 heads = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
                 share[term[heads]] += np.add.reduceat(projected[doc[order]] * w[order], heads, axis=0)
                 first = last
-        pieces = share.reshape(-1, PIECE)
-        used = np.flatnonzero(pieces.any(axis=1))
-        columns = [pa.array(column) for column in np.ascontiguousarray(pieces[used].T)]
-        yield pa.RecordBatch.from_arrays([pa.array(used), *columns], names=["piece", *names])
+        yield summands(share)
 
-    schema = "piece long, " + ", ".join(f"{name} double" for name in names)
     cores = matrix.sparkSession.sparkContext.defaultParallelism
-    parts = matrix.select("ids", "weights").coalesce(cores).mapInArrow(shares, schema)
-    sums = parts.groupBy("piece").sum(*names).toArrow()
-    shipped.destroy()
-    out = np.zeros(padded.shape)
-    out.reshape(-1, PIECE)[sums.column("piece").to_numpy()] = np.column_stack(
-        [sums.column(i + 1).to_numpy() for i in range(PIECE)]
-    )
-    return out[:, : x.shape[1]]
-
-
-def _orthonormal(x: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    for _ in range(2):
-        x = np.linalg.qr(x - basis @ (basis.T @ x))[0]
-    return x
+    parts = matrix.select("ids", "weights").coalesce(cores).mapInArrow(shares, SUMMED)
+    return summed(parts, rows, width, slices)
 
 
 def _lengths(matrix: DataFrame, v: np.ndarray) -> np.ndarray:
@@ -154,7 +144,7 @@ def _lengths(matrix: DataFrame, v: np.ndarray) -> np.ndarray:
 
 def factorize(
     matrix: DataFrame, num_terms: int, k: int, tol: float = 1e-9, max_passes: int = 60,
-    r_cond: float = R_COND, block: int | None = None,
+    r_cond: float = R_COND, block: int | None = None, local_bytes: int = LOCAL_BYTES, progress: str | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """The ``k`` largest singular values and right singular vectors (terms x k).
 
@@ -165,6 +155,11 @@ def factorize(
     one direction at a time takes hundreds.  Up to a few hundred terms a single pass
     gives the exact product of all columns.
 
+    Directions and their images stay on the driver up to ``local_bytes``; more are kept as a
+    table by ranges of terms, and the driver holds less than three blocks at any time.  With
+    ``progress``, a folder of its own for this matrix and these arguments, the state is saved
+    after each pass, and a run that was broken off goes on from the last one.
+
     It ends when all ``k`` residuals are below ``tol``, relative to the largest
     eigenvalue of ``A'A``.  If that takes more than ``max_passes``, what has been found is
     returned with a warning that names the residual.  Values below ``r_cond`` times the
@@ -175,40 +170,46 @@ def factorize(
     k = min(k, num_terms)
     if not k:
         return np.empty(0), np.empty((num_terms, 0))
+    spark = matrix.sparkSession
     width = min(num_terms, block or PIECE * -(-(k + max(10, k // 4)) // PIECE))
     if block is None and num_terms <= max(SMALL, 2 * width):
         width = num_terms
     held = max(MAX_BLOCKS * width, 2 * k + width)
-    new = np.eye(num_terms) if width == num_terms else _orthonormal(
-        np.random.default_rng(0).standard_normal((num_terms, width)), np.empty((num_terms, 0))
-    )
-    basis = image = np.empty((num_terms, 0))
-    for number in range(max_passes):
-        basis = np.hstack([basis, new])
-        image = np.hstack([image, gram_times(matrix, new)])
-        small = basis.T @ image
+    if 2 * 8 * num_terms * min(held, num_terms) <= local_bytes:
+        blocks = LocalBlocks(lambda x: gram_times(matrix, x), num_terms)
+    else:
+        # One block is shipped whole; products of all directions take a quarter of a block.
+        width = min(width, max(PIECE, MAX_SHIPPED_BYTES // (8 * num_terms)))
+        held = max(2 * k + width, min(held, int(sqrt(num_terms * width / 4))))
+        blocks = TableBlocks(lambda x, b: gram_times_shipped(matrix, x, num_terms, b, SLICES), num_terms, spark, width, held)
+    saved = Progress(spark, progress) if progress else None
+    last = saved.last() if saved else None
+    if last is None:
+        blocks.start(width)
+    else:
+        saved.load(last, blocks)
+    for number in range(0 if last is None else last + 1, max_passes):
+        small = blocks.extend()
         values, mix = np.linalg.eigh((small + small.T) / 2)
         values, mix = values[::-1], mix[:, ::-1]
-        rest = image @ mix[:, : max(k, width)] - basis @ (mix[:, : max(k, width)] * values[: max(k, width)])
-        residual = np.linalg.norm(rest[:, :k], axis=0)
-        open_ = np.flatnonzero(residual > tol * max(values[0], 0.0))
-        if basis.shape[1] >= num_terms or basis.shape[1] >= k and not len(open_):
+        among = min(max(k, width), len(values))
+        residual = blocks.residuals(mix[:, :among], values[:among])
+        open_ = np.flatnonzero(residual[:k] > tol * max(values[0], 0.0))
+        if blocks.columns >= num_terms or blocks.columns >= k and not len(open_):
             break
+        if number + 1 == max_passes:
+            continue
         # The first directions that are not settled yet, and after them the next best.
-        order = np.concatenate((open_, np.setdiff1d(np.arange(rest.shape[1]), open_)))[:width]
-        rest = rest[:, order]
-        if basis.shape[1] + width > held:
-            # Keep the best directions only; their images need no new pass.
-            kept = mix[:, : held // 2]
-            basis, image = basis @ kept, image @ kept
-        if rest.shape[1] < width or not np.abs(rest).max() > 0:
-            fill = np.random.default_rng(number + 1).standard_normal((num_terms, width))
-            rest = np.hstack([rest, fill])[:, :width] if np.abs(rest).max() > 0 else fill
-        new = _orthonormal(rest, basis)[:, : num_terms - basis.shape[1]]
+        order = np.concatenate((open_, np.setdiff1d(np.arange(among), open_)))[:width]
+        blocks.advance(order, width, number + 1)
+        if blocks.columns + width > held:
+            blocks.restart(mix[:, : held // 2])
+        if saved:
+            saved.save(number, blocks)
     else:
-        warnings.warn(f"{len(open_)} of {k} concepts have not settled after {max_passes} passes; largest residual {residual.max():.3g}", stacklevel=2)
+        warnings.warn(f"{len(open_)} of {k} concepts have not settled after {max_passes} passes; largest residual {residual[:k].max():.3g}", stacklevel=2)
     sigma = np.sqrt(np.maximum(values[:k], 0.0))
-    v = basis @ mix[:, :k]
+    v = blocks.vectors(mix[:, :k])
     if sigma[0] > 0 and (doubtful := sigma < DOUBTFUL * sigma[0]).any():
         sigma[doubtful] = _lengths(matrix, v[:, doubtful])
     real = sigma > r_cond * sigma[0]

@@ -8,8 +8,9 @@ tie and are listed by id.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -20,11 +21,12 @@ from pyspark.sql import types as T
 
 from lexigear.functions import vectors as vx
 from lexigear.operators.decomposition import LsaModel
-from lexigear.shared import through_table
+from lexigear.shared import numbered_rows, through_table
 
 DIGITS = 9
-# Queries scored together in one pass over the documents.
-QUERIES_PER_PASS = 1_000
+# Queries multiplied together, and bytes of query factors shipped for one scan.
+QUERIES_PER_BLOCK = 1_000
+MAX_SHIPPED_BYTES = 256 * 1024 * 1024
 
 
 def query_vector(queries: DataFrame, vocab: DataFrame, key: str = "query_id") -> DataFrame:
@@ -126,84 +128,97 @@ def docs_for_term(model: LsaModel, term: str, n: int = 10, normalized: bool = Tr
     return _best(model.documents, score, n, "doc_id", "title")
 
 
-def _query_block(vectors: DataFrame, model: LsaModel) -> tuple[list, np.ndarray]:
-    """Query ids and their rows of ``Q V``."""
-    rows = vectors.collect()
-    ids = sorted({r.query_id for r in rows})
-    at = {q: i for i, q in enumerate(ids)}
-    block = np.zeros((len(ids), model.k))
-    for r in rows:
-        block[at[r.query_id]] += r.weight * model.v[r.term_id]
-    return ids, block
-
-
 def batch_search(
     model: LsaModel, queries: DataFrame, n: int = 10, cosine: bool = False,
-    queries_per_pass: int = QUERIES_PER_PASS,
+    queries_per_block: int = QUERIES_PER_BLOCK, shipped_bytes: int = MAX_SHIPPED_BYTES,
 ) -> DataFrame:
     """``query_id, rank, doc_id, title, score`` of the best documents per query.
 
-    ``queries`` is ``query_id, features``.  A pass over the documents serves a block of
-    queries: every task multiplies its batches with the block and keeps the best ``n``
-    per query, so what is shuffled is ``n`` rows per query and task.  More queries than
-    one block are dealt to several passes by hash.  A query without any known term has
-    no result.
+    ``queries`` is ``query_id, features``.  One scan of the documents serves all queries
+    whose factors stay below ``shipped_bytes``, over a hundred thousand of them: they are
+    shipped in blocks, every task multiplies its batches with each block and keeps the best
+    ``n`` per query, so what is shuffled is ``n`` rows per query and task.  A query without
+    any known term has no result.
     """
-    passes = max(1, -(-queries.count() // queries_per_pass))
-    # Every pass reads its block of queries; written out, they are tokenized once.
+    # Written out, the queries are tokenized once.
     vectors = through_table(query_vector(queries, model.vocab.frame(model.spark)), "queries")
-    dealt = vectors.withColumn("_pass", F.pmod(F.xxhash64("query_id"), F.lit(passes)))
-    id_type = queries.schema["query_id"].dataType
-    results = []
-    for number in range(passes):
-        names, block = _query_block(dealt.where(F.col("_pass") == number), model)
-        results.append(_one_pass(model, names, block, n, cosine, id_type))
-    return reduce(DataFrame.unionByName, results)
-
-
-def _one_pass(model: LsaModel, names: list, block: np.ndarray, n: int, cosine: bool, id_type) -> DataFrame:
-    if cosine:
-        length = np.linalg.norm(block, axis=1)
-        names = [q for q, size in zip(names, length) if size > 0]
-        block = block[length > 0] / length[length > 0, None]
-    shipped = model.spark.sparkContext.broadcast((block, model.sigma))
+    numbers = through_table(numbered_rows(vectors.select("query_id").distinct(), "query_id", name="query_no"), "queries")
+    found, shipped = [], []
+    for blocks in _groups(_query_blocks(vectors.join(numbers, "query_id"), model, cosine, queries_per_block), shipped_bytes):
+        sent = [(no, model.spark.sparkContext.broadcast(block)) for no, block in blocks]
+        shipped.extend(block for _, block in sent)
+        found.append(scan_once(model, sent, n, cosine))
+    results = reduce(DataFrame.unionByName, found or [scan_once(model, [], n, cosine)])
+    order = W.partitionBy("query_no").orderBy(F.desc("score"), "doc_id")
+    ranked = results.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    out = through_table(ranked.join(numbers, "query_no").select("query_id", "rank", "doc_id", "title", "score"), "found")
+    for block in shipped:
+        block.destroy()
+    return out
+
+
+def _query_blocks(vectors: DataFrame, model: LsaModel, cosine: bool, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Query numbers and their rows of ``Q V``, a block of ``size`` numbers at a time.
+
+    Rows come to the driver in order, a partition at a time.  With ``cosine`` rows have
+    length one, and those without a direction are left out.
+    """
+    rows = vectors.select("query_no", "term_id", "weight").orderBy("query_no").toLocalIterator()
+    for number, own in groupby(rows, key=lambda r: r.query_no // size):
+        block = np.zeros((size, model.k))
+        there = np.zeros(size, dtype=bool)
+        for r in own:
+            block[r.query_no - number * size] += r.weight * model.v[r.term_id]
+            there[r.query_no - number * size] = True
+        at = np.flatnonzero(there)
+        block = block[at]
+        if cosine:
+            length = np.linalg.norm(block, axis=1)
+            at, block = at[length > 0], block[length > 0] / length[length > 0, None]
+        yield at + number * size, block
+
+
+def _groups(blocks: Iterator, limit: int) -> Iterator[list]:
+    """Blocks that may be shipped together."""
+    held, size = [], 0
+    for numbers, block in blocks:
+        if held and size + block.nbytes > limit:
+            yield held
+            held, size = [], 0
+        held.append((numbers, block))
+        size += block.nbytes
+    if held:
+        yield held
+
+
+def scan_once(model: LsaModel, blocks: list, n: int, cosine: bool) -> DataFrame:
+    """``doc_id, title, query_no, score``: the best ``n`` of every task for every query of
+    the shipped ``blocks``, from one scan of the documents."""
+    sigma = model.sigma
     docs = model.documents.select("doc_id", "title", "u")
     schema = T.StructType(docs.select("doc_id", "title").schema.fields)
-    schema.add("query_no", T.IntegerType()).add("score", T.DoubleType())
+    schema.add("query_no", T.LongType()).add("score", T.DoubleType())
 
     def best(batches):
-        block, sigma = shipped.value
-        numbers = np.arange(len(block), dtype=np.int32)
-        kept = None
+        kept: list = [None] * len(blocks)
         for pdf in batches:
             us = np.array(pdf.u.tolist()).reshape(len(pdf), len(sigma)) * sigma
             if cosine:
                 own = np.linalg.norm(us, axis=1)
                 pdf, us = pdf[own > 0], us[own > 0] / own[own > 0, None]
             by_id = np.argsort(pdf.doc_id.to_numpy(), kind="stable")
-            pdf, us = pdf.iloc[by_id], us[by_id]
-            scores = np.round(us @ block.T, DIGITS) + 0.0
-            # Largest first; a stable sort leaves equal scores in order of id.
-            rows = np.argsort(-scores, axis=0, kind="stable")[:n]
-            found = pdf[["doc_id", "title"]].iloc[rows.ravel()].assign(
-                query_no=np.tile(numbers, len(rows)),
-                score=np.take_along_axis(scores, rows, axis=0).ravel(),
-            )
-            kept = found if kept is None else pd.concat([kept, found])
-            kept = kept.sort_values(["query_no", "score", "doc_id"], ascending=[True, False, True])
-            kept = kept.groupby("query_no", sort=False).head(n)
-        if kept is not None:
-            yield kept
-
-    labels = model.spark.createDataFrame(
-        list(enumerate(names)),
-        T.StructType([T.StructField("query_no", T.IntegerType()), T.StructField("query_id", id_type)]),
-    )
-    order = W.partitionBy("query_no").orderBy(F.desc("score"), "doc_id")
-    return (
-        docs.mapInPandas(best, schema)
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= n)
-        .join(F.broadcast(labels), "query_no")
-        .select("query_id", "rank", "doc_id", "title", "score")
-    )
+            names, us = pdf[["doc_id", "title"]].iloc[by_id], us[by_id]
+            for i, (numbers, block) in enumerate(blocks):
+                scores = np.round(us @ block.value.T, DIGITS) + 0.0
+                # Largest first; a stable sort leaves equal scores in order of id.
+                rows = np.argsort(-scores, axis=0, kind="stable")[:n]
+                found = names.iloc[rows.ravel()].assign(
+                    query_no=np.tile(numbers, len(rows)),
+                    score=np.take_along_axis(scores, rows, axis=0).ravel(),
+                )
+                both = found if kept[i] is None else pd.concat([kept[i], found])
+                both = both.sort_values(["query_no", "score", "doc_id"], ascending=[True, False, True])
+                kept[i] = both.groupby("query_no", sort=False).head(n)
+        yield from (k for k in kept if k is not None)
+
+    return docs.mapInPandas(best, schema)

@@ -7,7 +7,8 @@ from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigear.functions import text as fx
@@ -99,6 +100,7 @@ def grid(
     num_freqs: Sequence[int] = GRID_NUM_FREQ,
     ks: Sequence[int] = GRID_K,
     shared: bool = False,
+    folder: str | None = None,
 ) -> list[dict]:
     """Every combination of tokenizer, vocabulary size and k, with runtimes.
 
@@ -108,11 +110,22 @@ def grid(
     and its decomposition.  With ``shared`` one decomposition at the largest k serves all
     ks of a vocabulary, and they report its time.  ``energy`` is the part of the squared
     weights the k concepts keep.
+
+    With a ``folder``, of its own for these documents, finished runs are appended to a table
+    in it, and the run at work saves its state after each pass.  Called again after a
+    failure, the grid takes the finished runs from there and goes on within the broken one,
+    whose time then counts from the start of the call.
     """
     if tokenizers is None:
         tokenizers = {"regex": tk.tokens_regex, "nlp": tk.tokens_lemma}
+    spark = docs.sparkSession
+    done = {r["run_name"]: r for r in _finished(spark, folder)} if folder else {}
     runs = []
     for name, tokenize in tokenizers.items():
+        wanted = [(num_freq, k, f"{name}_{num_freq}_{k}") for num_freq in num_freqs for k in ks]
+        if all(run in done for *_, run in wanted):
+            runs.extend(done[run] for *_, run in wanted)
+            continue
         start = time.perf_counter()
         tokens = tokenize(docs).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
         largest = wt.Vocabulary.fetch(wt.vocabulary(tokens, max(num_freqs)))
@@ -123,27 +136,38 @@ def grid(
             matrix = wt.doc_term_matrix(tokens, vocab).select("ids", "weights").persist()
             total = matrix.agg(F.sum(vx.dot(F.col("weights"), F.col("weights")))).head()[0] or 0.0
             weight_seconds = token_seconds + time.perf_counter() - start
+            sigma = None
             for k in ks:
-                if not shared or k == ks[0]:
+                run = f"{name}_{num_freq}_{k}"
+                if run in done:
+                    runs.append(done[run])
+                    continue
+                if not shared or sigma is None:
                     start = time.perf_counter()
-                    sigma, _ = factorize(matrix, len(vocab), max(ks) if shared else k)
+                    at = max(ks) if shared else k
+                    progress = f"{folder}/progress/{name}_{num_freq}_{at}" if folder else None
+                    sigma, _ = factorize(matrix, len(vocab), at, progress=progress)
                     seconds = weight_seconds + time.perf_counter() - start
                 energy = float((sigma[:k] ** 2).sum() / total) if total else 0.0
-                runs.append(
-                    {
-                        "run_name": f"{name}_{num_freq}_{k}",
-                        "tokenizer": name,
-                        "numFreq": num_freq,
-                        "k": k,
-                        "runtime_seconds": seconds,
-                        "energy": energy,
-                    }
-                )
+                runs.append({"run_name": run, "tokenizer": name, "numFreq": num_freq, "k": k, "runtime_seconds": seconds, "energy": energy})
+                if folder:
+                    row = spark.createDataFrame([tuple(runs[-1].values())], RUN_SCHEMA)
+                    row.coalesce(1).write.mode("append").parquet(f"{folder}/runs")
             matrix.unpersist()
         tokens.unpersist()
     return runs
 
 
+def _finished(spark: SparkSession, folder: str) -> list[dict]:
+    """The runs of a grid that its folder holds."""
+    try:
+        return [r.asDict() for r in spark.read.schema(RUN_SCHEMA).parquet(f"{folder}/runs").collect()]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
 RUN_SCHEMA = (
     "run_name string, tokenizer string, numFreq int, k int, runtime_seconds double, energy double"
 )

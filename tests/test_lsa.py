@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lexigear.operators import concepts as co
 from lexigear.operators import decomposition as dc
 from lexigear.operators import search as se
+from lexigear.operators import tokens as tk
 from lexigear.operators import weighting as wt
 from lexigear.plans import lsa
 
@@ -216,7 +217,7 @@ def test_batch_search_equals_single_searches(spark, model):
     frame = spark.createDataFrame(list(queries.items()), "query_id long, features array<string>")
     for cosine, single in ((False, se.search), (True, se.search_cosine)):
         for per_pass in (1000, 2):
-            rows = se.batch_search(model, frame, n=3, cosine=cosine, queries_per_pass=per_pass).orderBy("query_id", "rank").collect()
+            rows = se.batch_search(model, frame, n=3, cosine=cosine, queries_per_block=per_pass).orderBy("query_id", "rank").collect()
             assert {r.query_id for r in rows} == {1, 2, 4}
             for query, terms in queries.items():
                 if query != 3:
@@ -293,3 +294,113 @@ def test_movies(spark):
     model = lsa.movie_lsa(spark.createDataFrame(rows, "Title string, Genre string, Plot string"), 10, 2)
     listed = co.top_docs(model).collect()
     assert {r.title for r in listed} == {"Up", "In"} and len({r.doc_id for r in listed}) == 3
+
+
+# Directions kept as a table
+
+
+def sparse_rows(spark, dense):
+    rows = [([int(j) for j in np.flatnonzero(r)], [float(r[j]) for j in np.flatnonzero(r)]) for r in dense]
+    return spark.createDataFrame(rows, "ids array<int>, weights array<double>").persist()
+
+
+def decaying(rows=90, columns=100, seed=4):
+    rng = np.random.default_rng(seed)
+    left, right = (np.linalg.qr(rng.standard_normal((n, 80)))[0] for n in (rows, columns))
+    return left * np.exp(-np.arange(80) / 4) @ right.T
+
+
+def test_directions_in_a_table(spark, monkeypatch):
+    """The same factors as on the driver, with restarts, several ranges and a deeper tree."""
+    from lexigear.operators import blocks
+
+    dense = decaying()
+    frame = sparse_rows(spark, dense)
+    exact = np.linalg.svd(dense, compute_uv=False)
+    local = dc.factorize(frame, 100, 6, block=10)
+    monkeypatch.setattr(blocks, "RANGE_BYTES", 1)
+    monkeypatch.setattr(blocks, "TOP_BYTES", 0)
+    table = dc.factorize(frame, 100, 6, block=10, local_bytes=0)
+    np.testing.assert_allclose(table[0], exact[:6], rtol=1e-12)
+    np.testing.assert_allclose(table[0], local[0], rtol=1e-12)
+    np.testing.assert_allclose(table[1], local[1], atol=1e-7)
+    np.testing.assert_allclose(table[1].T @ table[1], np.eye(6), atol=1e-12)
+
+
+def test_tree_of_small_decompositions(spark, monkeypatch):
+    from lexigear.operators import blocks
+
+    monkeypatch.setattr(blocks, "TOP_BYTES", 0)
+    rng = np.random.default_rng(1)
+    parts = [np.linalg.qr(rng.standard_normal((9, 5))) for _ in range(20)]
+    frame = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, (_, r) in enumerate(parts)], "node int, r binary")
+    turns = {r.node: np.frombuffer(r.t).reshape(-1, 5) for r in blocks.tree_factors(frame, 20, 5).collect()}
+    q = np.vstack([part @ turns[i] for i, (part, _) in enumerate(parts)])
+    np.testing.assert_allclose(q.T @ q, np.eye(5), atol=1e-14)
+    whole = np.vstack([part @ r for part, r in parts])
+    np.testing.assert_allclose(q @ (q.T @ whole), whole, atol=1e-13)
+
+
+@pytest.mark.parametrize("local_bytes", [dc.LOCAL_BYTES, 0])
+def test_a_broken_run_goes_on(spark, folder, monkeypatch, local_bytes):
+    frame = sparse_rows(spark, decaying())
+    options = dict(block=6, local_bytes=local_bytes)
+    whole = dc.factorize(frame, 100, 5, **options)
+    name = "gram_times" if local_bytes else "gram_times_shipped"
+    real, calls = getattr(dc, name), []
+
+    def failing(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(dc, name, failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        dc.factorize(frame, 100, 5, progress=folder, **options)
+    before = len(calls)
+    again = dc.factorize(frame, 100, 5, progress=folder, **options)
+    np.testing.assert_allclose(again[0], whole[0], rtol=1e-12)
+    np.testing.assert_allclose(again[1], whole[1], atol=1e-9)
+    assert before == 3
+    if local_bytes:
+        resumed = len(calls) - before
+        calls.clear()
+        monkeypatch.setattr(dc, name, lambda *a, **k: (calls.append(1), real(*a, **k))[1])
+        dc.factorize(frame, 100, 5, **options)
+        assert resumed == len(calls) - 2  # the passes before the loss were not done again
+
+
+def test_grid_goes_on(spark, folder, monkeypatch):
+    docs = spark.createDataFrame([(i, f"t{i}", " ".join("abcdefghijklm"[j] * 4 for j in range(13) if (i * 7 + j * 3) % 5)) for i in range(60)], "doc_id long, title string, text string")
+    real, calls = lsa.factorize, []
+
+    def counted(*args, **kwargs):
+        calls.append(args[2])
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(lsa, "factorize", counted)
+    options = dict(num_freqs=(5, 8), ks=(2, 4), folder=folder, tokenizers={"regex": tk.tokens_regex})
+    with pytest.raises(RuntimeError, match="lost"):
+        lsa.grid(docs, **options)
+    runs = lsa.grid(docs, **options)
+    assert [r["run_name"] for r in runs] == [f"regex_{n}_{k}" for n in (5, 8) for k in (2, 4)]
+    assert len(calls) == 3 + 2
+    energies = [r["energy"] for r in lsa.grid(docs, **options | {"folder": None})]
+    np.testing.assert_allclose([r["energy"] for r in runs], energies)
+
+
+def test_batch_search_scans_once(spark, model, capsys):
+    """Many blocks of queries, one scan; more of them than may be shipped, several."""
+    names = list(model.vocab.terms)
+    rows = [(i, [names[i % len(names)], names[(i * 5 + 1) % len(names)]]) for i in range(60)]
+    frame = spark.createDataFrame(rows, "query_id long, features array<string>")
+    once = {(r.query_id, r["rank"]): (r.doc_id, r.score) for r in se.batch_search(model, frame, n=3, queries_per_block=7).collect()}
+    many = {(r.query_id, r["rank"]): (r.doc_id, r.score) for r in se.batch_search(model, frame, n=3, queries_per_block=25, shipped_bytes=1).collect()}
+    assert once == many and len(once) > 60
+    sent = [(np.arange(2) + 2 * i, spark.sparkContext.broadcast(np.ones((2, model.k)))) for i in range(5)]
+    capsys.readouterr()
+    se.scan_once(model, sent, 3, False).explain()
+    assert capsys.readouterr().out.count("MapInPandas") == 1
