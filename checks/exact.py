@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from checks import oracles as o
@@ -17,12 +16,13 @@ from lexigear.operators import classify as jc
 from lexigear.operators import clusters as cl
 from lexigear.operators import concepts as co
 from lexigear.operators import decomposition as dc
+from lexigear.operators import features as ft
 from lexigear.operators import outliers as ol
 from lexigear.operators import search as se
 from lexigear.operators import tokens as tk
 from lexigear.operators import weighting as wt
 from lexigear.plans import gearbox, lsa
-from lexigear.shared import shared_folder, through_table
+from lexigear.shared import numbered_rows, shared_folder, through_table
 from lexigear.sources import sinks, tables
 
 SQL: dict[str, str] = {}
@@ -51,17 +51,6 @@ class GivenModel(dc.LsaModel):
         return self.given_terms
 
 
-def numbered_rows(rows: DataFrame, key: str) -> DataFrame:
-    """``rows`` with their ``no`` in the order of ``key``, from 0 on; only counts by partition meet."""
-    placed = rows.repartitionByRange(key).sortWithinPartitions(key)
-    placed = placed.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
-    placed = through_table(placed, "placed")
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
-    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    return placed.join(F.broadcast(starts), "_part").withColumn("no", F.col("_before") + F.col("_at")).drop("_part", "_at", "_before", "_n")
-
-
 def given_model(spark, sf, terms: bool = True) -> dc.LsaModel:
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", F.col("embedding").cast("array<double>").alias("u"))
     name = F.concat(F.lit("vec "), F.col("vec_id").cast("string"))
@@ -124,9 +113,19 @@ def iterated(spark, sf) -> dc.LsaModel:
     return lsa.fit(q.regex_docs(spark, sf), o.NUM_FREQ, o.NUM_FREQ, block=16)
 
 
+def tabled(spark, sf) -> dc.LsaModel:
+    """With directions and images in a table by ranges of terms."""
+    return lsa.fit(q.regex_docs(spark, sf), o.NUM_FREQ, o.NUM_FREQ, block=30, local_bytes=0)
+
+
 W60 = o.weights(o.NUM_FREQ)
 
 
+@exact(o.SEARCH)
+def f7_search_tabled(spark, sf):
+    return se.search(tabled(spark, sf), o.QUERY)
+
+
 @exact(W60 + "SELECT round(sum(w * w), 6) AS energy FROM a")
 def e1_svd_energy_iterated(spark, sf):
     return iterated(spark, sf).concepts().agg(F.round(F.sum(F.col("sigma") ** 2), 6).alias("energy"))
@@ -229,6 +228,15 @@ def h2_kmeans_default_groups(spark, sf):
     return cl.cluster_label_counts(cl.score(points, cl.kmeans_default(points, 3)), "source_file").select("source_file", "n")
 
 
+@exact(f"WITH {GROUPED}, c AS (SELECT DISTINCT 'v' || vec_id AS v FROM embeddings) SELECT CAST(g AS INT) AS source_file, count(*) AS n, round(sum(sqrt((x - cx) ** 2 + 1 - 1.0 / size)), 3) AS total FROM far JOIN (SELECT g, avg(x) AS cx, count(*) AS size FROM points GROUP BY g) USING (g) GROUP BY g")
+def h2_kmeans_sparse_groups(spark, sf):
+    """A category of its own for each point beside one far coordinate: sparse rows."""
+    rows = grouped_points(spark, sf).select("source_file", F.get("features", F.lit(0)).alias("x"), F.concat(F.lit("v"), F.col("point_id").cast("string")).alias("name"))
+    rows = ft.sparse_vectors(ft.one_hot_sparse(rows, "x", ("name",), (), max_shipped=100))
+    scored = cl.score(rows, cl.kmeans_fit(rows, 3))
+    return scored.groupBy("source_file").agg(F.count("*").alias("n"), F.round(F.sum("distance"), 3).alias("total"))
+
+
 @exact(f"""WITH {GROUPED}, t AS (SELECT min(d) AS t FROM (SELECT d FROM far ORDER BY d DESC LIMIT 100))
 SELECT CAST(3 AS INT) AS k, round(avg(d), 5) AS avg_distance, round(t, 5) AS threshold, count(*) AS total, count(*) FILTER (round(d, 9) > round(t, 9)) AS anomalies FROM far, t GROUP BY t""")
 def h8_sweep_groups(spark, sf):
@@ -357,11 +365,25 @@ def j10_forest_cv_given(spark, sf):
     return tuned(spark, sf, jc.tune_cv, jc.random_forest(), jc.accuracy(), impurities=("gini",), depths=(6,), bins=(50,), trees=(5, 10))
 
 
-# A movie search, end to end: rows and columns only, since its model is truncated
+# A movie search, end to end, with as many concepts as terms
+
+
+def movie_search_sql() -> str:
+    """Cosines of lemmatized plots and a lemmatized query; the id is a hash of the record."""
+    movies = "SELECT md5(concat_ws(chr(1), 'doc ' || doc_id, lang || ', ' || source, text)) AS doc_id, 'doc ' || doc_id AS title, lang || ', ' || source AS genres, text FROM documents"
+    lemmas = o.lemma_tokens("movies", "doc_id").replace("WITH words", f"WITH movies AS MATERIALIZED ({movies}), words", 1)
+    terms = ", ".join(f"('{t}')" for t in ("ing", "ble", "ther", "ble"))
+    query = f"SELECT term_id, sum(idf) AS q FROM (VALUES {terms}) v(term) JOIN vocab USING (term) GROUP BY term_id"
+    return o.weights(o.NUM_FREQ, f"{lemmas} SELECT doc_id, features FROM lem") + f"""
+SELECT n.doc_id, title, round(coalesce(s, 0) / n.size / (SELECT sqrt(sum(q * q)) FROM ({query})), 9) + 0.0 AS score, genres
+FROM ({o.DOC_NORM}) n JOIN ({movies}) USING (doc_id) LEFT JOIN
+  (SELECT doc_id, sum(w * q) AS s FROM a JOIN ({query}) USING (term_id) GROUP BY doc_id) USING (doc_id)
+ORDER BY score DESC, n.doc_id LIMIT 10"""
 
 
-@q.query
+@exact(movie_search_sql())
 def f13_movie_search(spark, sf):
-    model = lsa.movie_lsa(tables.read_movies(spark, q.written_movies(spark, sf)))
-    found = lsa.movie_search(model, "the ings and bles")
-    return found.withColumn("genres", F.array_join("genres", ", "))
+    movies = tables.read_movies(spark, q.written_movies(spark, sf))
+    model = lsa.movie_lsa(movies, num_freq=o.NUM_FREQ, k=o.NUM_FREQ)
+    found = lsa.movie_search(model, "the ing and bles ther ble")
+    return found.select("doc_id", "title", "score", F.array_join("genres", ", ").alias("genres"))

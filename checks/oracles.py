@@ -230,6 +230,16 @@ ONE_HOT = f"""SELECT l_orderkey, l_linenumber, l_extendedprice, array_to_string(
 FROM (SELECT *, {', '.join(f'{c} AS v{i}' for i, c in enumerate(CATEGORIES))} FROM lineitem) l"""
 
 
+SPARSE = f"""WITH r AS (SELECT DISTINCT CAST(l_returnflag AS VARCHAR) AS v FROM lineitem), s AS (SELECT DISTINCT CAST(l_linestatus AS VARCHAR) AS v FROM lineitem),
+d AS (SELECT DISTINCT strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS v FROM lineitem),
+rn AS (SELECT v, row_number() OVER (ORDER BY v) AS i FROM r), sn AS (SELECT v, row_number() OVER (ORDER BY v) + (SELECT count(*) FROM r) AS i FROM s),
+dn AS (SELECT v, row_number() OVER (ORDER BY v) + (SELECT count(*) FROM r) + (SELECT count(*) FROM s) AS i FROM d),
+n AS (SELECT 1 + (SELECT count(*) FROM r) + (SELECT count(*) FROM s) + (SELECT count(*) FROM d) AS n)
+SELECT l_orderkey, l_linenumber, l_extendedprice, '0:' || CAST(round(l_quantity * 100) AS INT) || ',' || rn.i || ':100,' || sn.i || ':100,' || dn.i || ':100,'
+  || n.n || ':' || CAST(round(l_discount * 100) AS INT) || ',' || (n.n + 1) || ':' || CAST(round(l_tax * 100) AS INT) AS entries, CAST(n.n + 2 AS INT) AS size
+FROM lineitem JOIN rn ON rn.v = l_returnflag JOIN sn ON sn.v = l_linestatus JOIN dn ON dn.v = strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'), n"""
+
+
 def oracle_sql() -> dict[str, str]:
     w60, w1000 = weights(NUM_FREQ), weights(WIDE_FREQ)
     sql = {
@@ -345,6 +355,8 @@ SELECT 'accuracy' AS metric, round(m.accuracy, 6) AS by_length, round(n.accuracy
 SELECT 'weighted_precision', round(m.weighted_precision, 6), round(n.weighted_precision, 6) FROM m, n UNION ALL
 SELECT 'weighted_recall', round(m.weighted_recall, 6), round(n.weighted_recall, 6) FROM m, n""",
     }
+    sql["g4_one_hot_sparse"] = SPARSE
+    sql["d9_doc_term_matrix_joined"] = sql["d9_doc_term_matrix"]
     sql["a3_read_documents"] = sql["a3_parse_documents"]
     sql["a4_stopword_join"] = sql["c5_filter_terms"]
     sql["h5_assign"] = f"{LLOYD} SELECT CAST(id AS BIGINT) AS vec_id, CAST(prediction AS INT) AS prediction FROM s"

@@ -454,6 +454,13 @@ def d9_doc_term_matrix(spark, sf):
     return rows.select("doc_id", F.size("ids").cast("long").alias("stored"), rounded("total", 9))
 
 
+@query
+def d9_doc_term_matrix_joined(spark, sf):
+    docs = regex_docs(spark, sf)
+    rows = wt.doc_term_matrix_joined(docs, wt.vocabulary(docs, o.WIDE_FREQ), hot_terms=100)
+    return rows.withColumn("total", vx.total(F.col("weights"))).select("doc_id", F.size("ids").cast("long").alias("stored"), rounded("total", 9))
+
+
 @query
 def d9_matrix_entries(spark, sf):
     entries = wt.matrix_entries(wide_matrix(spark, sf))
@@ -586,8 +593,8 @@ def f12_batch_search(spark, sf):
 
 @query
 def f12_batch_search_cosine(spark, sf):
-    # Small blocks, so that several passes are exercised.
-    found = se.batch_search(full_rank(spark, sf), benchmark_tokens(spark, sf), cosine=True, queries_per_pass=16)
+    # Small blocks, so that several meet in the scan.
+    found = se.batch_search(full_rank(spark, sf), benchmark_tokens(spark, sf), cosine=True, queries_per_block=16)
     return found.withColumn("rank", F.col("rank").cast("long"))
 
 
@@ -648,6 +655,17 @@ def g4_one_hot(spark, sf):
     return rows.select(*LINE, "l_extendedprice", F.array_join(whole.cast("array<string>"), ",").alias("features"))
 
 
+CATEGORICAL = ("l_returnflag", "l_linestatus", "l_shipdate")
+
+
+@query
+def g4_one_hot_sparse(spark, sf):
+    """Every ship date is a category."""
+    rows = ft.one_hot_sparse(lineitem(spark, sf), "l_quantity", CATEGORICAL, ("l_discount", "l_tax"), max_shipped=100)
+    entries = F.zip_with("features.indices", "features.values", lambda i, v: F.concat_ws(":", i.cast("string"), F.round(v * 100).cast("int").cast("string")))
+    return rows.select(*LINE, "l_extendedprice", F.array_join(entries, ",").alias("entries"), F.col("features.size").alias("size"))
+
+
 @query
 def g5_drop_categoricals(spark, sf):
     rows = ft.drop_categoricals(lineitem(spark, sf), "l_quantity", ("l_discount", "l_tax"))

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexigear.functions.vectors import matrix, squared_distance, with_nearest
+from lexigear.functions.vectors import literal, matrix, squared_distance, with_nearest
 from lexigear.operators.features import FEATURES, as_matrix
 
 Centers = Sequence[Sequence[float]]
@@ -27,9 +31,13 @@ def kmeans_fit(
 
 
 def _vectors(df: DataFrame, column: str) -> DataFrame:
-    """The features as vectors.  Unpersisted on purpose: K-Means then keeps the vectors
-    with their norms itself, for as long as it iterates."""
-    return df.select(array_to_vector(F.col(column)).alias("_vector"))
+    """The features as vectors, which they may be already.  Unpersisted on purpose: K-Means
+    then keeps the vectors with their norms itself, for as long as it iterates."""
+    return df.select(_vector(df, column).alias("_vector"))
+
+
+def _vector(df: DataFrame, column: str) -> Column:
+    return F.col(column) if isinstance(df.schema[column].dataType, VectorUDT) else array_to_vector(F.col(column))
 
 
 def kmeans_default(df: DataFrame, k: int, column: str = FEATURES) -> KMeansModel:
@@ -56,25 +64,57 @@ def score(df: DataFrame, model: KMeansModel, column: str = FEATURES) -> DataFram
     """Add ``prediction`` and ``distance`` of a fitted model.
 
     The model finds the cluster; only the distance to that one center is computed here.
+    Rows may be vectors, sparse ones among them, of any width.
     """
-    found = model.transform(df.withColumn("_vector", array_to_vector(F.col(column)))).drop("_vector")
+    found = model.transform(df.withColumn("_vector", _vector(df, column)))
+    if isinstance(df.schema[column].dataType, VectorUDT):
+        return found.withColumn("distance", _vector_distance(df.sparkSession, model)(F.unwrap_udt("_vector"), "prediction")).drop("_vector")
     own = F.get(matrix(model_centers(model)), F.col("prediction"))
-    return found.withColumn("distance", F.sqrt(squared_distance(F.col(column), own)))
+    return found.drop("_vector").withColumn("distance", F.sqrt(squared_distance(F.col(column), own)))
+
+
+def _vector_distance(spark: SparkSession, model: KMeansModel):
+    """A function of a vector's parts and its cluster: the distance to that center.
+
+    Only the entries of a sparse row are visited: what it lacks adds the center's squares.
+    """
+    centers = np.asarray(model.clusterCenters(), dtype=float)
+    shipped = spark.sparkContext.broadcast((centers, (centers * centers).sum(axis=1)))
+
+    @F.pandas_udf("double")
+    def distance(vectors: pd.DataFrame, clusters: pd.Series) -> pd.Series:
+        centers, squares = shipped.value
+        there = np.flatnonzero((vectors["values"].notna() & clusters.notna()).to_numpy())
+        out = np.full(len(vectors), None, dtype=object)
+        if len(there):
+            values = [np.asarray(v, dtype=float) for v in vectors["values"].iloc[there]]
+            ids = [np.arange(len(v)) if i is None else i for i, v in zip(vectors["indices"].iloc[there], values)]
+            sizes = np.array([len(v) for v in values])
+            own = clusters.iloc[there].to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(len(there)), sizes)
+            x, c = np.concatenate(values), centers[own[row], np.concatenate(ids).astype(np.int64)]
+            near = np.bincount(row, (x - c) ** 2, len(there))
+            rest = squares[own] - np.bincount(row, c * c, len(there))
+            out[there] = np.sqrt(near + np.maximum(rest, 0.0))
+        return pd.Series(out, dtype="object")
+
+    return distance
 
 
 def kmeans_lloyd(df: DataFrame, centers: Centers, iterations: int, column: str = FEATURES) -> Centers:
     """Assign-and-average steps from given centers.
 
-    Each step is one aggregation, combined before its shuffle; one number per center
-    and dimension reaches the driver.  A center
-    without points stays where it is.  Persist ``df``.
+    Each step is one aggregation of whole vectors, combined before its shuffle; one mean
+    per center reaches the driver.  A center without points stays where it is.  Points
+    without features, or with a null among them, count nowhere.  Persist ``df``.
     """
     centers = as_matrix(centers)
     for _ in range(iterations):
-        values = assign(df, centers, column).select("prediction", F.posexplode(column).alias("dim", "value"))
-        means = values.groupBy("prediction", "dim").agg(F.avg("value").alias("mean"))
+        own = F.when(F.col("prediction").isNotNull(), F.col(column)).otherwise(literal([0.0] * len(centers[0])))
+        points = assign(df, centers, column).select("prediction", array_to_vector(own).alias("_vector"))
+        means = points.groupBy("prediction").agg(Summarizer.mean(F.col("_vector")).alias("mean"))
         for r in means.where("prediction IS NOT NULL").collect():
-            centers[r.prediction][r.dim] = r["mean"]
+            centers[r.prediction] = r["mean"].toArray().tolist()
     return centers
 
 
@@ -98,13 +138,18 @@ def cluster_label_counts(scored: DataFrame, label: str = "label") -> DataFrame:
 
 def cluster_entropy(scored: DataFrame, label: str = "label") -> DataFrame:
     """Mean label entropy of the clusters, weighted by their size; natural logarithm."""
-    pairs = scored.groupBy("prediction", label).agg(F.count("*").alias("n"))
+    return entropy_by(scored, [], label)
+
+
+def entropy_by(scored: DataFrame, keys: list[str], label: str = "label") -> DataFrame:
+    """``cluster_entropy`` of each group of ``keys``, such as several models' rows."""
+    pairs = scored.groupBy(*keys, "prediction", label).agg(F.count("*").alias("n"))
     # sum(-p ln p) over one cluster is ln N - sum(n ln n) / N.
-    clusters = pairs.groupBy("prediction").agg(
+    clusters = pairs.groupBy(*keys, "prediction").agg(
         F.sum("n").alias("size"), F.sum(F.col("n") * F.log("n")).alias("n_log_n")
     )
     weighted = F.col("size") * F.log("size") - F.col("n_log_n")
-    return clusters.agg((F.sum(weighted) / F.sum("size")).alias("entropy"))
+    return clusters.groupBy(*keys).agg((F.sum(weighted) / F.sum("size")).alias("entropy"))
 
 
 def elbow_deltas(scores: DataFrame) -> DataFrame:

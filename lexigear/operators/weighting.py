@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 
 from lexigear.functions.text import run_lengths
 from lexigear.functions.vectors import literal
+from lexigear.shared import through_table
 
 # A vocabulary beyond this size is joined by shuffle instead of being broadcast, to the
 # same result.
 MAX_BROADCAST_TERMS = 1_000_000
+# The most frequent terms of a larger one are shipped nevertheless.
+HOT_TERMS = 10_000
 
 
 def term_freqs(docs: DataFrame) -> DataFrame:
@@ -118,6 +121,36 @@ def doc_term_matrix(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     return counted.select(*docs.columns, ids.alias("ids"), weights.alias("weights"))
 
 
+def doc_term_matrix_joined(docs: DataFrame, vocab: DataFrame, hot_terms: int = HOT_TERMS) -> DataFrame:
+    """``doc_term_matrix`` for vocabularies (``term_id, term, idf``) too large to ship.
+
+    Ids follow document frequency, so the ``hot_terms`` lowest are the most frequent terms.
+    These are shipped; any other term has at most one part in ``hot_terms`` of all entries,
+    and those meet the rest of the vocabulary in a shuffle without hot keys.  Rows of one id
+    are rows of their own.
+    """
+    docs = docs.withColumn("features", F.coalesce("features", F.array().cast("array<string>")))
+    numbered = through_table(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    known = vocab.select(F.col("term").alias("_term"), F.col("term_id").cast("int").alias("_id"), F.col("idf").alias("_idf"))
+    # As in ``term_freqs``, the runs are computed inside the generator.
+    counted = numbered.select("_row", F.size("features").alias("_len"), F.inline(run_lengths(F.col("features"))))
+    hot = F.broadcast(known.where(F.col("_id") < hot_terms))
+    counted = counted.join(hot, F.col("term") == F.col("_term"), "left").drop("_term")
+    # A shipped term finds no other partner; its entries go to keys of their own.
+    key = F.when(F.col("_id").isNull(), F.col("term")).otherwise(F.concat(F.lit("\u0000"), F.col("_row").cast("string")))
+    rest = known.where(F.col("_id") >= hot_terms).withColumnsRenamed({"_id": "_far_id", "_idf": "_far_idf"})
+    found = counted.withColumn("_key", key).join(rest, F.col("_key") == F.col("_term"), "left")
+    entry = F.struct(F.coalesce("_id", "_far_id").alias("i"), (F.coalesce("_idf", "_far_idf") * F.col("tf") / F.col("_len")).alias("w"))
+    rows = found.where("coalesce(_id, _far_id) IS NOT NULL").groupBy("_row").agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+    joined = numbered.join(rows, "_row", "left")
+    none = F.array()
+    return joined.select(
+        *docs.columns,
+        F.coalesce(F.col("_entries.i"), none.cast("array<int>")).alias("ids"),
+        F.coalesce(F.col("_entries.w"), none.cast("array<double>")).alias("weights"),
+    )
+
+
 def matrix_entries(matrix: DataFrame) -> DataFrame:
     """``doc_id, term_id, weight`` of the stored entries of ``doc_term_matrix``."""
     zipped = F.arrays_zip(F.col("ids").alias("term_id"), F.col("weights").alias("weight"))

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lexigear.functions.vectors import matrix, squared_distance
 from lexigear.operators import clusters as cl
 from lexigear.operators import outliers as ol
 from lexigear.operators.features import FEATURES, assemble, standardize
@@ -34,61 +37,122 @@ def prepare(readings: DataFrame, sensors: list[str]) -> DataFrame:
     return standardize(assemble(readings, sensors))
 
 
+def scored_by_all(data: DataFrame, models: dict, near: dict | None = None) -> Column:
+    """An array of ``k, prediction, distance`` of every model, one scan for all of them.
+
+    ``data`` must come from ``with_predictions``.  With ``near`` (a bucket of distances for
+    each k) only entries in that bucket or above it.
+    """
+    entries = []
+    for k, model in models.items():
+        prediction = F.col(f"_p{k}")
+        own = F.get(matrix(cl.model_centers(model)), prediction)
+        entry = F.struct(F.lit(k).alias("k"), prediction.alias("prediction"), F.sqrt(squared_distance(F.col(FEATURES), own)).alias("distance"))
+        entries.append(entry)
+    if near is None:
+        return F.array(*entries)
+    least = F.create_map(*[F.lit(x) for k in models for x in (k, near[k])])
+    return F.filter(F.array(*entries), lambda e: _bucket(e["distance"]) >= least[e["k"]])
+
+
+def with_predictions(data: DataFrame, models: dict) -> DataFrame:
+    """Each model's cluster in a column of its own."""
+    out = data.withColumn("_vector", array_to_vector(F.col(FEATURES)))
+    for k, model in models.items():
+        out = model.setPredictionCol(f"_p{k}").transform(out)
+    return out.drop("_vector")
+
+
+def _bucket(distance: Column) -> Column:
+    """Sixteen buckets for each doubling of a distance."""
+    return F.when(distance > 0, F.floor(F.log2(distance) * 16)).otherwise(F.when(distance.isNotNull(), F.lit(-(1 << 20)))).cast("int")
+
+
+def fit_all(data: DataFrame, ks: Iterable[int], fit: Callable) -> tuple[dict, dict]:
+    """The models of all ks, and the seconds each fit took."""
+    models, seconds = {}, {}
+    for k in ks:
+        start = time.perf_counter()
+        models[k] = fit(data, k)
+        seconds[k] = time.perf_counter() - start
+    return models, seconds
+
+
 def sweep_k(
     data: DataFrame, ks: Iterable[int] = range(2, 13), seed: int = 42, max_iter: int = 50,
     top_n: int = ol.REPORT, threshold_rank: int = ol.THRESHOLD_RANK,
     keep: list[str] | None = None, key: str = "point_id",
 ) -> Sweep:
-    """Fit and score every k over one persisted frame.
+    """Fit every k over one persisted frame, and score all of them in two scans.
 
-    Two passes score a k: one average, and one for the largest distances.  The latter
-    keeps a fixed number of rows, which yield the report, the threshold, and the number
-    of rows above it.  ``runtime_seconds`` covers fit and scoring.
+    The first scan sums the distances of each k by size.  From the counts follows how far
+    the largest distances reach down; the second scan keeps the rows above that alone, and
+    ranks them.  They yield the report, the threshold and the number of rows above it.
+    ``runtime_seconds`` is a fit and its even share of the scoring.
     """
     spark = data.sparkSession
     kept = keep if keep is not None else [c for c in data.columns if c not in (FEATURES, key)]
     data = data.select(key, *kept, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
-    summary, tops, centers = [], [], {}
+    models, seconds = fit_all(data, ks, lambda d, k: cl.kmeans_fit(d, k, seed, max_iter))
+    if not models:
+        data.unpersist()
+        raise ValueError("a sweep needs at least one k")
+    start = time.perf_counter()
     largest_n = max(top_n, threshold_rank)
-    schema = None
-    for k in ks:
-        start = time.perf_counter()
-        model = cl.kmeans_fit(data, k, seed, max_iter)
-        centers[k] = cl.model_centers(model)
-        scored = cl.score(data, model).drop(FEATURES)
-        mean, total = scored.agg(F.avg("distance"), F.count("*")).head()
-        report = scored.select(F.lit(k).alias("k"), key, "prediction", "distance", *kept)
-        schema = report.schema
-        rows = ol.top_outliers(report, largest_n, key).collect()
-        ranked = rows[:threshold_rank]
-        threshold = ranked[-1].distance if ranked else None
-        above = sum(r.distance > threshold for r in ranked)
+    found = with_predictions(data, models)
+    each = found.select(F.inline(scored_by_all(found, models)))
+    sums = each.groupBy("k", _bucket(F.col("distance")).alias("bucket")).agg(F.count("*").alias("n"), F.sum("distance").alias("total")).collect()
+    near = {}
+    for k in models:
+        above = 0
+        for bucket, n in sorted(((r.bucket, r.n) for r in sums if r.k == k and r.bucket is not None), reverse=True):
+            near[k], above = bucket, above + n
+            if above >= largest_n:
+                break
+        near.setdefault(k, 0)
+    far = found.select(key, *kept, F.inline(scored_by_all(found, models, near)))
+    order = W.partitionBy("k").orderBy(F.desc("distance"), key)
+    report = far.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= largest_n)
+    ranked: dict[int, list] = {k: [] for k in models}
+    columns = ["k", key, "prediction", "distance", *kept]
+    for r in report.orderBy("k", "rank").select(*columns).collect():
+        ranked[r.k].append(r)
+    share = (time.perf_counter() - start) / len(models)
+    summary, tops = [], []
+    for k, rows in ranked.items():
+        counted = [r for r in sums if r.k == k]
+        total, measured = sum(r.n for r in counted), sum(r.n for r in counted if r.bucket is not None)
+        mean = sum(r.total for r in counted if r.bucket is not None) / measured if measured else None
+        threshold = rows[:threshold_rank][-1].distance if rows else None
+        above = sum(r.distance > threshold for r in rows[:threshold_rank])
         percent = 100.0 * above / total if total else 0.0
         tops.extend(rows[:top_n])
-        summary.append((k, mean, threshold, total, above, percent, time.perf_counter() - start))
+        summary.append((k, mean, threshold, total, above, percent, seconds[k] + share))
     data.unpersist()
+    schema = report.select(*columns).schema
     return Sweep(
-        spark.createDataFrame(summary, SUMMARY_SCHEMA), spark.createDataFrame(tops, schema), centers
+        spark.createDataFrame(summary, SUMMARY_SCHEMA), spark.createDataFrame(tops, schema),
+        {k: cl.model_centers(m) for k, m in models.items()},
     )
 
 
 def sweep_entropy(data: DataFrame, ks: Iterable[int], label: str = "label") -> DataFrame:
-    """``k, entropy`` of fits with library defaults."""
+    """``k, entropy`` of fits with library defaults, scored in one scan."""
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    for k in ks:
-        scored = cl.score(data, cl.kmeans_default(data, k))
-        rows.append((k, cl.cluster_entropy(scored, label).head()[0]))
+    models, _ = fit_all(data, ks, cl.kmeans_default)
+    found = with_predictions(data, models)
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_p{k}").alias("prediction")) for k in models])
+    out = cl.entropy_by(found.select(label, F.inline(pairs)), ["k"], label)
+    rows = out.collect()
     data.unpersist()
     return data.sparkSession.createDataFrame(rows, "k int, entropy double")
 
 
 def sweep_scores(data: DataFrame, ks: Iterable[int]) -> DataFrame:
-    """``k, avg_distance`` of fits with library defaults."""
+    """``k, avg_distance`` of fits with library defaults, scored in one scan."""
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    for k in ks:
-        scored = cl.score(data, cl.kmeans_default(data, k))
-        rows.append((k, cl.avg_distance(scored).head()[0]))
+    models, _ = fit_all(data, ks, cl.kmeans_default)
+    found = with_predictions(data, models)
+    rows = found.select(F.inline(scored_by_all(found, models))).groupBy("k").agg(F.avg("distance").alias("avg_distance")).collect()
     data.unpersist()
     return data.sparkSession.createDataFrame(rows, "k int, avg_distance double")

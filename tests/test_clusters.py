@@ -48,6 +48,64 @@ def test_one_hot_layout(spark):
     assert ft.categories(df, ["p", "s"]) == {"p": ["tcp", "udp"], "s": ["S0", "SF"]}
 
 
+def test_sparse_rows_equal_dense_ones(spark):
+    rows = [(float(i), "abc"[i % 3] if i % 7 else None, f"s{i % 90:02d}", i * 0.5) for i in range(300)]
+    df = spark.createDataFrame(rows, "d double, p string, s string, n double")
+    dense = {r.d: r.features for r in ft.one_hot(df, "d", ("p", "s"), ("n",)).collect()}
+    for shipped in (1000, 0):
+        for r in ft.one_hot_sparse(df, "d", ("p", "s"), ("n",), max_shipped=shipped).collect():
+            x = [0.0] * r.features["size"]
+            for i, v in zip(r.features["indices"], r.features["values"]):
+                x[i] = v
+            assert x == dense[r.d]
+            assert len(r.features["indices"]) == 3 + (r.p is not None)
+    other = spark.createDataFrame([(1.0, "zz", None, 2.0)], df.schema)
+    r = ft.one_hot_sparse(other, "d", ("p", "s"), ("n",), ft.category_index(df, ("p", "s"))).head().features
+    assert (r["size"], r["indices"], r["values"]) == (95, [0, 94], [1.0, 2.0])
+    none = ft.one_hot_sparse(df.limit(0), "d", ("p", "s"), ("n",))
+    assert none.count() == 0
+
+
+def test_kmeans_takes_sparse_rows(spark):
+    rows = [(100.0 * (i % 2) + i % 5, f"c{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "d double, p string")
+    dense = ft.one_hot(df, "d", ("p",), ())
+    sparse = ft.sparse_vectors(ft.one_hot_sparse(df, "d", ("p",), ()))
+    scored = []
+    for frame in (dense, sparse):
+        model = cl.kmeans_fit(frame, 2)
+        scored.append({r.p: r.distance for r in cl.score(frame, model).collect()})
+    assert scored[0] == pytest.approx(scored[1])
+    scaled = ft.scale_vectors(sparse)
+    shifted = ft.normalize_pop(dense)
+    a = cl.score(scaled, cl.kmeans_fit(scaled, 2)).agg(F.sum("distance")).head()[0]
+    assert a == pytest.approx(cl.score(shifted, cl.kmeans_fit(shifted, 2)).agg(F.sum("distance")).head()[0], rel=0.05)
+    spread = np.array([r.features.toArray() for r in scaled.orderBy("p").collect()])
+    np.testing.assert_allclose(spread.std(axis=0), 1.0)
+
+
+def test_sweep_scans_twice(spark, data):
+    """The same report as scoring each k for itself."""
+    found = gearbox.sweep_k(data, (2, 3, 5), top_n=4, threshold_rank=10, keep=["label"])
+    for r in found.summary.collect():
+        scored = cl.score(data, cl.kmeans_fit(data, r.k))
+        rows = ol.top_outliers(scored, 10).collect()
+        assert r.avg_distance == pytest.approx(scored.agg(F.avg("distance")).head()[0])
+        assert (r.threshold, r.total, r.anomalies) == (pytest.approx(rows[-1].distance), 400, sum(x.distance > rows[-1].distance for x in rows))
+        mine = found.outliers.where(F.col("k") == r.k).collect()
+        assert [(x.point_id, x.prediction, x.label) for x in mine] == [(x.point_id, x.prediction, x.label) for x in rows[:4]]
+    same = spark.createDataFrame([(i, [1.0]) for i in range(300)], "point_id long, features array<double>")
+    tied = gearbox.sweep_k(same, (2,), keep=[])
+    assert [x.point_id for x in tied.outliers.collect()] == list(range(25))
+    assert (tied.summary.head().avg_distance, tied.summary.head().anomalies) == (0.0, 0)
+
+
+def test_lloyd_explodes_nothing(data, capsys):
+    points = cl.assign(data, [[0.0] * 3, [4.0] * 3])
+    points.explain()
+    assert "Generate" not in capsys.readouterr().out
+
+
 def test_assign(spark, data):
     centers = [[0.0, 0.0, 0.0], [4.0, 4.0, 4.0], [9.0, 9.0, 9.0]]
     x = points()
