@@ -41,8 +41,17 @@ def square(x: Column) -> Column:
     return x * x
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    return total(F.zip_with(a, b, lambda x, y: square(x - y)))
+# Up to this many differences distances are written out and join whole-stage code
+# generation; more would make code that takes long to compile.  Same numbers either way.
+UNROLL_LIMIT = 32
+
+
+def squared_distance(a: Column, b: Column, width: int | None = None) -> Column:
+    """Null if an array is null or, given the ``width`` of both, of another one."""
+    if width is None or width > UNROLL_LIMIT:
+        return total(F.zip_with(a, b, lambda x, y: square(x - y)))
+    parts = [square(F.get(a, F.lit(j)) - F.get(b, F.lit(j))) for j in range(width)]
+    return F.when(F.size(a) == width, sum(parts[1:], parts[0]) if parts else F.lit(0.0))
 
 
 def matrix(rows: Sequence[Sequence[float]]) -> Column:
@@ -58,7 +67,11 @@ def with_nearest(df: DataFrame, features: str, centers: Sequence[Sequence[float]
     results are read from them: the optimizer keeps such a projection apart.
     """
     own = F.col(features)
-    distances = F.transform(matrix(centers), lambda c: squared_distance(own, c))
+    width = len(centers[0]) if len(centers) else 0
+    if 0 < len(centers) * width <= UNROLL_LIMIT:
+        distances = F.array(*[squared_distance(own, literal(c), width) for c in centers])
+    else:
+        distances = F.transform(matrix(centers), lambda c: squared_distance(own, c))
     return (
         df.withColumn("_d2", F.when(own.isNotNull(), distances))
         .withColumn("_min", F.array_min("_d2"))

@@ -69,8 +69,12 @@ def score(df: DataFrame, model: KMeansModel, column: str = FEATURES) -> DataFram
     found = model.transform(df.withColumn("_vector", _vector(df, column)))
     if isinstance(df.schema[column].dataType, VectorUDT):
         return found.withColumn("distance", _vector_distance(df.sparkSession, model)(F.unwrap_udt("_vector"), "prediction")).drop("_vector")
-    own = F.get(matrix(model_centers(model)), F.col("prediction"))
-    return found.drop("_vector").withColumn("distance", F.sqrt(squared_distance(F.col(column), own)))
+    return found.drop("_vector").withColumn("distance", distance_to_own(model, F.col(column), F.col("prediction")))
+
+
+def distance_to_own(model: KMeansModel, features: Column, prediction: Column) -> Column:
+    centers = model_centers(model)
+    return F.sqrt(squared_distance(features, F.get(matrix(centers), prediction), len(centers[0])))
 
 
 def _vector_distance(spark: SparkSession, model: KMeansModel):

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lexigear.functions.vectors import matrix, squared_distance
 from lexigear.operators import clusters as cl
 from lexigear.operators import outliers as ol
 from lexigear.operators.features import FEATURES, assemble, standardize
@@ -46,9 +45,8 @@ def scored_by_all(data: DataFrame, models: dict, near: dict | None = None) -> Co
     entries = []
     for k, model in models.items():
         prediction = F.col(f"_p{k}")
-        own = F.get(matrix(cl.model_centers(model)), prediction)
-        entry = F.struct(F.lit(k).alias("k"), prediction.alias("prediction"), F.sqrt(squared_distance(F.col(FEATURES), own)).alias("distance"))
-        entries.append(entry)
+        distance = cl.distance_to_own(model, F.col(FEATURES), prediction)
+        entries.append(F.struct(F.lit(k).alias("k"), prediction.alias("prediction"), distance.alias("distance")))
     if near is None:
         return F.array(*entries)
     least = F.create_map(*[F.lit(x) for k in models for x in (k, near[k])])
