@@ -14,12 +14,15 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-SEGMENT = 64  # turns of a conversation that are rendered together; longer ones go on in further segments
-MOST_ROWS = 256  # rows of one segment that are rendered together, should turn numbers repeat
+from lexigear.llm.common import materialize, small
+from lexigear.shared import numbered_rows
+
+MOST_CHARS = 1_000_000  # of a conversation that is rendered whole; longer ones are cut between turns
+SEGMENT_ROWS = 4_096  # turns of a longer one that go to one task
 LOSS_ROLE = "assistant"
 
 OPEN, MIDDLE, CLOSE = "### ", ":\n", "</turn>\n"
@@ -111,42 +114,70 @@ def _encoded(keys: list[tuple], held: list[Formatted], path: str, loss_role: str
     return pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
 
-def format_conversations(turns: DataFrame, path: str, loss_role: str = LOSS_ROLE) -> DataFrame:
+def _size(role: str, text: str) -> Column:
+    """Characters of a turn before escaping, its marks among them."""
+    return F.length(role) + F.length(text) + len(OPEN + MIDDLE + CLOSE)
+
+
+def _segmented(rows: DataFrame, most: int) -> DataFrame:
+    """``rows`` with their segment: 0, but in conversations of more than ``most`` characters
+    the number of the run of ``SEGMENT_ROWS`` turns that a row is in.
+
+    Such conversations are numbered by ranges of their turns, so that one of them may hold
+    any share of all rows.
+    """
+    sizes = rows.groupBy("conv_id").agg(F.sum(_size("role", "text").cast("long")).alias("chars"))
+    large = materialize(sizes.where(F.col("chars") > most).select(F.col("conv_id").alias("large_id")), "large")
+    whole = rows.withColumn("segment", F.lit(0).cast("long"))
+    if large.isEmpty():
+        return whole
+    is_large = F.col("conv_id").eqNullSafe(F.col("large_id"))
+    rest = whole.join(small(large), is_large, "left_anti")
+    cut = numbered_rows(rows.join(small(large), is_large, "left_semi"), "conv_id", "turn", "role", "text")
+    starts = cut.groupBy(F.col("conv_id").alias("large_id")).agg(F.min("no").alias("first"))
+    cut = cut.join(small(materialize(starts, "starts")), is_large)
+    segment = F.expr(f"(no - first) div {SEGMENT_ROWS}")
+    return rest.unionByName(cut.select(*rows.columns, segment.alias("segment")))
+
+
+def format_conversations(turns: DataFrame, path: str, loss_role: str = LOSS_ROLE, most: int = MOST_CHARS) -> DataFrame:
     """(conv_id, segment, part, formatted, ids, loss, loss_spans) from rows of
     conv_id, turn, role, text.
 
-    Turns are ordered by turn, then role and text; null roles and texts count as empty,
-    null turns come first, and rows without conv_id are one conversation.  A conversation
-    is one row unless it is longer than 64 turns; then it goes on in further segments,
-    which other tasks may render, and its text is theirs in order.  ``loss`` tells for each
+    Turns are ordered by turn, then role and text, whatever their numbers are; null turns
+    come first, null roles and texts count as empty, and rows without conv_id are one
+    conversation.  A conversation is rendered whole and encoded once, one row, unless it has
+    more than ``most`` characters: then it goes on in further segments, which other tasks may
+    render, and parts of them, and its text is theirs in order.  ``loss`` tells for each
     id whether it touches a text of ``loss_role``; ``loss_spans`` are the characters of
     ``formatted`` under the mask, cut to these texts.
     """
-    segment = F.coalesce(F.floor(F.col("turn") / SEGMENT), F.lit(-1)).cast("long")
-    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), segment.alias("segment"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[tuple] = []
         held: list[Formatted] = []
         now: tuple | None = None
-        part, pending, size = 0, [], 0
+        part, pending, pending_size, size = 0, [], 0, 0
 
         def close() -> None:
-            nonlocal pending, part, size
+            nonlocal pending, pending_size, part, size
             if pending:
                 keys.append((*now, part))
                 held.append(render(pending))
                 size += len(held[-1].text)
-                part, pending = part + 1, []
+                part, pending, pending_size = part + 1, [], 0
 
         for batch in batches:
             for conv, seg, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "segment", "role", "text"))):
+                more = len(role) + len(text) + len(OPEN + MIDDLE + CLOSE)
                 if (conv, seg) != now:
                     close()
                     now, part = (conv, seg), 0
-                elif len(pending) == MOST_ROWS:
+                elif pending_size + more > most:
                     close()
                 pending.append((role, text))
+                pending_size += more
                 if size > 1_000_000 or len(held) >= 200:
                     yield _encoded(keys, held, path, loss_role)
                     keys, held, size = [], [], 0
@@ -155,5 +186,5 @@ def format_conversations(turns: DataFrame, path: str, loss_role: str = LOSS_ROLE
             yield _encoded(keys, held, path, loss_role)
 
     n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(n, "conv_id", "segment").sortWithinPartitions("conv_id", "segment", "turn", "role", "text")
+    dealt = _segmented(rows, most).repartition(n, "conv_id", "segment").sortWithinPartitions("conv_id", "segment", "turn", "role", "text")
     return dealt.drop("turn").mapInArrow(work, SCHEMA)
