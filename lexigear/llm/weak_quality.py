@@ -242,12 +242,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_r
     """The label model over all documents, and the scorer on at most ``train_rows`` of them.
 
     The sample takes the documents with the smallest hash of their id and text, so it is the
-    same on each run.  What comes to the driver is one row per vote pattern and the features
+    same on each run, and as many as there are up to ``train_rows``: without ids, with one id
+    for all rows and with repeated rows too.  What comes to the driver is one row per vote pattern and the features
     of the sample.
     """
     counts = with_votes(docs, id_col, text_col).groupBy("pattern").count().toPandas()
     labels = fit_labels(counts["pattern"].to_numpy(), counts["count"].to_numpy())
-    order = F.xxhash64("doc_id", F.lit(3))
 
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = 3 ** np.arange(len(LABELLERS))
@@ -260,12 +260,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_r
             yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     arrow = pa.schema([("pattern", pa.int32()), ("bucket", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))])
-    total = max(int(counts["count"].sum()), 1)
-    narrow = _narrow(docs, id_col, text_col)
-    # the hash of the id is even over its range: somewhat more rows than needed lie below this
-    share = min(1.0, 1.2 * train_rows / total + 200 / total)
-    below = int(-(1 << 63) + share * ((1 << 64) - 1))
-    near = narrow.withColumn("order", order).where(F.col("order") <= F.lit(min(below, (1 << 63) - 1)))
+    # the rows up to the hash of the last one wanted; equal rows share a hash, so there may be more
+    hashed = _narrow(docs, id_col, text_col).withColumn("order", F.xxhash64("doc_id", "text"))
+    last = hashed.select("order").orderBy("order").limit(train_rows).agg(F.max("order")).first()[0]
+    near = hashed.where(F.col("order") <= F.lit(last if last is not None else 0))
     sample = near.orderBy("order", "text").limit(train_rows).select("text")
     got = sample.mapInArrow(featurize, "pattern int, bucket array<int>, value array<float>").toPandas()
     rows = [(np.asarray(b), np.asarray(v, dtype=float)) for b, v in zip(got["bucket"], got["value"])]
