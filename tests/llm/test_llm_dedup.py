@@ -56,15 +56,37 @@ def test_members(spark, weak):
     assert sum(r.kept for r in rows) == len(keep)
 
 
-def test_stream_goes_on_from_its_state(spark, folder):
-    from lexigear.llm.stream_dedup import ingest, sha256, signatures
-
-    first, second = docs(spark, [(1, "a"), (2, "b")]), docs(spark, [(5, "a"), (6, "c"), (7, "a")])
-    signatures(first, "doc_id", "text", sha256).write.mode("append").parquet(f"{folder}/signatures")
-    ingest(spark, folder)
-    signatures(second, "doc_id", "text", sha256).write.mode("append").parquet(f"{folder}/signatures")
-    found = {(r.winner.doc_id, r.group_size) for r in ingest(spark, folder).collect()}
-    assert found == {(7, 3), (2, 1), (6, 1)}
+def test_later_ingests_meet_earlier_ones(spark, folder):
+    """State, winners and locators of an ingest serve the next one, in another object."""
+    first, second = docs(spark, [(1, "a"), (2, "b"), (None, "n")]), docs(spark, [(5, "a"), (6, "c"), (7, "a"), (None, "n")])
+    stream_dedup.Deduplicator(spark, folder).add(first, 0)
+    later = stream_dedup.Deduplicator(spark, folder)
+    later.add(second, 1)
+    later.add(second, 1)  # as after a failure: nothing is counted twice
+    found = Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in later.members().collect())
+    kept_null = [k for k in found if k[0] is None]
+    assert found == Counter([(1, 7, 3, False), (5, 7, 3, False), (7, 7, 3, True), (2, 2, 1, True), (6, 6, 1, True), (None, None, 2, True), (None, None, 2, False)])
+    assert len(kept_null) == 2
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_clash_across_ingests(spark, folder, plain):
+    """A weak digest: a new text meets an old winner's bytes, read where its locator says."""
+    weak = lambda t: F.substring(t, 1, 1)
+    batches = [[(1, "ax"), (2, "bx"), (9, "cx")], [(3, "ay"), (4, "bx")], [(5, "ax"), (6, "dx")]]
+    one = stream_dedup.Deduplicator(spark, folder, digest=weak)
+    for i, batch in enumerate(batches):
+        frame = docs(spark, batch)
+        if plain:  # files that hold the documents as they are
+            frame.write.parquet(f"{folder}-in/{i}")
+            frame = spark.read.parquet(f"{folder}-in/{i}")
+        one.add(frame, i)
+    assert one._is_there(f"{folder}/contents/0") is not plain
+    found = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in one.members().collect()}
+    assert found == {1: (5, 2, False), 5: (5, 2, True), 3: (3, 1, True), 2: (4, 2, False), 4: (4, 2, True), 9: (9, 1, True), 6: (6, 1, True)}
+    assert [r.digest for r in spark.read.parquet(f"{folder}/clashes").collect()].count("a") >= 1
+    changed = one._findable(docs(spark, batches[0]).withColumn("text", F.upper("text")), 7)
+    assert {r.text for r in changed.collect()} == {"AX", "BX", "CX"}
 
 
 def test_exact_keep_one(spark):

@@ -55,7 +55,7 @@ def test_pipeline(spark):
     found = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in found} == {r["doc_id"] for r in rows}
     encode = __import__("lexigear.llm.swap_packing", fromlist=["encoder"]).encoder(queries.vocabulary(queries.BYTE_BPE)).ids
-    ids = {r["doc_id"]: len(encode(pseudonyms.pseudonymize(r["text"])[0])) + 1 for r in rows}
+    ids = {r["doc_id"]: len(encode(pseudonyms.pseudonymize(r["text"], queries.DEMO_KEY)[0])) + 1 for r in rows}
     total = Counter()
     for r in found:
         total[r.doc_id] += r.length

@@ -6,14 +6,18 @@ import re
 import zlib
 from array import array
 from collections import Counter
+from functools import partial
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lexigear.llm import bpe_stream, chat_masks, html_blocks, html_crf, pseudonyms, queries, swap_packing, weak_quality
 
+KEY = queries.DEMO_KEY
+moved = partial(pseudonyms.pseudonymize, key=KEY)
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 DOCS = "doc_id long, text string, length long, done string"
 
@@ -115,6 +119,57 @@ def test_quality_on_held_out_labels(spark):
     assert sum(bad) / len(bad) >= 0.9
 
 
+SF = "/root/testdata/sf0.01"
+
+
+def fitted(spark, frame, train_rows=weak_quality.TRAIN_ROWS):
+    """The model in plain Python: labels from single documents, not from counted patterns,
+    and the scorer on the documents of lowest hash."""
+    rows = frame.withColumn("order", F.xxhash64("doc_id", "text")).collect()
+    base = 3 ** np.arange(len(weak_quality.LABELLERS))
+    pattern = np.array([int(base @ weak_quality.votes(t, weak_quality.measure(t))) for t in ((r.text or "").encode() for r in rows)])
+    labels = weak_quality.fit_labels(pattern, np.ones(len(pattern)))
+    first = sorted(range(len(rows)), key=lambda i: (rows[i].order, rows[i].text or ""))[:train_rows]
+    held = [weak_quality.features((rows[i].text or "").encode()) for i in first]
+    held = [(b, v.astype(np.float32).astype(float)) for b, v in held]
+    return rows, pattern, labels, weak_quality.fit_scorer(held, labels.posterior(pattern[first]))
+
+
+@pytest.mark.parametrize("shape", ["as given", "no ids", "one id", "twice"])
+def test_quality_by_brute_force(spark, shape):
+    """Scores and decisions, also where ids are null, all the same, or rows repeat."""
+    frame = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    if shape == "no ids":
+        frame = frame.withColumn("doc_id", F.lit(None).cast("long"))
+    elif shape == "one id":
+        frame = frame.withColumn("doc_id", F.lit(7).cast("long"))
+    elif shape == "twice":
+        frame = frame.unionByName(frame)
+    model = weak_quality.fit(frame, train_rows=600)
+    rows, pattern, labels, scorer = fitted(spark, frame, 600)
+    np.testing.assert_allclose(model.labels.table, labels.table, atol=1e-6)
+    np.testing.assert_allclose(model.labels.posterior(pattern), labels.posterior(pattern), atol=1e-6)
+    assert (model.scorer.weights != 0).sum() > 1000
+    mine = np.array([model.scorer.score((r.text or "").encode()) for r in rows])
+    brute = np.array([scorer.score((r.text or "").encode()) for r in rows])
+    np.testing.assert_allclose(mine, brute, atol=1e-3)
+    assert ((mine >= 0.5) == (brute >= 0.5)).mean() > 0.999 and 0.6 < (mine >= 0.5).mean() < 0.95
+
+
+def test_registered_quality(spark):
+    """The query against the same in plain Python."""
+    frame = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows, pattern, labels, scorer = fitted(spark, frame)
+    found = {r.doc_id: r for r in queries.QUERIES["op3_weak_quality"](spark, SF).collect()}
+    weak = labels.posterior(pattern)
+    for r, p in zip(rows, weak):
+        got = found[r.doc_id]
+        assert got.label_posterior == pytest.approx(p, abs=1e-6) and got.score == pytest.approx(scorer.score(r.text.encode()), abs=1e-3)
+        assert got.kept == (got.score >= weak_quality.THRESHOLD)
+    same = spark.createDataFrame([(1, "Repeated text of one kind.")] * 300, "doc_id long, text string")
+    assert weak_quality.fit(same).scorer.weights.any()
+
+
 def test_quality_of_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "x"), (None, "A plain sentence of words. Another one follows here."), (5, "BUY!! NOW!! *** " * 4000)]
     frame = docs(spark, rows)
@@ -145,74 +200,147 @@ VALUES = [
 @pytest.mark.parametrize("kind,value", VALUES)
 def test_values_move_within_their_format(kind, value):
     text = f"é before {value} after."
-    new, spans = pseudonyms.pseudonymize(text)
+    new, spans = moved(text)
     assert [k for _, _, k in spans] == [kind]
     start, end, _ = spans[0]
     got = new[start:end]
     assert got != value and value not in new
     assert new == f"é before {got} after."
     # the new value passes the same validator, and moves on in turn
-    assert [k for _, _, k in pseudonyms.pseudonymize(f"x {got} y")[1]] == [kind]
+    assert [k for _, _, k in moved(f"x {got} y")[1]] == [kind]
     if kind not in ("ip", "date"):
         assert re.sub("[0-9a-zA-Z]", "x", got) == re.sub("[0-9a-zA-Z]", "x", value)
-    assert pseudonyms.pseudonymize(text)[0] == new
-    assert pseudonyms.pseudonymize(text, b"another key")[0] != new
+    assert moved(text)[0] == new
+    assert pseudonyms.pseudonymize(text, b'another key')[0] != new
 
 
 def test_equal_values_stay_linked():
-    digits = lambda t: re.sub(r"\D", "", pseudonyms.pseudonymize(t)[0])
+    digits = lambda t: re.sub(r"\D", "", moved(t)[0])
     assert digits("4503905691731149") == digits("4503 9056 9173 1149")
     assert digits("+1 (513) 555-8655")[1:] == digits("513-555-8655")
-    a, b = (pseudonyms.pseudonymize(t)[0] for t in ("1980-02-29", "29.02.1980"))
+    a, b = (moved(t)[0] for t in ("1980-02-29", "29.02.1980"))
     assert a.split("-") == b.split(".")[::-1]
 
 
 @pytest.mark.parametrize("text", ["1234567890123456", "2024-13-45", "999-99-9999", "300.1.2.3", "1.2.3.4.5", "0.0.0.0", "DE00 3704 0044 0532 0130 00", "version 3.14 of 2024", "", "no figures", "a@b", "12:30"])
 def test_invalid_values_stay(text):
-    assert pseudonyms.pseudonymize(text) == (text, [])
+    assert moved(text) == (text, [])
 
 
 def test_value_behind_a_look_alike():
-    new, spans = pseudonyms.pseudonymize("99999 4503905691731149 86.227.24.100 x.1.2.3.4 +1 (152) 555-8590")
+    new, spans = moved("99999 4503905691731149 86.227.24.100 x.1.2.3.4 +1 (152) 555-8590")
     assert not any(v in new for v in ("4503905691731149", "86.227.24.100", "1.2.3.4", "(152) 555-8590")) and len(spans) == 4
 
 
 @pytest.mark.parametrize("value", ["+971 50 123 4567", "4503905691731149", "1980-02-29", "57.55.151.50", "ab.17@mail5.example.com", "password=ddc9f86a9e94140273"])
 def test_digits_of_other_scripts(value):
     """They move as their ASCII forms do, and stay in their script."""
-    plain, spans = pseudonyms.pseudonymize(f"no 1 {value} x")
+    plain, spans = moved(f"no 1 {value} x")
     for zero in "\u0660\uff10\U0001d7ce":
         other = re.sub("[0-9]", lambda m: chr(ord(zero) + int(m[0])), value)
-        new, found = pseudonyms.pseudonymize(f"no 1 {other} x")
+        new, found = moved(f"no 1 {other} x")
         assert found == spans and other not in new
         back = re.sub(r"\d", lambda m: str(int(m[0])), new)
         assert back == plain
         assert other.isascii() or not new[len("no 1 ") :].isascii()
-    assert pseudonyms.pseudonymize("= +\u0661\u0662 only")[1] == []
+    assert moved("= +\u0661\u0662 only")[1] == []
     assert pseudonyms.phone("+\u0661\u0662", None) is None
 
 
 @pytest.mark.parametrize("lead,value", [("token=", "aB3" * 700), ("secret: ", "0f" * 900), ("", "ghp_" + "aB3" * 300), ("token=", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.dBjftJeZ4CVPmB92K27uhbUJU1p1r_wW1gFWFOEjXk")])
 def test_secrets_move_to_their_end(lead, value):
-    new, spans = pseudonyms.pseudonymize(f"no 1 {lead}{value} end. Next")
+    new, spans = moved(f"no 1 {lead}{value} end. Next")
     assert spans == [(5, 5 + len(lead) + len(value), "secret" if lead else "key")]
     got = new[5 + len(lead) : -len(" end. Next")]
     assert len(got) == len(value) and new.endswith(" end. Next")
     assert re.sub("[0-9a-z]", "x", got) == re.sub("[0-9a-z]", "x", value) if value[:2] == "0f" else re.sub("[^.]", "x", got) == re.sub("[^.]", "x", value)
     places = range(4 if not lead else 0, len(value) - 20, 20)
     assert all(got[i : i + 20] != value[i : i + 20] for i in places) and got[-15:] != value[-15:]
-    assert pseudonyms.pseudonymize(f"{lead}{value}. Next")[0].endswith(f"{got}. Next")
+    assert moved(f"{lead}{value}. Next")[0].endswith(f"{got}. Next")
 
 
 def test_pseudonymized_documents(spark):
     rows = [(1, "mail ab.17@mail5.example.com"), (2, None), (3, ""), (None, "mail ab.17@mail5.example.com"), (4, "x 57.55.151.50 " * 20_000)]
     frame = docs(spark, rows)
-    found = pseudonyms.pseudonymize_documents(frame)
+    found = pseudonyms.pseudonymize_documents(frame, KEY)
     assert found.columns == frame.columns
     texts = {r.doc_id: r.text for r in found.collect()}
     assert texts[1] == texts[None] != rows[0][1]
     assert (texts[2], texts[3]) == (None, "") and "57.55.151.50" not in texts[4]
-    assert pseudonyms.pseudonymize_documents(docs(spark, []), spans=True).count() == 0
+    assert pseudonyms.pseudonymize_documents(docs(spark, []), KEY, spans=True).count() == 0
+
+
+AROUND = [(" ", " "), ("", ""), ("(", ")"), ("é ", " BIC COBADEFF"), ("Konto: ", " Anna Lee"), ("\n", ".\n"), ('"', '"'), ("x ", ", y"), ("a@b ", "; z"), ("№ ", "! And")]
+
+
+@pytest.mark.parametrize("kind,value", VALUES)
+def test_nothing_of_a_value_is_left(kind, value):
+    """Whatever stands before and behind it."""
+    for before, behind in AROUND:
+        new, spans = moved(f"{before}{value}{behind}")
+        assert [k for _, _, k in spans] == [kind], (before, behind)
+        start, end, _ = spans[0]
+        assert new[:start] == before and new[end:] == behind
+        secret = re.sub(r"^(?:password=|token = \"|AKIA|[A-Z]{2}\d\d)", "", value).split("@")[0]
+        for n in (8, 6):  # of long values no run of characters, of short ones no six
+            pieces = {secret[i : i + n] for i in range(len(secret) - n + 1) if sum(c.isalnum() for c in secret[i : i + n]) >= n - 1 and re.search(r"\d", secret[i : i + n])}
+            assert n == 6 and len(secret) > 12 or not any(p in new[start:end] for p in pieces), (new, pieces)
+
+
+LONG = [("email", "x" * 100 + ".y9@mail5.example.com"), ("email", "jürgen.größe@straße.de"), ("email", "Иван.77@почта.рф"), ("email", "..bob@x.example"), ("secret", "password: hunter2!x"), ("secret", "password=abc$def%7"), ("secret", "token='pä$$wört9'"), ("secret", "pwd=密码密码密码12")]
+
+
+@pytest.mark.parametrize("kind,value", LONG)
+def test_values_with_any_characters(kind, value):
+    new, spans = moved(f"see {value} there.")
+    assert [k for _, _, k in spans] == [kind] and new.startswith("see ") and new.endswith(" there.")
+    lead = re.match(r"(?:password: |\w+='?)?", value)[0] if kind == "secret" else ""
+    own = value[len(lead) :].strip("'").split("@")[0]
+    got = new[4 + len(lead) :][: len(own)]
+    assert [c.isalnum() for c in got] == [c.isalnum() for c in own]
+    same = [a == b for a, b in zip(got, own) if b.isalnum()]
+    assert sum(same) <= max(2, len(same) // 4)
+    assert moved(f"see {value}, there.")[0].replace(", there.", " there.") == new
+
+
+def test_long_runs_take_no_time():
+    for text in ("a" * 300_000, "a." * 200_000 + "@", "password=" + "x" * 300_000, "1 " * 100_000, "DE89 " * 50_000, "a@" * 100_000):
+        moved(text + " 7")
+
+
+def slow_spans(text):
+    """Every place in turn, every kind in its order."""
+    plain = "".join(str(int(c)) if c.isdecimal() else c for c in text)
+    found, at = [], 0
+    move = lambda v, size, tweak: pseudonyms.permute(v, size, KEY, tweak)
+    while at < len(text):
+        for kind, pattern, turn in pseudonyms.KINDS:
+            hit = re.compile(pattern).match(plain, at)
+            new = turn(hit[0], move) if hit and hit[0] else None
+            if new is not None:
+                used = new[1] if isinstance(new, tuple) else len(hit[0])
+                found.append((at, kind))
+                at += used
+                break
+        else:
+            at += 1
+    return found
+
+
+def test_finder_by_brute_force(spark):
+    r = random.Random(9)
+    bits = [v for _, v in VALUES + LONG] + [" ", " ", ", ", "-", ".", "x", "7", "AKIA", "@", "password=", "\n", "é", "12", "٣"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(1, 12))) for _ in range(300)]
+    texts += [x.text for x in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 1500").limit(60).collect()]
+    for text in texts:
+        new, spans = moved(text)
+        assert [k for _, _, k in spans] == [k for _, k in slow_spans(text)], text
+
+
+def test_a_key_is_needed():
+    with pytest.raises(ValueError, match="key"):
+        pseudonyms.pseudonymize("mail a.b@c.de", b"")
+    assert pseudonyms.pseudonymize("mail a.b@c.de", b"k" * 100) != pseudonyms.pseudonymize("mail a.b@c.de", b"k" * 64)
 
 
 def test_registered_pseudonyms(spark):
@@ -380,6 +508,26 @@ def test_overlay_cuts_tokens_at_spans():
     assert chat_masks.overlay(starts, ends, [(0, 0), (1, 6), (9, 12)]) == [(0, 4, 1, 6), (4, 5, 9, 12)]
 
 
+@pytest.mark.parametrize("most", [chat_masks.MOST_CHARS, 400])
+def test_conversations_are_rendered_whole(spark, monkeypatch, most):
+    """Whatever the turn numbers are; beyond the size they are cut between turns, in order."""
+    monkeypatch.setattr(chat_masks, "SEGMENT_ROWS", 7)
+    turns = [(1, 0, "user", "a"), (1, 100, "assistant", "b"), (1, 200, "user", "c"), (1, -100, "system", "s"), (1, None, "user", "first")]
+    turns += [(2, t * 1000, "assistant", f"text {t}") for t in range(60)] + [(3, 5, "assistant", "same")] * 50 + [(4, 1, "user", "x" * 900), (4, 2, "assistant", "y")]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(5)
+    formatted = chat_masks.format_conversations(frame, BYTE, most=most)
+    rows = formatted.collect()
+    pieces = Counter(r.conv_id for r in rows)
+    assert pieces[1] == 1 and (max(pieces.values()) == 1) is (most > 400)
+    one = next(r for r in rows if r.conv_id == 1)
+    assert [t for _, t in chat_masks.parse(one.formatted)] == ["first", "s", "a", "b", "c"]
+    assert most > 400 or all(len(r.formatted) <= 400 or len(chat_masks.parse(r.formatted)) == 1 for r in rows)
+    found = {r.conv_id: r for r in queries.read_back(formatted).collect()}
+    for conv in (1, 2, 3, 4):
+        own = sorted((t[1:] for t in turns if t[0] == conv), key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        assert found[conv].turns_sha256 == hashlib.sha256("".join(f"{role}\n{x}\n" for _, role, x in own).encode()).hexdigest()
+
+
 def test_conversations(spark):
     turns = [(1, t, "user" if t % 2 == 0 else "assistant", f"text {t} \\ ### é🎉" * (t % 5)) for t in range(300)]
     turns += [(2, 0, None, None), (2, 0, "assistant", "x"), (None, None, "assistant", "</turn>\n"), (3, 1, "assistant", "same")] + [(3, 1, "assistant", "same")] * 600
