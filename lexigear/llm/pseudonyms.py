@@ -13,6 +13,7 @@ import re
 import unicodedata
 from collections.abc import Callable
 from datetime import date
+from functools import cache
 from math import isqrt, prod
 from string import ascii_lowercase, ascii_uppercase, digits
 
@@ -21,7 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 10
-KEY = b"set a secret key in production"
+
+
+def checked_key(key: bytes) -> bytes:
+    """``key``, which must not be empty; blake2b takes 64 bytes at most."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
+    return key if len(key) <= 64 else hashlib.blake2b(key, digest_size=64).digest()
 
 
 def permute(value: int, size: int, key: bytes, tweak: str) -> int:
@@ -34,7 +41,7 @@ def permute(value: int, size: int, key: bytes, tweak: str) -> int:
     while True:
         left, right = divmod(value, side)
         for i in range(ROUNDS):
-            digest = hashlib.blake2b(f"{tweak}:{size}:{i}:{right}".encode(), key=key[:64], digest_size=32).digest()
+            digest = hashlib.blake2b(f"{tweak}:{size}:{i}:{right}".encode(), key=key, digest_size=32).digest()
             left, right = right, (left + int.from_bytes(digest, "big")) % side
         value = left * side + right
         if value < size:
@@ -47,7 +54,7 @@ def restore(value: int, size: int, key: bytes, tweak: str) -> int:
     while True:
         left, right = divmod(value, side)
         for i in reversed(range(ROUNDS)):
-            digest = hashlib.blake2b(f"{tweak}:{size}:{i}:{left}".encode(), key=key[:64], digest_size=32).digest()
+            digest = hashlib.blake2b(f"{tweak}:{size}:{i}:{left}".encode(), key=key, digest_size=32).digest()
             left, right = (right - int.from_bytes(digest, "big")) % side, left
         value = left * side + right
         if value < size:
@@ -132,18 +139,41 @@ def mod97(country: str, rest: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
-def account(text: str, move: Move) -> str | None:
-    """IBAN: country and letters stay, digits move, the check digits follow."""
-    plain = text.replace(" ", "")
-    country, check, rest = plain[:2], plain[2:4], plain[4:]
-    if not 11 <= len(rest) <= 30 or mod97(country, rest) != check:
-        return None
-    n = only_digits(rest)
-    if not n:
-        return None
-    rest = refill(rest, str(move(int(n), 10 ** len(n), f"iban{country}{re.sub('[0-9]', '0', rest)}")).zfill(len(n)))
-    it = iter(country + mod97(country, rest) + rest)
-    return "".join(c if c == " " else next(it) for c in text)
+#: The lengths of account numbers by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24,
+    "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28,
+    "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20,
+    "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29,
+    "VA": 22, "VG": 24, "XK": 20,
+}
+
+
+def account(text: str, move: Move) -> tuple[str, int] | None:
+    """IBAN: country and letters stay, digits move, the check digits follow.
+
+    The candidate may have taken in what follows the number: its country tells where it
+    ends, else the longest beginning that is valid.  Returned are the pseudonym and how
+    many characters of the candidate it stands for.
+    """
+    places = [i for i, c in enumerate(text) if c != " "]
+    country = text[:2]
+    for length in [IBAN_LENGTHS[country]] if country in IBAN_LENGTHS else range(min(len(places), 34), 14, -1):
+        if length > len(places):
+            continue
+        end = places[length - 1] + 1
+        if end < len(text) and text[end] != " ":
+            continue  # the number would end within a word
+        plain = text[:end].replace(" ", "")
+        check, rest = plain[2:4], plain[4:]
+        n = only_digits(rest)
+        if mod97(country, rest) != check or not n:
+            continue
+        rest = refill(rest, str(move(int(n), 10 ** len(n), f"iban{country}{re.sub('[0-9]', '0', rest)}")).zfill(len(n)))
+        it = iter(country + mod97(country, rest) + rest)
+        return "".join(c if c == " " else next(it) for c in text[:end]), end
+    return None
 
 
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
@@ -211,8 +241,22 @@ def by_class(text: str, move: Move, tweak: str) -> str:
     return "".join(_block(text[at : at + BLOCK_CHARS], move, f"{tweak}{at}:" if at else tweak, hexadecimal) for at in places)
 
 
+@cache
+def alphabet(c: str) -> str:
+    """The characters among which ``c`` moves: ASCII digits, letters of its case, or letters
+    of the same kind in the same 256 places of Unicode; a mark stays."""
+    for own in (digits, ascii_lowercase, ascii_uppercase):
+        if c in own:
+            return own
+    kind = unicodedata.category(c)
+    if kind[0] != "L" and kind != "Nd":
+        return c
+    first = ord(c) & ~0xFF
+    return "".join(x for x in map(chr, range(first, first + 256)) if unicodedata.category(x) == kind and (first or not x.isascii()))
+
+
 def _block(text: str, move: Move, tweak: str, hexadecimal: bool) -> str:
-    sets = ["0123456789abcdef" if hexadecimal else next((s for s in (digits, ascii_lowercase, ascii_uppercase) if c in s), c) for c in text]
+    sets = ["0123456789abcdef" if hexadecimal else alphabet(c) for c in text]
     value = 0
     for c, s in zip(text, sets):
         value = value * len(s) + s.index(c)
@@ -231,22 +275,34 @@ def mail(text: str, move: Move) -> str | None:
     return f"{by_class(local, move, 'mail')}@{domain}"
 
 
-def secret(text: str, move: Move) -> str | None:
-    """name=value: the value moves."""
-    found = re.fullmatch(r"""(.*?[:=]\s*["']?)([^\s"']+)""", text, re.S)
-    return found[1] + by_class(found[2], move, "secret")
+_SECRET = re.compile(r"""(.*?[:=]\s*["']?)([^\s"']+)""", re.S)
+_TAIL = re.compile(r"""[^\w+/=]*\Z""")
+
+
+def secret(text: str, move: Move) -> tuple[str, int] | None:
+    """name=value: the value moves, up to a quote or white space; marks that end it, as those
+    of a sentence do, are not part of it."""
+    found = _SECRET.fullmatch(text)
+    value = found[2][: _TAIL.search(found[2]).start()]
+    if len(value) < LEAST_SECRET:
+        return None
+    return found[1] + by_class(value, move, "secret"), len(found[1]) + len(value)
 
 
 def bare_key(text: str, move: Move) -> str | None:
     return text[:4] + by_class(text[4:], move, "key")
 
 
-#: Kind, how a candidate looks, and its validator.  The order decides between overlapping kinds.
-KINDS: list[tuple[str, str, Callable[[str, Move], str | None]]] = [
-    ("email", r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@(?:[A-Za-z0-9\-]{1,63}\.)+[A-Za-z]{2,24}", mail),
-    ("secret", r"""(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b["']?\s{0,3}[:=]\s{0,3}["']?[A-Za-z0-9+/_\-]{6,}+(?:\.[A-Za-z0-9+/_\-]++)*+)""", secret),
+LEAST_SECRET = 6
+
+#: Kind, how a candidate looks, and its validator: it gives the pseudonym, and where that may
+#: be shorter than the candidate also the number of characters that it replaces.  The order
+#: decides between overlapping kinds.
+KINDS: list[tuple[str, str, Callable[[str, Move], str | tuple[str, int] | None]]] = [
+    ("email", r"(?<![\w.%+\-])[\w.%+\-]++@(?:[\w\-]{1,63}\.)+[^\W\d_]{2,24}", mail),
+    ("secret", r"""(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b["']?\s{0,3}[:=]\s{0,3}["']?)[^\s"']{6,}+""", secret),
     ("key", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}+\b", bare_key),
-    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{2,4}){3,8}\b", account),
+    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,34}", account),
     ("phone", r"(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,5}(?:[ .\-]?\d{2,5}){1,4}(?![\w])", phone),
     ("date", r"(?<!\d)(?<!\d[.\-/])(?:\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\d\-/]|\.\d)", calendar),
     ("date", r"\b(?i:\d{1,2} +(?:%s)\.? +\d{4}|(?:%s)\.? +\d{1,2},? +\d{4})\b" % ((names := "|".join(f"{m}|{m[:3]}" for m in MONTHS)), names), named_date),
@@ -271,7 +327,7 @@ def in_script(old: str, new: str) -> str:
     return "".join(chr(z + int(c)) if c in digits else c for c, z in zip(new, zeros))
 
 
-def pseudonymize(text: str, key: bytes = KEY) -> tuple[str, list[tuple[int, int, str]]]:
+def pseudonymize(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str]]]:
     """The text with pseudonyms, and (start, end, kind) of each in the new text.
 
     A candidate that no validator accepts stays as it is, and the search goes on behind
@@ -282,6 +338,8 @@ def pseudonymize(text: str, key: bytes = KEY) -> tuple[str, list[tuple[int, int,
     if not HINT.search(plain):
         return text, []
 
+    key = checked_key(key)
+
     def move(value: int, size: int, tweak: str) -> int:
         return permute(value, size, key, tweak)
 
@@ -295,7 +353,8 @@ def pseudonymize(text: str, key: bytes = KEY) -> tuple[str, list[tuple[int, int,
             if hit is None and (other := ALONE[i].match(plain, found.start())):
                 hit = other[0]
             if hit is not None and (new := turn(hit, move)) is not None:
-                kind, end = name, found.start() + len(hit)
+                new, used = new if isinstance(new, tuple) else (new, len(hit))
+                kind, end = name, found.start() + used
                 break
         if new is None:
             at = found.start() + 1
@@ -313,7 +372,7 @@ def pseudonymize(text: str, key: bytes = KEY) -> tuple[str, list[tuple[int, int,
 ALONE = [re.compile(pattern) for _, pattern, _ in KINDS]
 
 
-def pseudonymized(column: Column | str, key: bytes = KEY) -> Column:
+def pseudonymized(column: Column | str, key: bytes) -> Column:
     """struct<text, spans>; a null text stays null, with no spans."""
 
     @F.arrow_udf("struct<text: string, spans: array<struct<start: int, end: int, kind: string>>>")
@@ -327,9 +386,11 @@ def pseudonymized(column: Column | str, key: bytes = KEY) -> Column:
     return apply(F.col(column) if isinstance(column, str) else column)
 
 
-def pseudonymize_documents(docs: DataFrame, text_col: str = "text", key: bytes = KEY, spans: bool = False) -> DataFrame:
+def pseudonymize_documents(docs: DataFrame, key: bytes, text_col: str = "text", spans: bool = False) -> DataFrame:
     """The same rows and columns with pseudonyms in ``text_col``; ``spans`` adds pii_spans.
 
+    ``key`` decides the pseudonyms: whoever has it can undo them, so keep it secret.
+
     Only the text passes through Python, and each row is handled where it lies.
     """
     name = "done"
