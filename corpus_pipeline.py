@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lexigear.llm import pseudonyms, simhash_cover, stream_dedup, swap_packing, weak_quality
 from lexigear.llm.common import materialize
-from lexigear.llm.queries import BYTE_BPE, table, vocabulary
+from lexigear.llm.queries import BYTE_BPE, pseudonym_key, table, vocabulary
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by pseudonyms; n_chars follows the text."""
-    done = pseudonyms.pseudonymize_documents(docs)
+    done = pseudonyms.pseudonymize_documents(docs, pseudonym_key(spark))
     return done.withColumn("n_chars", F.length("text").cast("long"))
 
 
