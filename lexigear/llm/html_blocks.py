@@ -30,13 +30,15 @@ SIBLINGS = {
 }
 KEEPS = frozenset("article aside body div footer form header main nav section table td th".split())
 
+#: A comment ends at --> or --!>, and at once in <!--> and <!--->.
+COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\Z))"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{HIDDEN})(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*+[^>]*+>|\Z)"
+    rf"{COMMENT}|<(?P<raw>{HIDDEN})(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*+[^>]*+>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)[^>]*+>|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
-_DRAWN = re.compile(rf"""<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>{"|".join(sorted(DRAWN))})(?=[\s/>])(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S | re.I)
+_DRAWN = re.compile(rf"""{COMMENT}|<(?P<close>/?)(?P<name>{"|".join(sorted(DRAWN))})(?=[\s/>])(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S | re.I)
 _VALUE_END = re.compile(r"""=\s*+[^\s"'>]+\Z""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN_ATTRIBUTE = re.compile(r"""(?:\s|^)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.I)

@@ -416,6 +416,40 @@ def test_field_on_held_out_pages():
     assert right / total >= 0.99
 
 
+def test_field_on_names_it_has_not_seen():
+    """Class names of these pages were held out from training, all of them."""
+    field = html_crf.default_field()
+    right = total = 0
+    for found, labels in html_crf.labelled(150, seed=98, held_out=True):
+        guess = field.viterbi(field.page_emissions(found))
+        np.testing.assert_allclose(field.page_emissions(found), field.emissions(html_crf.page_features(found)))
+        right += sum(a == b for a, b in zip(guess, labels))
+        total += len(labels)
+    assert right / total >= 0.99
+    made = [html_crf.Names(random.Random(i), held) for held in (False, True) for i in range(200)]
+    names = [{n.name(stem) for n in part for stem in html_crf.OTHER_NAMES["comments"]} for part in (made[:200], made[200:])]
+    assert not (names[0] & names[1]) - set(html_crf.OTHER_NAMES["comments"])
+
+
+PROSE = "This is a longer paragraph of plain words that somebody wrote here. It has two sentences, and a third one follows. Here it is."
+ARTICLE = f"<article><h1>Title of it</h1><p>{PROSE}</p><p>{PROSE}</p>"
+
+
+@pytest.mark.parametrize("name", ["comment-body", "respond", "discussion", "disqus_thread", "reply", "advertisement", "comment", "newsletter", "reader-comments", "sponsored-text", "commentList", "ad-slot-2", "subscribe_box"])
+def test_prose_of_other_parts(name):
+    field = html_crf.default_field()
+    main = ["Title of it", PROSE, PROSE]
+    for attribute in ("class", "id"):
+        part = f"<div {attribute}='{name}'><p>{PROSE} More of it.</p></div>"
+        for body in (f"{ARTICLE}{part}</article>", f"{ARTICLE}</article>{part}"):
+            assert html_crf.main_blocks(f"<html><body><header><p>Site</p></header>{body}<footer>All rights</footer></body></html>", field) == main
+
+
+@pytest.mark.parametrize("page", [f"{ARTICLE}<form><p>{PROSE} X</p></form></article>", f"<form>{ARTICLE}</article></form>", f"<form id='aspnetForm'><div class='wrap'>{ARTICLE}</article></div></form>", f"<!-->{ARTICLE}</article>", f"<!-- a --!>{ARTICLE}</article>", f"<!--->{ARTICLE}</article>", f"<!--a--b-> c -->{ARTICLE}</article>"])
+def test_forms_and_comments_in_markup(page):
+    assert html_crf.main_blocks(page, html_crf.default_field()) == ["Title of it", PROSE, PROSE]
+
+
 def test_extracted_articles(spark):
     """On the given pages the main text is the article element."""
     sf = "/root/testdata/sf0.01"
