@@ -25,6 +25,22 @@ CHAT = r"""
     FROM escaped GROUP BY conv_id"""
 
 
+LINKS = """
+    WITH RECURSIVE vectors AS MATERIALIZED (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    usable AS MATERIALIZED (
+        SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS size FROM vectors
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NOT NULL AND isfinite(x)]) = len(e)),
+    pairs AS MATERIALIZED (
+        SELECT a.vec_id AS u, b.vec_id AS v FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+        WHERE a.size > 0 AND b.size > 0 AND list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.93),
+    reach AS (
+        SELECT vec_id AS node, vec_id AS other FROM vectors
+        UNION SELECT r.node, p.v FROM reach r JOIN pairs p ON p.u = r.other)
+    SELECT vec_id, (SELECT count(*) FROM pairs p WHERE p.u = vec_id) AS n_links, least AS component_id, vec_id = least AS kept
+    FROM vectors JOIN (SELECT node, min(other) AS least FROM reach GROUP BY node) ON node = vec_id"""
+
+
 def clustering(k: int = 40, rounds: int = 5) -> str:
     """Centroid rounds with one row per component in place of bit planes."""
     parts = ["""
@@ -115,6 +131,7 @@ def manifest(levels: int = 8, upper: int = 3) -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "op2_stream_dedup": DEDUP,
+    "op7_collision_counts": LINKS,
     "op10_chat_masks": CHAT,
     "op12_bit_planes": clustering(),
     "op13_bitmap_manifest": manifest(),
