@@ -107,10 +107,14 @@ def full_jobs(spark, sf: str) -> dict:
     return {
         "lsa_20000_250": lambda: lsa_run(q.regex_docs(spark, sf), 20000, 250),
         "lsa_grid_regex": lambda: lsa.grid(docs(), {"regex": tk.tokens_regex}),
+        "lsa_grid_nlp": lambda: lsa.grid(docs(), {"nlp": tk.tokens_lemma}),
         "large_lsa_5000_25": lambda: large_lsa(spark, sf, 5000, 25),
         "tune_cv_18": lambda: run(exact.tuned(spark, sf, jc.tune_cv, jc.decision_tree(), jc.area_under_roc())),
         "tune_tvs_18": lambda: run(exact.tuned(spark, sf, jc.tune_tvs, jc.decision_tree(), jc.area_under_roc())),
         "forest_cv_54": lambda: run(exact.tuned(spark, sf, jc.tune_cv, jc.random_forest(), jc.accuracy(), trees=jc.TREES)),
+        "kmeans_default_2_150": lambda: run(q.h2_kmeans_default(spark, sf)),
+        "sweep_scores_30_160": lambda: gearbox.sweep_scores(q.labelled_features(spark, sf), [*range(30, 61, 10), *range(70, 121, 10), *range(130, 161, 10)]),
+        "one_hot_sparse": lambda: run(q.g4_one_hot_sparse(spark, sf)),
         "sweep_entropy_120_160": lambda: gearbox.sweep_entropy(q.labelled_features(spark, sf), range(120, 161, 10)),
     }
 
