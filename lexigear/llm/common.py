@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -16,14 +15,10 @@ BROADCAST_ROWS = 200_000  # narrow rows: some 10 MB, whatever the corpus
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder of ``spark.checkpoint.dir``; a temporary one only where
-    a local session leaves that unset."""
+    """A fresh path in the folder that the session names in ``spark.checkpoint.dir``."""
     base = spark.conf.get(CHECKPOINT_KEY, None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder all executors reach")
-        base = tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set(CHECKPOINT_KEY, base)
+        raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder all executors reach")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
