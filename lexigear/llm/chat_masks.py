@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -97,21 +98,36 @@ def tokenizer(path: str) -> Tokenizer:
     return found
 
 
-SCHEMA = "conv_id long, segment long, part int, formatted string, ids array<int>, loss array<boolean>, loss_spans array<struct<start: int, end: int>>"
-_ARROW = pa.schema([("conv_id", pa.int64()), ("segment", pa.int64()), ("part", pa.int32()), ("formatted", pa.string()), ("ids", pa.list_(pa.int32())), ("loss", pa.list_(pa.bool_())), ("loss_spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
+SCHEMA = "conv_id long, segment long, part int, formatted string, loss_spans array<struct<start: int, end: int>>"
+IDS = ", ids array<int>, loss array<boolean>"
 
 
-def _encoded(keys: list[tuple], held: list[Formatted], path: str, loss_role: str) -> pa.RecordBatch:
-    rows = []
-    for key, done, found in zip(keys, held, tokenizer(path).encode_batch([h.text for h in held], add_special_tokens=False)):
-        offsets = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)
-        mask = np.zeros(len(offsets), dtype=bool)
-        under = []
-        for lo, hi, start, end in overlay(offsets[:, 0], offsets[:, 1], [s for r, s in zip(done.roles, done.spans) if r == loss_role]):
-            mask[lo:hi] = True
-            under.append({"start": start, "end": end})
-        rows.append(dict(zip(_ARROW.names, (*key, done.text, found.ids, mask.tolist(), under))))
-    return pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values) if values else np.empty(0), kind))
+
+
+def _encoded(keys: list[tuple], held: list[Formatted], path: str, loss_role: str, with_ids: bool) -> pa.RecordBatch:
+    ids, masks, spans = [], [], []
+    for done, found in zip(held, tokenizer(path).encode_batch([h.text for h in held], add_special_tokens=False)):
+        offsets = np.fromiter(chain.from_iterable(found.offsets), dtype=np.int64, count=2 * len(found)).reshape(-1, 2)
+        under = overlay(offsets[:, 0], offsets[:, 1], [s for r, s in zip(done.roles, done.spans) if r == loss_role])
+        spans.append(np.array([(a, b) for *_, a, b in under], dtype=np.int32).reshape(-1, 2))
+        if with_ids:
+            mask = np.zeros(len(offsets), dtype=bool)
+            for lo, hi, *_ in under:
+                mask[lo:hi] = True
+            masks.append(mask)
+            ids.append(np.array(found.ids, dtype=np.int32))
+    ends = np.cumsum([0, *map(len, spans)]).astype(np.int32)
+    flat = np.concatenate(spans) if spans else np.empty((0, 2), dtype=np.int32)
+    struct = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(flat[:, i])) for i in (0, 1)], names=["start", "end"])
+    columns = [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([k[2] for k in keys], pa.int32()), pa.array([h.text for h in held], pa.string()), pa.ListArray.from_arrays(pa.array(ends), struct)]
+    names = ["conv_id", "segment", "part", "formatted", "loss_spans"]
+    if with_ids:
+        columns += [_lists(ids, pa.int32()), _lists(masks, pa.bool_())]
+        names += ["ids", "loss"]
+    return pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _size(role: str, text: str) -> Column:
@@ -140,9 +156,9 @@ def _segmented(rows: DataFrame, most: int) -> DataFrame:
     return rest.unionByName(cut.select(*rows.columns, segment.alias("segment")))
 
 
-def format_conversations(turns: DataFrame, path: str, loss_role: str = LOSS_ROLE, most: int = MOST_CHARS) -> DataFrame:
-    """(conv_id, segment, part, formatted, ids, loss, loss_spans) from rows of
-    conv_id, turn, role, text.
+def format_conversations(turns: DataFrame, path: str, loss_role: str = LOSS_ROLE, most: int = MOST_CHARS, with_ids: bool = True) -> DataFrame:
+    """(conv_id, segment, part, formatted, loss_spans, ids, loss) from rows of
+    conv_id, turn, role, text; ids and loss only ``with_ids``.
 
     Turns are ordered by turn, then role and text, whatever their numbers are; null turns
     come first, null roles and texts count as empty, and rows without conv_id are one
@@ -179,12 +195,12 @@ def format_conversations(turns: DataFrame, path: str, loss_role: str = LOSS_ROLE
                 pending.append((role, text))
                 pending_size += more
                 if size > 1_000_000 or len(held) >= 200:
-                    yield _encoded(keys, held, path, loss_role)
+                    yield _encoded(keys, held, path, loss_role, with_ids)
                     keys, held, size = [], [], 0
         close()
         if held:
-            yield _encoded(keys, held, path, loss_role)
+            yield _encoded(keys, held, path, loss_role, with_ids)
 
     n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = _segmented(rows, most).repartition(n, "conv_id", "segment").sortWithinPartitions("conv_id", "segment", "turn", "role", "text")
-    return dealt.drop("turn").mapInArrow(work, SCHEMA)
+    return dealt.drop("turn").mapInArrow(work, SCHEMA + IDS * with_ids)

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import tempfile
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigear.llm import bit_planes, bitmap_manifest, bpe_stream, chat_masks, collision_counts, column_bwt, html_crf, pseudonyms, secret_owners, simhash_cover, stream_dedup, swap_packing, weak_quality
+from lexigear.llm.common import CHECKPOINT_KEY
 from lexigear.llm.oracles import ORACLE_SQL  # noqa: F401  part of what this module registers
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -23,7 +26,15 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@cache
+def own_folder() -> str:
+    return tempfile.mkdtemp(prefix="corpus-")
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A given table.  A session of one machine that names no shared folder gets one."""
+    if spark.conf.get(CHECKPOINT_KEY, None) is None and spark.sparkContext.master.split("[")[0] == "local":
+        spark.conf.set(CHECKPOINT_KEY, own_folder())
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -88,7 +99,7 @@ def op10_chat_masks(spark: SparkSession, sf: str) -> DataFrame:
     """What can be read back from the formatted conversations, conversation -7 among them."""
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], turns.schema)
-    formatted = chat_masks.format_conversations(turns.unionByName(probe), vocabulary(BYTE_BPE))
+    formatted = chat_masks.format_conversations(turns.unionByName(probe), vocabulary(BYTE_BPE), with_ids=False)
     return read_back(formatted.select("conv_id", "segment", "part", "formatted", "loss_spans"))
 
 
