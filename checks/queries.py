@@ -753,7 +753,7 @@ def labelled_features(spark, sf) -> DataFrame:
 
 @query
 def h8_sweep_entropy(spark, sf):
-    return gearbox.sweep_entropy(labelled_features(spark, sf), (5, 10, 15))
+    return gearbox.sweep_entropy(labelled_features(spark, sf), range(120, 161, 10))
 
 
 @query
