@@ -9,8 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
-# A scan of fewer bytes a core is small: moving it costs less than idle cores.
-SMALL_BYTES_PER_CORE = 32 * 1024 * 1024
+# Bytes of files for one task.  Decoded, and as tokens, features or Arrow batches, they are
+# many times as much, so this bounds what a task reads and holds, however large the table.
+BYTES_PER_TASK = 8 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession, name: str = "table") -> str:
@@ -39,16 +40,19 @@ def scan_bytes(scan: DataFrame) -> int:
 
 
 def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Deal out a small scan whose files can't occupy the cores by themselves.
+    """Deal out a scan, so that all cores have work and no task has much.
 
-    Files are cut by bytes, but a Parquet file is read by row groups: a small table is often
-    one row group, and so one task, in several splits.  Asked are bytes and files therefore:
-    a table as large as the cores are many, or one of as many files, passes unchanged.
+    Files are cut by bytes, but a Parquet file is read by row groups: a table is often few
+    row groups, and so few tasks, in several splits; and a split may be 128 MB, which are
+    gigabytes once they are decoded and persisted.  There are as many tasks as cores for a
+    small table, and one for every ``BYTES_PER_TASK`` of a large one.  A small table of as
+    many files as cores passes unchanged.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if len(scan.inputFiles()) >= cores or scan_bytes(scan) >= cores * SMALL_BYTES_PER_CORE:
+    tasks = max(cores, -(-scan_bytes(scan) // BYTES_PER_TASK))
+    if tasks == cores and len(scan.inputFiles()) >= cores:
         return scan
-    return scan.repartition(cores, *keys)
+    return scan.repartition(tasks, *keys)
 
 
 def numbered_rows(rows: DataFrame, *keys: str, name: str = "no") -> DataFrame:
