@@ -27,6 +27,8 @@ DIGITS = 9
 # Queries multiplied together, and bytes of query factors shipped for one scan.
 QUERIES_PER_BLOCK = 1_000
 MAX_SHIPPED_BYTES = 256 * 1024 * 1024
+# Scores a task holds at a time.
+SCORES_PER_STEP = 500_000
 
 
 def query_vector(queries: DataFrame, vocab: DataFrame, key: str = "query_id") -> DataFrame:
@@ -201,7 +203,8 @@ def scan_once(model: LsaModel, blocks: list, n: int, cosine: bool) -> DataFrame:
 
     def best(batches):
         kept: list = [None] * len(blocks)
-        for pdf in batches:
+        rows = max(n, SCORES_PER_STEP // max((len(numbers) for numbers, _ in blocks), default=1), 1)
+        for pdf in (batch.iloc[i : i + rows] for batch in batches for i in range(0, len(batch), rows)):
             us = np.array(pdf.u.tolist()).reshape(len(pdf), len(sigma)) * sigma
             if cosine:
                 own = np.linalg.norm(us, axis=1)
@@ -211,10 +214,10 @@ def scan_once(model: LsaModel, blocks: list, n: int, cosine: bool) -> DataFrame:
             for i, (numbers, block) in enumerate(blocks):
                 scores = np.round(us @ block.value.T, DIGITS) + 0.0
                 # Largest first; a stable sort leaves equal scores in order of id.
-                rows = np.argsort(-scores, axis=0, kind="stable")[:n]
-                found = names.iloc[rows.ravel()].assign(
-                    query_no=np.tile(numbers, len(rows)),
-                    score=np.take_along_axis(scores, rows, axis=0).ravel(),
+                first = np.argsort(-scores, axis=0, kind="stable")[:n]
+                found = names.iloc[first.ravel()].assign(
+                    query_no=np.tile(numbers, len(first)),
+                    score=np.take_along_axis(scores, first, axis=0).ravel(),
                 )
                 both = found if kept[i] is None else pd.concat([kept[i], found])
                 both = both.sort_values(["query_no", "score", "doc_id"], ascending=[True, False, True])

@@ -1,6 +1,10 @@
 """Steps that must stay bounded, or share their scans, on large tables."""
 
+import numpy as np
+import pytest
+
 from lexigear import shared
+from lexigear.operators import search as se
 
 
 def test_large_scan_is_dealt_by_bytes(spark, folder, monkeypatch):
@@ -13,3 +17,24 @@ def test_large_scan_is_dealt_by_bytes(spark, folder, monkeypatch):
         assert dealt.rdd.getNumPartitions() == -(-shared.scan_bytes(scan) // 2048) > 16
         sizes = dealt.rdd.glom().map(len).collect()
         assert sum(sizes) == 20_000 and max(sizes) < 2_000
+
+
+class Factors:
+    """What ``scan_once`` reads of a model."""
+
+    def __init__(self, documents, sigma):
+        self.documents, self.sigma = documents, sigma
+
+
+@pytest.mark.parametrize("cosine", [False, True])
+def test_scores_in_slices(spark, monkeypatch, cosine):
+    """Slices of a batch give the best of the whole batch, ties by id."""
+    x = np.random.default_rng(3).integers(-2, 3, (400, 2)).astype(float)
+    rows = [(i, f"d{i}", r.tolist()) for i, r in enumerate(x)]
+    model = Factors(spark.createDataFrame(rows, "doc_id long, title string, u array<double>").coalesce(1), np.ones(2))
+    block = [(np.array([0, 1]), spark.sparkContext.broadcast(np.array([[1.0, 0.0], [0.6, 0.8]])))]
+    found = []
+    for step in (500_000, 30):
+        monkeypatch.setattr(se, "SCORES_PER_STEP", step)
+        found.append(sorted(map(tuple, se.scan_once(model, block, 5, cosine).collect())))
+    assert found[0] == found[1] and len(found[0]) == 10
