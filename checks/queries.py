@@ -684,7 +684,7 @@ def h1_kmeans_fit(spark, sf):
 @query
 def h2_kmeans_default(spark, sf):
     data = ft.normalize_pop(encoded(spark, sf)).select("l_linestatus", "features").persist()
-    models, _ = gearbox.fit_all(data, (2, 15, 100, 150), cl.kmeans_default)
+    models, _ = gearbox.fit_all(data, (2, 15, 100, 150))
     found = gearbox.with_predictions(data, models)
     clusters = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_p{k}").alias("prediction")) for k in models])
     rows = found.select("l_linestatus", F.inline(clusters)).groupBy("k", "prediction", "l_linestatus").agg(F.count("*").alias("n"))

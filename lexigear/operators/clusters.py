@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
@@ -15,10 +17,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexigear.functions.vectors import literal, matrix, squared_distance, with_nearest
+from lexigear.operators.blocks import SUMMED, summands, summed
 from lexigear.operators.features import FEATURES, as_matrix
 
 Centers = Sequence[Sequence[float]]
 
+# Library defaults of ``KMeans``.
+MAX_ITER, TOL = 20, 1e-4
+# Distances held by one array operation inside a task.
+DISTANCES_PER_STEP = 250_000
+
 
 def kmeans_fit(
     df: DataFrame, k: int, seed: int | None = 42, max_iter: int = 50, column: str = FEATURES
@@ -36,6 +44,11 @@ def _vectors(df: DataFrame, column: str) -> DataFrame:
     return df.select(_vector(df, column).alias("_vector"))
 
 
+def with_vectors(df: DataFrame, column: str = FEATURES) -> DataFrame:
+    """The features alone, as vectors of Spark ML."""
+    return df.select(_vector(df, column).alias(column))
+
+
 def _vector(df: DataFrame, column: str) -> Column:
     return F.col(column) if isinstance(df.schema[column].dataType, VectorUDT) else array_to_vector(F.col(column))
 
@@ -45,8 +58,199 @@ def kmeans_default(df: DataFrame, k: int, column: str = FEATURES) -> KMeansModel
     return KMeans(k=k, featuresCol="_vector").fit(_vectors(df, column))
 
 
-def model_centers(model: KMeansModel) -> Centers:
-    return as_matrix(model.clusterCenters())
+def kmeans_start(df: DataFrame, k: int, seed: int | None = None, column: str = FEATURES) -> np.ndarray:
+    """The centers that a fit begins with, which the library's parallel k-means++ finds.
+
+    It reads the points several times, so persist ``df`` with vectors: arrays would be
+    turned into vectors in each pass, which takes longer than the pass itself.
+    """
+    return np.asarray(kmeans_fit(df, k, seed, 0, column).clusterCenters(), dtype=float)
+
+
+def _steps(column: pa.ListArray, width: int, centers: int) -> Iterator[np.ndarray]:
+    """The points of a batch, as many at a time as the step allows."""
+    values = column.flatten()
+    points = values.to_numpy(zero_copy_only=False).astype(float, copy=False)
+    if column.null_count or len(points) != width * len(column) or not np.isfinite(points).all():
+        raise ValueError(f"features must be {width} finite numbers")
+    points = points.reshape(-1, width)
+    size = max(1, DISTANCES_PER_STEP // centers)
+    for first in range(0, len(points), size):
+        yield points[first : first + size]
+
+
+def _factors(centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a point is multiplied by and what is added, to rank the centers by distance."""
+    return np.ascontiguousarray(-2.0 * centers.T), (centers * centers).sum(axis=1)
+
+
+def _nearest(points: np.ndarray, factors: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    ranks = points @ factors[0]
+    ranks += factors[1]
+    return ranks.argmin(axis=1)
+
+
+def _ends(centers: Sequence[np.ndarray]) -> np.ndarray:
+    return np.cumsum([0, *map(len, centers)])
+
+
+def _costs(points: np.ndarray, factors: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Squared distance to the nearest center; zero where it is no more than rounding."""
+    ranks = points @ factors[0]
+    ranks += factors[1]
+    squares = (points * points).sum(axis=1)
+    costs = squares + ranks.min(axis=1)
+    return np.where(costs > 1e-12 * squares, costs, 0.0)
+
+
+def kmeans_starts(df: DataFrame, ks: Sequence[int], seed: int = 0, column: str = FEATURES, steps: int = 2) -> dict[int, np.ndarray]:
+    """Starting centers of every k by parallel k-means++, each scan shared by all ks.
+
+    As in the library, a random point is followed by ``steps`` rounds, in each of which a
+    point becomes a candidate with a probability of ``2 k`` times its part of all squared
+    distances to the candidates so far; the candidates, weighted by the points nearest to
+    them, are reduced to ``k`` by k-means++ and up to 30 steps.  Fewer than ``k`` come back
+    if there are no more different candidates.  Some ``5 k`` candidates reach the driver.
+    """
+    spark = df.sparkSession
+    points = df.select(column)
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        draw, best = np.random.default_rng((seed, 0, TaskContext.get().partitionId())), None
+        for batch in batches:
+            if batch.num_rows:
+                draws = draw.random(batch.num_rows)
+                at = int(draws.argmin())
+                if best is None or draws[at] < best[0]:
+                    best = (draws[at], batch.column(0)[at].as_py())
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([best[0]]), pa.array([best[1]], pa.list_(pa.float64()))], names=["draw", "point"])
+
+    first = points.mapInArrow(one, "draw double, point array<double>").orderBy("draw").head()
+    if first is None or first.point is None or None in first.point:
+        raise ValueError("K-Means needs points, and features of finite numbers")
+    found = {k: np.array([first.point]) for k in ks}
+    width = len(first.point)
+
+    for step in range(1, steps + 1):
+        shipped = spark.sparkContext.broadcast([_factors(c) for c in found.values()])
+        most = max(map(len, found.values()))
+
+        def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((len(shipped.value), 1))
+            for batch in batches:
+                for part in _steps(batch.column(0), width, most):
+                    sums[:, 0] += [_costs(part, f).sum() for f in shipped.value]
+            yield summands(sums)
+
+        sums = summed(points.mapInArrow(total, SUMMED), len(found), 1)[:, 0]
+        odds = [2.0 * k / s if s > 0 else 0.0 for k, s in zip(found, sums)]
+
+        def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            draw = np.random.default_rng((seed, step, TaskContext.get().partitionId()))
+            for batch in batches:
+                for part in _steps(batch.column(0), width, most):
+                    for i, (f, odd) in enumerate(zip(shipped.value, odds)):
+                        own = part[draw.random(len(part)) < odd * _costs(part, f)]
+                        yield pa.RecordBatch.from_arrays([pa.array([i] * len(own), pa.int32()), pa.array(own.tolist(), pa.list_(pa.float64()))], names=["i", "point"])
+
+        rows = points.mapInArrow(chosen, "i int, point array<double>").collect()
+        shipped.destroy()
+        for i, k in enumerate(found):
+            more = [r.point for r in rows if r.i == i]
+            found[k] = np.unique(np.vstack([found[k], *([more] if more else [])]), axis=0)
+
+    weights, ends = _shares(df, list(found.values()), column)[:, -1], _ends(list(found.values()))
+    return {k: _reduced(c, weights[a:b], k, seed) for (k, c), a, b in zip(found.items(), ends, ends[1:])}
+
+
+def _reduced(candidates: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """``k`` centers of weighted candidates, which are few."""
+    if len(candidates) <= k:
+        return candidates
+    draw = np.random.default_rng((seed, k))
+    weights = np.maximum(weights, 1e-300)
+    centers = candidates[[draw.choice(len(candidates), p=weights / weights.sum())]]
+    while len(centers) < k:
+        costs = weights * _costs(candidates, _factors(centers))
+        if not costs.sum() > 0:
+            break
+        centers = np.vstack([centers, candidates[draw.choice(len(candidates), p=costs / costs.sum())]])
+    for _ in range(30):
+        own = _nearest(candidates, _factors(centers))
+        moved = np.array([np.average(candidates[own == c], axis=0, weights=weights[own == c]) if (own == c).any() else centers[c] for c in range(len(centers))])
+        if (moved == centers).all():
+            break
+        centers = moved
+    return centers
+
+
+def _shares(df: DataFrame, centers: Sequence[np.ndarray], column: str) -> np.ndarray:
+    """Sums and counts of the points nearest to each center of several sets, from one scan."""
+    width, sizes, ends = centers[0].shape[1], [len(c) for c in centers], _ends(centers)
+    shipped = df.sparkSession.sparkContext.broadcast([_factors(c) for c in centers])
+
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((ends[-1], width + 1))
+        for batch in batches:
+            for points in _steps(batch.column(0), width, max(sizes)):
+                dimensions = np.ascontiguousarray(points.T)
+                for factors, first, n in zip(shipped.value, ends, sizes):
+                    own = _nearest(points, factors)
+                    for j, x in enumerate(dimensions):
+                        total[first : first + n, j] += np.bincount(own, x, n)
+                    total[first : first + n, width] += np.bincount(own, minlength=n)
+        yield summands(total)
+
+    out = summed(df.select(column).mapInArrow(share, SUMMED), int(ends[-1]), width + 1)
+    shipped.destroy()
+    return out
+
+
+def kmeans_step(df: DataFrame, centers: Mapping[int, np.ndarray], column: str = FEATURES) -> tuple[dict, set]:
+    """One assign-and-average step of every k, in one scan of the points; and the ks whose
+    centers have all moved by ``TOL`` at most, which are settled.
+
+    The step and the end are those of the library's ``KMeans``: a center without points
+    stays where it is, and a null or a number that is not finite is an error.  A task
+    multiplies its points with the centers of each k and sends one sum per center.
+    """
+    found, settled, first = {}, set(), 0
+    shares = _shares(df, list(centers.values()), column)
+    for k, old in centers.items():
+        own = shares[first : first + len(old)]
+        first += len(old)
+        new, there = old.copy(), own[:, -1] > 0
+        new[there] = own[there, :-1] / own[there, -1:]
+        found[k] = new
+        if (((new - old) ** 2).sum(axis=1) <= TOL * TOL).all():
+            settled.add(k)
+    return found, settled
+
+
+def nearest_of_all(df: DataFrame, models: Sequence, column: str = FEATURES) -> Column:
+    """An array with the nearest center of each model, for one scan; null without features."""
+    centers = [np.asarray(model_centers(m)) for m in models]
+    shipped = df.sparkSession.sparkContext.broadcast([_factors(c) for c in centers])
+    width, most = centers[0].shape[1], max(map(len, centers))
+
+    @F.arrow_udf("array<int>")
+    def nearest(features: pa.Array) -> pa.Array:
+        there = features.is_valid()
+        known = features.filter(there) if features.null_count else features
+        parts = [np.stack([_nearest(points, f) for f in shipped.value], axis=1) for points in _steps(known, width, most)]
+        found = np.concatenate(parts) if parts else np.empty((0, len(centers)))
+        rows = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel().astype(np.int32)), len(centers)).cast(pa.list_(pa.int32()))
+        if not features.null_count:
+            return rows
+        at = np.cumsum(there.to_numpy(zero_copy_only=False)) - 1
+        return rows.take(pa.array(at, mask=~there.to_numpy(zero_copy_only=False)))
+
+    return nearest(F.col(column).cast("array<double>"))
+
+
+def model_centers(model: KMeansModel | Centers) -> Centers:
+    return as_matrix(model.clusterCenters() if isinstance(model, KMeansModel) else model)
 
 
 def centers_frame(spark: SparkSession, centers: Centers) -> DataFrame:
@@ -72,7 +276,7 @@ def score(df: DataFrame, model: KMeansModel, column: str = FEATURES) -> DataFram
     return found.drop("_vector").withColumn("distance", distance_to_own(model, F.col(column), F.col("prediction")))
 
 
-def distance_to_own(model: KMeansModel, features: Column, prediction: Column) -> Column:
+def distance_to_own(model: KMeansModel | Centers, features: Column, prediction: Column) -> Column:
     centers = model_centers(model)
     return F.sqrt(squared_distance(features, F.get(matrix(centers), prediction), len(centers[0])))
 

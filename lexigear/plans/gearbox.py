@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -55,10 +54,8 @@ def scored_by_all(data: DataFrame, models: dict, near: dict | None = None) -> Co
 
 def with_predictions(data: DataFrame, models: dict) -> DataFrame:
     """Each model's cluster in a column of its own."""
-    out = data.withColumn("_vector", array_to_vector(F.col(FEATURES)))
-    for k, model in models.items():
-        out = model.setPredictionCol(f"_p{k}").transform(out)
-    return out.drop("_vector")
+    found = data.withColumn("_near", cl.nearest_of_all(data, list(models.values())))
+    return found.withColumns({f"_p{k}": F.get("_near", F.lit(i)) for i, k in enumerate(models)}).drop("_near")
 
 
 def _bucket(distance: Column) -> Column:
@@ -66,13 +63,38 @@ def _bucket(distance: Column) -> Column:
     return F.when(distance > 0, F.floor(F.log2(distance) * 16)).otherwise(F.when(distance.isNotNull(), F.lit(-(1 << 20)))).cast("int")
 
 
-def fit_all(data: DataFrame, ks: Iterable[int], fit: Callable) -> tuple[dict, dict]:
-    """The models of all ks, and the seconds each fit took."""
-    models, seconds = {}, {}
-    for k in ks:
+def fit_all(data: DataFrame, ks: Iterable[int], seed: int | None = None, max_iter: int = cl.MAX_ITER) -> tuple[dict, dict]:
+    """The centers of all ks, and the seconds each fit took.
+
+    With a ``seed`` every k begins as the library's ``KMeans`` with that seed, and takes the
+    same steps to the same end.  Without one the scans for the starts are shared as well.
+    The steps of all ks that are not settled share a scan, whose seconds count for each by
+    its number of centers.  Persist ``data``.
+    """
+    ks, models, seconds = list(ks), {}, {}
+    if seed is None and ks:
+        start = time.perf_counter()
+        models = cl.kmeans_starts(data, ks)
+        spent = (time.perf_counter() - start) / sum(ks)
+        seconds = {k: k * spent for k in ks}
+    elif ks:
+        vectors = cl.with_vectors(data).persist(StorageLevel.MEMORY_AND_DISK)
+        for k in ks:
+            start = time.perf_counter()
+            models[k] = cl.kmeans_start(vectors, k, seed)
+            seconds[k] = time.perf_counter() - start
+        vectors.unpersist()
+    open_ = dict(models)
+    for _ in range(max_iter):
+        if not open_:
+            break
         start = time.perf_counter()
-        models[k] = fit(data, k)
-        seconds[k] = time.perf_counter() - start
+        moved, settled = cl.kmeans_step(data, open_)
+        spent = (time.perf_counter() - start) / sum(open_)
+        for k in open_:
+            seconds[k] += k * spent
+        models |= moved
+        open_ = {k: c for k, c in moved.items() if k not in settled}
     return models, seconds
 
 
@@ -86,12 +108,13 @@ def sweep_k(
     The first scan sums the distances of each k by size.  From the counts follows how far
     the largest distances reach down; the second scan keeps the rows above that alone, and
     ranks them.  They yield the report, the threshold and the number of rows above it.
-    ``runtime_seconds`` is a fit and its even share of the scoring.
+    ``runtime_seconds`` is a fit, with its share of the scans of all fits, and its even share
+    of the scoring.
     """
     spark = data.sparkSession
     kept = keep if keep is not None else [c for c in data.columns if c not in (FEATURES, key)]
     data = data.select(key, *kept, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
-    models, seconds = fit_all(data, ks, lambda d, k: cl.kmeans_fit(d, k, seed, max_iter))
+    models, seconds = fit_all(data, ks, seed, max_iter)
     if not models:
         data.unpersist()
         raise ValueError("a sweep needs at least one k")
@@ -137,7 +160,7 @@ def sweep_k(
 def sweep_entropy(data: DataFrame, ks: Iterable[int], label: str = "label") -> DataFrame:
     """``k, entropy`` of fits with library defaults, scored in one scan."""
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    models, _ = fit_all(data, ks, cl.kmeans_default)
+    models, _ = fit_all(data, ks)
     found = with_predictions(data, models)
     pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_p{k}").alias("prediction")) for k in models])
     out = cl.entropy_by(found.select(label, F.inline(pairs)), ["k"], label)
@@ -149,7 +172,7 @@ def sweep_entropy(data: DataFrame, ks: Iterable[int], label: str = "label") -> D
 def sweep_scores(data: DataFrame, ks: Iterable[int]) -> DataFrame:
     """``k, avg_distance`` of fits with library defaults, scored in one scan."""
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    models, _ = fit_all(data, ks, cl.kmeans_default)
+    models, _ = fit_all(data, ks)
     found = with_predictions(data, models)
     rows = found.select(F.inline(scored_by_all(found, models))).groupBy("k").agg(F.avg("distance").alias("avg_distance")).collect()
     data.unpersist()

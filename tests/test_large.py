@@ -4,7 +4,9 @@ import numpy as np
 import pytest
 
 from lexigear import shared
+from lexigear.operators import clusters as cl
 from lexigear.operators import search as se
+from lexigear.plans import gearbox
 
 
 def test_large_scan_is_dealt_by_bytes(spark, folder, monkeypatch):
@@ -38,3 +40,42 @@ def test_scores_in_slices(spark, monkeypatch, cosine):
         monkeypatch.setattr(se, "SCORES_PER_STEP", step)
         found.append(sorted(map(tuple, se.scan_once(model, block, 5, cosine).collect())))
     assert found[0] == found[1] and len(found[0]) == 10
+
+
+def blobs(spark, n=900, m=3):
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(c, 0.3, (n // 3, m)) for c in (0.0, 5.0, -5.0)])
+    return x, spark.createDataFrame([(i, "abc"[i * 3 // n], r.tolist()) for i, r in enumerate(x)], "point_id long, label string, features array<double>").persist()
+
+
+def test_fits_share_scans_and_equal_the_library(spark, monkeypatch):
+    """All ks take their steps together, and end where the library's fits end."""
+    _, data = blobs(spark)
+    scans = []
+    step = cl.kmeans_step
+    monkeypatch.setattr(cl, "kmeans_step", lambda d, centers, *a: scans.append(sorted(centers)) or step(d, centers, *a))
+    models, seconds = gearbox.fit_all(data, (2, 3, 5), seed=42, max_iter=50)
+    assert scans[0] == [2, 3, 5] and len(scans) <= 50 and set(seconds) == {2, 3, 5}
+    for k, centers in models.items():
+        np.testing.assert_allclose(centers, cl.model_centers(cl.kmeans_fit(data, k, 42, 50)), atol=1e-9)
+
+
+def test_shared_starts(spark):
+    x, data = blobs(spark)
+    models, _ = gearbox.fit_all(data, (3, 40))
+    assert sorted(np.round(models[3].mean(axis=1)).tolist()) == [-5.0, 0.0, 5.0] and models[40].shape == (40, 3)
+    costs = {k: ((x[:, None] - c[None]) ** 2).sum(axis=2).min(axis=1).sum() for k, c in models.items()}
+    library = {k: cl.kmeans_fit(data, k, 1, 20).summary.trainingCost for k in models}
+    assert costs[3] == pytest.approx(library[3]) and costs[40] < 1.25 * library[40]
+    assert gearbox.sweep_entropy(data, (3, 40)).collect() == [(3, pytest.approx(0.0)), (40, pytest.approx(0.0))]
+    same = spark.createDataFrame([([1.0, 2.0],)] * 50, "features array<double>")
+    assert {k: c.tolist() for k, c in gearbox.fit_all(same, (2, 4))[0].items()} == {2: [[1.0, 2.0]], 4: [[1.0, 2.0]]}
+    for odd in ([1.0, None], [1.0, float("nan")], None):
+        with pytest.raises(Exception, match="finite|features"):
+            gearbox.fit_all(spark.createDataFrame([([1.0, 2.0],), (odd,)], same.schema), (2,))
+
+
+def test_nearest_of_all(spark):
+    df = spark.createDataFrame([(0, [1.0]), (1, None), (2, [9.0])], "i int, features array<double>").coalesce(1)
+    found = gearbox.with_predictions(df, {1: [[5.0]], 2: [[0.0], [10.0]]}).orderBy("i").collect()
+    assert [(r._p1, r._p2) for r in found] == [(0, 0), (None, None), (0, 1)]
