@@ -229,18 +229,28 @@ def kmeans_step(df: DataFrame, centers: Mapping[int, np.ndarray], column: str =
 
 
 def nearest_of_all(df: DataFrame, models: Sequence, column: str = FEATURES) -> Column:
-    """An array with the nearest center of each model, for one scan; null without features."""
+    """``prediction`` and ``distance``, arrays with the nearest center of each model, for one
+    scan; null without features."""
     centers = [np.asarray(model_centers(m)) for m in models]
-    shipped = df.sparkSession.sparkContext.broadcast([_factors(c) for c in centers])
+    shipped = df.sparkSession.sparkContext.broadcast([(c, _factors(c)) for c in centers])
     width, most = centers[0].shape[1], max(map(len, centers))
 
-    @F.arrow_udf("array<int>")
+    def lists(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+        return pa.FixedSizeListArray.from_arrays(pa.array(values.ravel(), kind), len(centers)).cast(pa.list_(kind))
+
+    @F.arrow_udf("prediction array<int>, distance array<double>")
     def nearest(features: pa.Array) -> pa.Array:
         there = features.is_valid()
         known = features.filter(there) if features.null_count else features
-        parts = [np.stack([_nearest(points, f) for f in shipped.value], axis=1) for points in _steps(known, width, most)]
-        found = np.concatenate(parts) if parts else np.empty((0, len(centers)))
-        rows = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel().astype(np.int32)), len(centers)).cast(pa.list_(pa.int32()))
+        own, far = np.empty((len(known), len(centers)), np.int32), np.empty((len(known), len(centers)))
+        first = 0
+        for points in _steps(known, width, most):
+            part = slice(first, first + len(points))
+            for i, (center, factors) in enumerate(shipped.value):
+                own[part, i] = at = _nearest(points, factors)
+                far[part, i] = np.sqrt(((points - center[at]) ** 2).sum(axis=1))
+            first = part.stop
+        rows = pa.StructArray.from_arrays([lists(own, pa.int32()), lists(far, pa.float64())], names=["prediction", "distance"])
         if not features.null_count:
             return rows
         at = np.cumsum(there.to_numpy(zero_copy_only=False)) - 1

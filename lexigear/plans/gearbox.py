@@ -42,10 +42,8 @@ def scored_by_all(data: DataFrame, models: dict, near: dict | None = None) -> Co
     each k) only entries in that bucket or above it.
     """
     entries = []
-    for k, model in models.items():
-        prediction = F.col(f"_p{k}")
-        distance = cl.distance_to_own(model, F.col(FEATURES), prediction)
-        entries.append(F.struct(F.lit(k).alias("k"), prediction.alias("prediction"), distance.alias("distance")))
+    for k in models:
+        entries.append(F.struct(F.lit(k).alias("k"), F.col(f"_p{k}").alias("prediction"), F.col(f"_d{k}").alias("distance")))
     if near is None:
         return F.array(*entries)
     least = F.create_map(*[F.lit(x) for k in models for x in (k, near[k])])
@@ -53,9 +51,10 @@ def scored_by_all(data: DataFrame, models: dict, near: dict | None = None) -> Co
 
 
 def with_predictions(data: DataFrame, models: dict) -> DataFrame:
-    """Each model's cluster in a column of its own."""
+    """Each model's cluster, and the distance to its center, in columns of their own."""
     found = data.withColumn("_near", cl.nearest_of_all(data, list(models.values())))
-    return found.withColumns({f"_p{k}": F.get("_near", F.lit(i)) for i, k in enumerate(models)}).drop("_near")
+    each = {f"_{name[0]}{k}": F.get(F.col(f"_near.{name}"), F.lit(i)) for i, k in enumerate(models) for name in ("prediction", "distance")}
+    return found.withColumns(each).drop("_near")
 
 
 def _bucket(distance: Column) -> Column:

@@ -79,3 +79,14 @@ def test_nearest_of_all(spark):
     df = spark.createDataFrame([(0, [1.0]), (1, None), (2, [9.0])], "i int, features array<double>").coalesce(1)
     found = gearbox.with_predictions(df, {1: [[5.0]], 2: [[0.0], [10.0]]}).orderBy("i").collect()
     assert [(r._p1, r._p2) for r in found] == [(0, 0), (None, None), (0, 1)]
+
+
+def test_distances_come_with_the_clusters(spark):
+    """No expression over the centers is left in the plan of the scoring scans."""
+    x, data = blobs(spark)
+    models = {2: [[0.0] * 3, [5.0] * 3], 3: [[0.0] * 3, [5.0] * 3, [-5.0] * 3]}
+    found = gearbox.with_predictions(data, models).orderBy("point_id").collect()
+    for k, centers in models.items():
+        d = np.linalg.norm(x[:, None] - np.array(centers)[None], axis=2)
+        assert [r[f"_p{k}"] for r in found] == d.argmin(axis=1).tolist()
+        np.testing.assert_allclose([r[f"_d{k}"] for r in found], d.min(axis=1), rtol=1e-12)
