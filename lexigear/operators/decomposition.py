@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from math import sqrt
 
@@ -21,9 +22,11 @@ from lexigear.operators.weighting import Vocabulary
 MAX_SHIPPED_BYTES = 256 * 1024 * 1024
 # Doubles held by one array operation inside a task.
 DOUBLES_PER_STEP = 250_000
-# Up to this many terms the product of all columns takes one pass.  More terms iterate,
-# to the same result.
-SMALL = 256
+# Doubles of the dense rows that a task multiplies at a time.
+DENSE_DOUBLES = 1_000_000
+# Up to this many terms ``A'A`` itself takes one pass.  More terms iterate, to the same
+# result.
+SMALL = 1024
 # Blocks of directions kept, and up to how many bytes with their images on the driver.
 MAX_BLOCKS = 12
 LOCAL_BYTES = 512 * 1024 * 1024
@@ -92,22 +95,33 @@ def gram_times(matrix: DataFrame, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sizes, ids and weights of the rows of each batch that have entries."""
+    for batch in batches:
+        sizes = pc.list_value_length(batch.column("ids")).to_numpy(zero_copy_only=False)
+        yield sizes[sizes > 0], batch.column("ids").flatten().to_numpy(), batch.column("weights").flatten().to_numpy()
+
+
+def _dense(sizes: np.ndarray, ids: np.ndarray, weights: np.ndarray, columns: int) -> np.ndarray:
+    """Sparse rows as a matrix; entries of one place add up."""
+    at = np.repeat(np.arange(len(sizes)) * columns, sizes) + ids
+    return np.bincount(at, weights, len(sizes) * columns).reshape(len(sizes), columns)
+
+
 def gram_times_shipped(matrix: DataFrame, shipped, rows: int, width: int, slices: int = 1) -> np.ndarray:
     """``A' (A X)`` for a block that the tasks have.
 
     Every task adds up its share; Spark sums the shares.  There are no more tasks than
-    cores, since each has a share to send.
+    cores, since each has a share to send.  A few documents at a time are a dense matrix of
+    the terms they use, which two products of matrices multiply.
     """
     step = max(1, DOUBLES_PER_STEP // max(1, width))
 
     def shares(batches):
         block = shipped.value
         share = np.zeros(block.shape)
-        for batch in batches:
-            sizes = pc.list_value_length(batch.column("ids")).to_numpy(zero_copy_only=False)
-            ids = batch.column("ids").flatten().to_numpy()
-            weights = batch.column("weights").flatten().to_numpy()
-            sizes = sizes[sizes > 0]
+        known, place = np.zeros(len(block), dtype=bool), np.zeros(len(block), dtype=np.int64)
+        for sizes, ids, weights in _entries(batches):
             ends = sizes.cumsum()
             first = 0
             while first < len(sizes):
@@ -115,15 +129,12 @@ def gram_times_shipped(matrix: DataFrame, shipped, rows: int, width: int, slices
                 begin = ends[first] - sizes[first]
                 last = max(first + 1, int(np.searchsorted(ends, begin + step, "right")))
                 part = slice(begin, ends[last - 1])
-                i, w = ids[part], weights[part, None]
-                starts = ends[first:last] - sizes[first:last] - begin
-                projected = np.add.reduceat(block[i] * w, starts, axis=0)
-                # The same entries again, grouped by term.
-                order = np.argsort(i, kind="stable")
-                doc = np.repeat(np.arange(last - first), sizes[first:last])
-                term = i[order]
-                heads = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
-                share[term[heads]] += np.add.reduceat(projected[doc[order]] * w[order], heads, axis=0)
+                known[ids[part]] = True
+                used = np.flatnonzero(known)
+                known[used] = False
+                place[used] = np.arange(len(used))
+                docs = _dense(sizes[first:last], place[ids[part]], weights[part], len(used))
+                share[used] += docs.T @ (docs @ block[used])
                 first = last
         yield summands(share)
 
@@ -132,6 +143,26 @@ def gram_times_shipped(matrix: DataFrame, shipped, rows: int, width: int, slices
     return summed(parts, rows, width, slices)
 
 
+def gram(matrix: DataFrame, num_terms: int) -> np.ndarray:
+    """``A'A`` whole, in one pass over the rows as dense matrices of all terms."""
+    step = max(1, DENSE_DOUBLES // num_terms)
+
+    def shares(batches):
+        share = np.zeros((num_terms, num_terms))
+        for sizes, ids, weights in _entries(batches):
+            ends = np.r_[0, sizes.cumsum()]
+            for first in range(0, len(sizes), step):
+                last = min(first + step, len(sizes))
+                part = slice(ends[first], ends[last])
+                docs = _dense(sizes[first:last], ids[part], weights[part], num_terms)
+                share += docs.T @ docs
+        yield summands(share)
+
+    cores = matrix.sparkSession.sparkContext.defaultParallelism
+    parts = matrix.select("ids", "weights").coalesce(cores).mapInArrow(shares, SUMMED)
+    return summed(parts, num_terms, num_terms)
+
+
 def _lengths(matrix: DataFrame, v: np.ndarray) -> np.ndarray:
     """``|A v|`` of each column: one pass that adds up squares."""
     times = _times(matrix.sparkSession, v)
@@ -152,8 +183,8 @@ def factorize(
     over it.  A pass multiplies a whole block of directions (somewhat more than ``k``
     unless ``block`` gives another width), and the next block is what the directions
     found so far leave unexplained.  That takes about a dozen passes, where multiplying
-    one direction at a time takes hundreds.  Up to a few hundred terms a single pass
-    gives the exact product of all columns.
+    one direction at a time takes hundreds.  Up to ``SMALL`` terms a single pass gives
+    ``A'A`` itself.
 
     Directions and their images stay on the driver up to ``local_bytes``; more are kept as a
     table by ranges of terms, and the driver holds less than three blocks at any time.  With
@@ -176,7 +207,8 @@ def factorize(
         width = num_terms
     held = max(MAX_BLOCKS * width, 2 * k + width)
     if 2 * 8 * num_terms * min(held, num_terms) <= local_bytes:
-        blocks = LocalBlocks(lambda x: gram_times(matrix, x), num_terms)
+        # As many directions as terms are the unit vectors, so that the product is A'A.
+        blocks = LocalBlocks(lambda x: gram(matrix, num_terms) if width == num_terms else gram_times(matrix, x), num_terms)
     else:
         # One block is shipped whole; products of all directions take a quarter of a block.
         width = min(width, max(PIECE, MAX_SHIPPED_BYTES // (8 * num_terms)))

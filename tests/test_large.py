@@ -5,6 +5,7 @@ import pytest
 
 from lexigear import shared
 from lexigear.operators import clusters as cl
+from lexigear.operators import decomposition as dc
 from lexigear.operators import search as se
 from lexigear.plans import gearbox
 
@@ -90,3 +91,28 @@ def test_distances_come_with_the_clusters(spark):
         d = np.linalg.norm(x[:, None] - np.array(centers)[None], axis=2)
         assert [r[f"_p{k}"] for r in found] == d.argmin(axis=1).tolist()
         np.testing.assert_allclose([r[f"_d{k}"] for r in found], d.min(axis=1), rtol=1e-12)
+
+
+def test_product_of_terms_takes_one_pass(spark, monkeypatch):
+    """Up to 1,024 terms A'A comes from one pass, whose rows are dense a part at a time."""
+    rng = np.random.default_rng(6)
+    a = rng.random((90, 600)) * (rng.random((90, 600)) < 0.1)
+    rows = [(np.flatnonzero(r).tolist(), r[r != 0].tolist()) for r in a]
+    frame = spark.createDataFrame([*rows, ([], [])], "ids array<int>, weights array<double>").persist()
+    passes = []
+    summed = dc.summed
+    monkeypatch.setattr(dc, "summed", lambda *args: passes.append(1) or summed(*args))
+    monkeypatch.setattr(dc, "DENSE_DOUBLES", 1800)
+    np.testing.assert_allclose(dc.gram(frame, 600), a.T @ a, atol=1e-12)
+    passes.clear()
+    sigma, v = dc.factorize(frame, 600, 25)
+    assert len(passes) == 1
+    exact = np.linalg.svd(a, full_matrices=False)
+    np.testing.assert_allclose(sigma, exact[1][:25], rtol=1e-10)
+    np.testing.assert_allclose(np.abs((v * exact[2][:25].T).sum(axis=0)), 1.0, atol=1e-8)
+
+
+def test_terms_that_come_twice_in_a_row_add_up(spark):
+    frame = spark.createDataFrame([([1, 1, 0], [1.0, 2.0, 5.0]), ([2], [1.0])], "ids array<int>, weights array<double>")
+    a = np.array([[5.0, 3.0, 0.0], [0.0, 0.0, 1.0]])
+    assert dc.gram_times(frame, np.eye(3)).tolist() == dc.gram(frame, 3).tolist() == (a.T @ a).tolist()
