@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,8 @@ FEATURES = "features"
 MAX_LIST = 10_000
 # Lemma pairs that are shipped to the tasks (some 4 MB); more are joined, with the same result.
 MAX_PAIRS = 100_000
+# Tokens that a task's Python looks up at a time.
+TOKENS_PER_STEP = 200_000
 
 # Noun endings and what replaces them.
 NOUN_SUFFIXES = (
@@ -136,6 +139,26 @@ def lemma_map(terms: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None
     return best.select("form", F.col("best.candidate").alias("lemma")).where("form <> lemma")
 
 
+def _slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The batches in slices of about ``TOKENS_PER_STEP`` tokens, or one row.
+
+    What is made of a slice is handed on before the next, and the memory of a batch given
+    back, so that a worker does not hold more the more batches it has seen.
+    """
+    pool = pa.default_memory_pool()
+    for batch in batches:
+        column = batch.field(0) if pa.types.is_struct(batch.type) else batch
+        ends = pc.cumulative_sum(pc.coalesce(pc.list_value_length(column), pa.scalar(0, pa.int32()))).to_numpy()
+        first = 0
+        while first < len(batch):
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + TOKENS_PER_STEP, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+        del batch, column, ends
+        pool.release_unused()
+
+
 def _lists(old: pa.Array, new: pa.Array) -> pa.Array:
     """``new`` cut into lists like those of ``old``; a null list becomes an empty one."""
     # ``flatten`` starts at the first row of the batch, so the offsets do too.
@@ -144,19 +167,21 @@ def _lists(old: pa.Array, new: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, new)
 
 
+def _lemmas_of(tokens: pa.Array, forms: pa.Array, lemmas: pa.Array) -> pa.Array:
+    """Every token that is one of ``forms`` replaced by its lemma, without Python strings."""
+    return pc.coalesce(lemmas.take(pc.index_in(tokens, value_set=forms)), tokens)
+
+
 def _replace_listed(df: DataFrame, pairs: list, column: str) -> DataFrame:
     """Replace forms by lemmas inside the rows.  Only the token column passes through
     Python, and a task builds its lookup once."""
-    listed = {p.form: p.lemma for p in pairs}
+    forms = pa.array([p.form for p in pairs], pa.string())
+    lemmas = pa.array([p.lemma for p in pairs], pa.string())
 
     @F.arrow_udf("array<string>")
     def replace(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for old in batches:
-            # Look up each distinct form of the batch, not each token.
-            codes = old.flatten().cast(pa.string()).dictionary_encode()
-            forms = codes.dictionary.to_pylist()
-            lemmas = pa.array([listed.get(form, form) for form in forms], pa.string())
-            yield _lists(old, lemmas.take(codes.indices))
+        for old in _slices(batches):
+            yield _lists(old, _lemmas_of(old.flatten().cast(pa.string()), forms, lemmas))
 
     return df.withColumn(column, replace(column))
 
@@ -172,14 +197,20 @@ def _replace_joined(df: DataFrame, mapping: DataFrame, column: str, key: str) ->
     own = changed.groupBy(key).agg(F.collect_set(pair).alias("_pairs"))
 
     @F.arrow_udf("array<string>")
-    def replace(tokens: pa.Array, forms: pa.Array, lemmas: pa.Array) -> pa.Array:
-        rows = []
-        for row, old, new in zip(tokens.to_pylist(), forms.to_pylist(), lemmas.to_pylist()):
-            listed = dict(zip(old or (), new or ()))
-            rows.append([listed.get(t, t) for t in row or ()])
-        return pa.array(rows, pa.list_(pa.string()))
-
-    replaced = replace(column, F.col("_pairs.form"), F.col("_pairs.lemma"))
+    def replace(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in _slices(batches):
+            old, forms, lemmas = (rows.field(i) for i in range(3))
+            tokens = old.flatten().cast(pa.string())
+            # A form has one lemma in all documents, so the pairs of a slice are one lookup.
+            codes = forms.flatten().cast(pa.string()).dictionary_encode()
+            listed = pa.array(np.unique(codes.indices, return_index=True)[1])
+            found = _lemmas_of(tokens, codes.dictionary, lemmas.flatten().cast(pa.string()).take(listed))
+            # A row without pairs, as one without key, keeps its tokens.
+            sizes = pc.coalesce(pc.list_value_length(old), pa.scalar(0, pa.int32()))
+            paired = np.repeat(forms.is_valid().to_numpy(zero_copy_only=False), sizes)
+            yield _lists(old, pc.if_else(pa.array(paired, pa.bool_()), found, tokens))
+
+    replaced = replace(F.struct(F.col(column).alias("old"), F.col("_pairs.form").alias("forms"), F.col("_pairs.lemma").alias("lemmas")))
     return df.join(own, key, "left").withColumn(column, replaced).drop("_pairs")
 
 

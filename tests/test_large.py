@@ -1,12 +1,14 @@
 """Steps that must stay bounded, or share their scans, on large tables."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexigear import shared
 from lexigear.operators import clusters as cl
 from lexigear.operators import decomposition as dc
 from lexigear.operators import search as se
+from lexigear.operators import tokens as tk
 from lexigear.plans import gearbox
 
 
@@ -116,3 +118,24 @@ def test_terms_that_come_twice_in_a_row_add_up(spark):
     frame = spark.createDataFrame([([1, 1, 0], [1.0, 2.0, 5.0]), ([2], [1.0])], "ids array<int>, weights array<double>")
     a = np.array([[5.0, 3.0, 0.0], [0.0, 0.0, 1.0]])
     assert dc.gram_times(frame, np.eye(3)).tolist() == dc.gram(frame, 3).tolist() == (a.T @ a).tolist()
+
+
+def test_lemmas_are_looked_up_in_slices(spark, monkeypatch):
+    """Slices hold a bounded number of tokens, or one row, and give every row back in order."""
+    rows = [["a"] * 3, [], None, ["b"] * 9, ["c"], ["d", None]]
+    for batch in (pa.array(rows), pa.array([["z"], *rows])[1:]):
+        monkeypatch.setattr(tk, "TOKENS_PER_STEP", 4)
+        slices = [s.to_pylist() for s in tk._slices(iter([batch, batch[:0], batch]))]
+        assert sum(slices, []) == rows * 2
+        assert all(len(s) == 1 or sum(len(r or ()) for r in s) <= 4 for s in slices)
+
+
+@pytest.mark.parametrize("max_map", [1000, 0])
+def test_lemmas_of_odd_rows(spark, max_map):
+    data = [(1, ["wolves", "x", None, "cats"]), (1, ["cats"]), (2, None), (3, []), (4, ["x"]), (None, ["cats", "x"])]
+    docs = spark.createDataFrame(data * 30, "doc_id long, features array<string>").coalesce(1)
+    lexicon = spark.createDataFrame([("wolf",), ("cat",), ("x",)], "lemma string")
+    found = sorted(map(str, (tuple(r) for r in tk.lemmatize(docs, lexicon, max_map=max_map).collect())))
+    alone = ["cat", "x"] if max_map else ["cats", "x"]  # a row without key joins nothing
+    wanted = [(1, ["wolf", "x", None, "cat"]), (1, ["cat"]), (2, []), (3, []), (4, ["x"]), (None, alone)]
+    assert found == sorted(map(str, wanted * 30))
