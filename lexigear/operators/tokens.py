@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -123,16 +125,28 @@ def lemma_candidates(terms: DataFrame, exceptions: DataFrame | None = None) -> D
     return options
 
 
+def _has_ending(form: Column) -> Column:
+    """Whether a suffix rule applies to ``form``; other forms have a lemma by an exception only."""
+    # "ches" also ends with "s": an ending that has another one at its end needs no test.
+    endings = [old for old, _ in NOUN_SUFFIXES]
+    least = [e for e in endings if not any(e != other and e.endswith(other) for other in endings)]
+    return reduce(or_, [form.endswith(e) for e in least])
+
+
 def lemma_map(terms: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
     """``form, lemma`` for the distinct ``form``s whose lemma differs from the form.
 
     A lemma is the shortest candidate the ``lexicon(lemma)`` knows, ties in
     alphabetical order.  A form without known candidate is its own lemma.
     """
-    known = lexicon.select(F.col("lemma").alias("candidate")).distinct()
+    # Other forms have no candidate but themselves.
+    ruled = _has_ending(F.col("form"))
+    some = terms.where(ruled)
+    if exceptions is not None:
+        some = some.unionByName(terms.where(~ruled).join(exceptions, "form", "left_semi"))
     best = (
-        lemma_candidates(terms, exceptions)
-        .join(known, "candidate")
+        lemma_candidates(some, exceptions)
+        .join(lexicon.select(F.col("lemma").alias("candidate")), "candidate", "left_semi")
         .groupBy("form")
         .agg(F.min(F.struct(F.length("candidate").alias("n"), "candidate")).alias("best"))
     )
@@ -186,13 +200,16 @@ def _replace_listed(df: DataFrame, pairs: list, column: str) -> DataFrame:
     return df.withColumn(column, replace(column))
 
 
-def _replace_joined(df: DataFrame, mapping: DataFrame, column: str, key: str) -> DataFrame:
+def _replace_joined(df: DataFrame, mapping: DataFrame, words: Column, column: str, key: str, ruled: bool) -> DataFrame:
     """Replacement for maps too large to ship.
 
     Only the distinct forms of a document that have a lemma are joined and gathered, so a
-    frequent form is one row per document and most forms are none after the join.
+    frequent form is one row per document and most forms are none after the join.  With
+    ``ruled`` the map has only forms that a suffix rule changes, so no others are joined.
+    The pairs meet the rows before their tokens are made, which are larger than a text.
     """
-    changed = df.select(key, F.explode(F.array_distinct(column)).alias("form")).join(mapping, "form")
+    forms = F.filter(words, _has_ending) if ruled else words
+    changed = df.select(key, F.explode(F.array_distinct(forms)).alias("form")).join(mapping, "form")
     pair = F.struct("form", "lemma")
     own = changed.groupBy(key).agg(F.collect_set(pair).alias("_pairs"))
 
@@ -210,7 +227,7 @@ def _replace_joined(df: DataFrame, mapping: DataFrame, column: str, key: str) ->
             paired = np.repeat(forms.is_valid().to_numpy(zero_copy_only=False), sizes)
             yield _lists(old, pc.if_else(pa.array(paired, pa.bool_()), found, tokens))
 
-    replaced = replace(F.struct(F.col(column).alias("old"), F.col("_pairs.form").alias("forms"), F.col("_pairs.lemma").alias("lemmas")))
+    replaced = replace(F.struct(words.alias("old"), F.col("_pairs.form").alias("forms"), F.col("_pairs.lemma").alias("lemmas")))
     return df.join(own, key, "left").withColumn(column, replaced).drop("_pairs")
 
 
@@ -221,24 +238,28 @@ def lexicon_of(df: DataFrame, column: str = FEATURES) -> DataFrame:
 
 def lemmatize(
     df: DataFrame, lexicon: DataFrame | None = None, exceptions: DataFrame | None = None,
-    column: str = FEATURES, key: str = "doc_id", max_map: int = MAX_PAIRS,
+    column: str = FEATURES, key: str = "doc_id", max_map: int = MAX_PAIRS, words: Column | None = None,
 ) -> DataFrame:
     """Replace every token by its lemma.
 
     The rules run once per distinct term.  Without a lexicon, the documents' own terms
-    serve as one.
+    serve as one.  The tokens are those of ``column``, or ``words``, which then become it.
     """
+    words = F.col(column) if words is None else words
+    with_words = df.withColumn(column, words)
     if lexicon is None:
         # Used on both sides of a join: tokenize once, read the distinct terms twice.
-        lexicon = lexicon_of(df, column)
+        lexicon = lexicon_of(with_words, column)
         terms = lexicon.toDF("form")
     else:
-        terms = df.select(F.explode(F.array_distinct(column)).alias("form")).distinct()
+        terms = with_words.select(F.explode(F.array_distinct(column)).alias("form")).distinct()
     mapping = lemma_map(terms, lexicon, exceptions)
     pairs = mapping.limit(max_map + 1).collect()
     if len(pairs) > max_map:
-        return _replace_joined(df, mapping, column, key)
-    return _replace_listed(df, pairs, column)
+        # As a table its size is known when the join is planned.
+        mapping = through_table(mapping, "lemmas")
+        return _replace_joined(df, mapping, words, column, key, ruled=exceptions is None)
+    return _replace_listed(with_words, pairs, column)
 
 
 def tokens_lemma(
@@ -246,8 +267,8 @@ def tokens_lemma(
     exceptions: DataFrame | None = None, key: str = "doc_id", max_map: int = MAX_PAIRS,
 ) -> DataFrame:
     """Letter runs, lower-cased and lemmatized, then filtered."""
-    words = df.withColumn(FEATURES, fx.matches(text, fx.LETTERS))
-    lemmas = lemmatize(words, lexicon, exceptions, key=key, max_map=max_map)
+    words = fx.matches(text, fx.LETTERS)
+    lemmas = lemmatize(df, lexicon, exceptions, key=key, max_map=max_map, words=words)
     return filter_terms(lemmas, stop_words=stop_words, alpha_only=True, key=key)
 
 

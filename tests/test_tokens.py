@@ -78,6 +78,44 @@ def test_lemma_exceptions_and_large_maps(spark):
     assert listed(listed_map)[1] == ["mouse", "wolf", "cat"]
 
 
+def test_joined_lemmas_of_forms_with_and_without_ending(spark):
+    """Keys and words of the lexicon may repeat; an exception may concern any form."""
+    texts = ["Geese and mice chase Wolves, men, foxes", "buses buses geese", None, "", "women ladies dress mens"]
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    lexicon = spark.createDataFrame([(w,) for w in ["goose", "mouse", "mouse", "wolf", "man", "fox", "bus", "bus", "woman", "lady", None]], "lemma string")
+    exceptions = spark.createDataFrame([("geese", "goose"), ("mice", "mouse"), ("mens", "man"), ("dress", None)], "form string, lemma string")
+
+    def found(max_map, **options):
+        rows = tk.tokens_lemma(docs, stop_words=[], lexicon=lexicon, max_map=max_map, **options).select("doc_id", "text", "features")
+        return sorted((r.doc_id, r.text or "", r.features) for r in rows.collect())
+
+    for options in ({}, {"exceptions": exceptions}):
+        assert found(0, **options) == found(1000, **options)
+    assert found(0)[0][2] == "geese and mice chase wolf man fox".split()
+    assert found(0, exceptions=exceptions)[0][2] == "goose and mouse chase wolf man fox".split()
+    assert found(0, exceptions=exceptions)[4][2] == "woman lady dress man".split()
+
+
+def test_lemma_map_skips_forms_without_rule(spark):
+    """Only forms with an ending, or an exception, are matched with the lexicon."""
+    terms = spark.createDataFrame([("cats",), ("cat",), ("mice",), ("dog",), (None,)], "form string")
+    lexicon = spark.createDataFrame([("cat",), ("mouse",), ("dog",)], "lemma string")
+    exceptions = spark.createDataFrame([("mice", "mouse")], "form string, lemma string")
+    pairs = lambda *a: sorted(map(tuple, tk.lemma_map(terms, lexicon, *a).collect()))
+    assert pairs() == [("cats", "cat")] and pairs(exceptions) == [("cats", "cat"), ("mice", "mouse")]
+    assert "EndsWith" in tk.lemma_map(terms, lexicon)._jdf.queryExecution().optimizedPlan().toString().split("Generate")[-1].partition("\n")[2]
+
+
+def test_joined_lemmas_deal_out_little(spark):
+    """Forms without an ending are not exploded for the join, and the rows meet their pairs as texts."""
+    docs = spark.createDataFrame([(1, "wolves wolf the"), (2, None)], "doc_id long, text string")
+    plan = tk.tokens_lemma(docs, max_map=0)._jdf.queryExecution().optimizedPlan().toString()
+    exploded = next(x for x in plan.splitlines() if "Generate explode" in x)
+    assert "EndsWith" in exploded
+    rows, _, pairs = plan.partition("Join LeftOuter")[2].partition("Aggregate")
+    assert "regexp_extract_all" not in rows and "regexp_extract_all" in pairs
+
+
 def test_shortest_candidate_wins_with_own_vocabulary(spark):
     docs = spark.createDataFrame([(1, "cats cat glass dog")], "doc_id long, text string")
     assert listed(tk.tokens_lemma(docs, stop_words=[])) == [["cat", "cat", "glass", "dog"]]
