@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
@@ -17,8 +16,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lexigear.functions.vectors import literal, matrix, squared_distance, with_nearest
+from lexigear.operators import leaves as lv
 from lexigear.operators.blocks import SUMMED, summands, summed
 from lexigear.operators.features import FEATURES, as_matrix
+from lexigear.operators.xorshift import XorShift
 
 Centers = Sequence[Sequence[float]]
 
@@ -63,17 +64,19 @@ def kmeans_start(df: DataFrame, k: int, seed: int | None = None, column: str = F
 
     It reads the points several times, so persist ``df`` with vectors: arrays would be
     turned into vectors in each pass, which takes longer than the pass itself.
+    ``library_starts`` finds those of several ks in shared scans.
     """
     return np.asarray(kmeans_fit(df, k, seed, 0, column).clusterCenters(), dtype=float)
 
 
+def pack(df: DataFrame, column: str = FEATURES, label: str | None = None) -> DataFrame:
+    """The points as the scans of a sweep read them; persist it."""
+    return lv.pack(df, column, label)
+
+
 def _steps(column: pa.ListArray, width: int, centers: int) -> Iterator[np.ndarray]:
     """The points of a batch, as many at a time as the step allows."""
-    values = column.flatten()
-    points = values.to_numpy(zero_copy_only=False).astype(float, copy=False)
-    if column.null_count or len(points) != width * len(column) or not np.isfinite(points).all():
-        raise ValueError(f"features must be {width} finite numbers")
-    points = points.reshape(-1, width)
+    points = lv.checked(column, width)
     size = max(1, DISTANCES_PER_STEP // centers)
     for first in range(0, len(points), size):
         yield points[first : first + size]
@@ -103,7 +106,7 @@ def _costs(points: np.ndarray, factors: tuple[np.ndarray, np.ndarray]) -> np.nda
     return np.where(costs > 1e-12 * squares, costs, 0.0)
 
 
-def kmeans_starts(df: DataFrame, ks: Sequence[int], seed: int = 0, column: str = FEATURES, steps: int = 2) -> dict[int, np.ndarray]:
+def kmeans_starts(packed: DataFrame, ks: Sequence[int], seed: int = 0, steps: int = 2) -> dict[int, np.ndarray]:
     """Starting centers of every k by parallel k-means++, each scan shared by all ks.
 
     As in the library, a random point is followed by ``steps`` rounds, in each of which a
@@ -111,59 +114,144 @@ def kmeans_starts(df: DataFrame, ks: Sequence[int], seed: int = 0, column: str =
     distances to the candidates so far; the candidates, weighted by the points nearest to
     them, are reduced to ``k`` by k-means++ and up to 30 steps.  Fewer than ``k`` come back
     if there are no more different candidates.  Some ``5 k`` candidates reach the driver.
+    Draws follow the order of the rows, not that of the leaves.
     """
-    spark = df.sparkSession
-    points = df.select(column)
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        draw, best = np.random.default_rng((seed, 0, TaskContext.get().partitionId())), None
-        for batch in batches:
-            if batch.num_rows:
-                draws = draw.random(batch.num_rows)
-                at = int(draws.argmin())
-                if best is None or draws[at] < best[0]:
-                    best = (draws[at], batch.column(0)[at].as_py())
+        draw, best = None, None
+        for row, leaves in lv.unpacked(batches):
+            draw = draw or np.random.default_rng((seed, 0, row.column("part")[0].as_py()))
+            draws = draw.random(len(leaves.points))[lv.places(row)]
+            at = int(draws.argmin())
+            if best is None or draws[at] < best[0]:
+                best = (draws[at], leaves.points[at].tolist())
         if best is not None:
             yield pa.RecordBatch.from_arrays([pa.array([best[0]]), pa.array([best[1]], pa.list_(pa.float64()))], names=["draw", "point"])
 
-    first = points.mapInArrow(one, "draw double, point array<double>").orderBy("draw").head()
-    if first is None or first.point is None or None in first.point:
+    first = packed.select("part", "places", *lv.SCANNED).mapInArrow(one, "draw double, point array<double>").orderBy("draw").head()
+    if first is None:
         raise ValueError("K-Means needs points, and features of finite numbers")
     found = {k: np.array([first.point]) for k in ks}
-    width = len(first.point)
 
     for step in range(1, steps + 1):
-        shipped = spark.sparkContext.broadcast([_factors(c) for c in found.values()])
-        most = max(map(len, found.values()))
+        sums = _cost_sums(packed, list(found.values()))
+        odds = [2.0 * k / s if s > 0 else 0.0 for k, s in zip(found, sums)]
+        size = max(1, DISTANCES_PER_STEP // max(map(len, found.values())))
 
-        def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((len(shipped.value), 1))
-            for batch in batches:
-                for part in _steps(batch.column(0), width, most):
-                    sums[:, 0] += [_costs(part, f).sum() for f in shipped.value]
-            yield summands(sums)
+        def draws(row: pa.RecordBatch, held: dict) -> np.ndarray:
+            if "draw" not in held:
+                held["draw"] = np.random.default_rng((seed, step, row.column("part")[0].as_py()))
+            parts = [min(size, n - at) for n in row.column("sizes")[0].as_py() for at in range(0, n, size)]
+            return np.hstack([held["draw"].random((len(odds), n)) for n in parts])
 
-        sums = summed(points.mapInArrow(total, SUMMED), len(found), 1)[:, 0]
-        odds = [2.0 * k / s if s > 0 else 0.0 for k, s in zip(found, sums)]
+        more = _chosen(packed, list(found.values()), draws, odds)
+        for (k, centers), new in zip(found.items(), more):
+            found[k] = np.unique(np.vstack([centers, new]), axis=0)
 
-        def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            draw = np.random.default_rng((seed, step, TaskContext.get().partitionId()))
-            for batch in batches:
-                for part in _steps(batch.column(0), width, most):
-                    for i, (f, odd) in enumerate(zip(shipped.value, odds)):
-                        own = part[draw.random(len(part)) < odd * _costs(part, f)]
-                        yield pa.RecordBatch.from_arrays([pa.array([i] * len(own), pa.int32()), pa.array(own.tolist(), pa.list_(pa.float64()))], names=["i", "point"])
-
-        rows = points.mapInArrow(chosen, "i int, point array<double>").collect()
-        shipped.destroy()
-        for i, k in enumerate(found):
-            more = [r.point for r in rows if r.i == i]
-            found[k] = np.unique(np.vstack([found[k], *([more] if more else [])]), axis=0)
-
-    weights, ends = _shares(df, list(found.values()), column)[:, -1], _ends(list(found.values()))
+    weights, ends = _shares(packed, list(found.values()))[:, -1], _ends(list(found.values()))
     return {k: _reduced(c, weights[a:b], k, seed) for (k, c), a, b in zip(found.items(), ends, ends[1:])}
 
 
+def _each_cost(leaves: lv.Leaves, centers: Sequence[np.ndarray]) -> Iterator[np.ndarray]:
+    """The costs for each set of centers; those of the same set are found once."""
+    known, costs = None, None
+    for own in centers:
+        if known is None or known.shape != own.shape or (known != own).any():
+            known, costs = own, leaves.costs(own)
+        yield costs
+
+
+def _cost_sums(packed: DataFrame, centers: Sequence[np.ndarray]) -> np.ndarray:
+    """The sum of all squared distances to the nearest center, of several sets."""
+    shipped = packed.sparkSession.sparkContext.broadcast(list(centers))
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(shipped.value), 1))
+        for _, leaves in lv.unpacked(batches):
+            sums[:, 0] += [costs.sum() for costs in _each_cost(leaves, shipped.value)]
+        yield summands(sums)
+
+    sums = summed(packed.select(*lv.SCANNED).mapInArrow(total, SUMMED), len(centers), 1)[:, 0]
+    shipped.destroy()
+    return sums
+
+
+def _chosen(packed: DataFrame, centers: Sequence[np.ndarray], draws: Callable, odds: Sequence[float]) -> list[np.ndarray]:
+    """For each set of centers the points, in order, whose draw is below odds times cost.
+
+    ``draws(row, held)`` gives the draws of a chunk, for each set or for all, in the order of
+    its rows; ``held`` is kept from one chunk of a partition to the next.
+    """
+    shipped = packed.sparkSession.sparkContext.broadcast(list(centers))
+    width = centers[0].shape[1]
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for row, leaves in lv.unpacked(batches):
+            places, drawn = lv.places(row), draws(row, held)
+            for i, (costs, odd) in enumerate(zip(_each_cost(leaves, shipped.value), odds)):
+                own = np.flatnonzero(drawn[min(i, len(drawn) - 1)][places] < odd * costs)
+                own = own[places[own].argsort()]
+                part, chunk = (pa.array(np.full(len(own), row.column(name)[0].as_py(), np.int32)) for name in ("part", "chunk"))
+                points = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * width), pa.array(leaves.points[own].ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), i, np.int32)), part, chunk, pa.array(places[own]), points], names=["i", "part", "chunk", "at", "point"])
+
+    found = packed.select("part", "chunk", "places", *lv.SCANNED).mapInArrow(chosen, "i int, part int, chunk int, at int, point array<double>")
+    rows = sorted(found.collect(), key=lambda r: r[:4])
+    shipped.destroy()
+    return [np.array([r.point for r in rows if r.i == i], dtype=float).reshape(-1, width) for i in range(len(centers))]
+
+
+def library_starts(packed: DataFrame, ks: Sequence[int], seed: int, steps: int = 2) -> dict[int, np.ndarray]:
+    """``kmeans_start`` of every k with the same seed, each scan shared by all ks.
+
+    The same first point, the same draws for the same rows, and the library's own reduction
+    of the candidates.  One generator for each partition serves all ks, as the library seeds
+    it by step and partition alone.
+    """
+    spark = packed.sparkSession
+    number = XorShift(seed).int32()
+    size = F.aggregate("sizes", F.lit(0), lambda a, n: a + n)
+    places = packed.select("part", "chunk", F.explode(F.sequence(F.lit(0), size - 1)).alias("at"))
+    sample = list(places._jdf.javaRDD().takeSample(False, 1, number))
+    if not sample:
+        raise ValueError("K-Means needs points, and features of finite numbers")
+    part, chunk, at = (sample[0].getInt(i) for i in range(3))
+    row, leaves = next(lv.unpacked(packed.where((F.col("part") == part) & (F.col("chunk") == chunk)).toArrow().to_batches()))
+    first = leaves.points[lv.places(row) == at]
+    found = {k: first for k in ks}
+
+    for step in range(steps):
+        sums = _cost_sums(packed, list(found.values()))
+        odds = [2.0 * k / s if s > 0 else 0.0 for k, s in zip(found, sums)]
+
+        def draws(row: pa.RecordBatch, held: dict) -> list[np.ndarray]:
+            if "draw" not in held:
+                held["draw"] = XorShift(number ^ (step << 16) ^ row.column("part")[0].as_py())
+            return [held["draw"].random(sum(row.column("sizes")[0].as_py()))]
+
+        more = _chosen(packed, list(found.values()), draws, odds)
+        found = {k: np.vstack([c, new]) for (k, c), new in zip(found.items(), more)}
+
+    for k, c in found.items():
+        found[k] = c[np.sort(np.unique(c, axis=0, return_index=True)[1])]
+    weights, ends = _shares(packed, list(found.values()))[:, -1], _ends(list(found.values()))
+    return {k: c if len(c) <= k else _library_reduced(spark, c, weights[a:b], k) for (k, c), a, b in zip(found.items(), ends, ends[1:])}
+
+
+def _library_reduced(spark: SparkSession, candidates: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
+    """``k`` centers of weighted candidates, by the library's local k-means++."""
+    context = spark.sparkContext
+    mllib = context._jvm.org.apache.spark.mllib
+    points = context._gateway.new_array(mllib.clustering.VectorWithNorm, len(candidates))
+    counts = context._gateway.new_array(context._jvm.double, len(candidates))
+    for i, (c, n) in enumerate(zip(candidates.tolist(), weights.tolist())):
+        points[i] = mllib.clustering.VectorWithNorm(mllib.linalg.Vectors.parse(str(c)))
+        counts[i] = n
+    found = mllib.clustering.LocalKMeans.kMeansPlusPlus(0, points, counts, k, 30)
+    return np.array([list(c.vector().toArray()) for c in found], dtype=float)
+
+
 def _reduced(candidates: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
     """``k`` centers of weighted candidates, which are few."""
     if len(candidates) <= k:
@@ -185,38 +273,33 @@ def _reduced(candidates: np.ndarray, weights: np.ndarray, k: int, seed: int) ->
     return centers
 
 
-def _shares(df: DataFrame, centers: Sequence[np.ndarray], column: str) -> np.ndarray:
+def _shares(packed: DataFrame, centers: Sequence[np.ndarray]) -> np.ndarray:
     """Sums and counts of the points nearest to each center of several sets, from one scan."""
-    width, sizes, ends = centers[0].shape[1], [len(c) for c in centers], _ends(centers)
-    shipped = df.sparkSession.sparkContext.broadcast([_factors(c) for c in centers])
+    width, ends = centers[0].shape[1], _ends(centers)
+    shipped = packed.sparkSession.sparkContext.broadcast(list(centers))
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((ends[-1], width + 1))
-        for batch in batches:
-            for points in _steps(batch.column(0), width, max(sizes)):
-                dimensions = np.ascontiguousarray(points.T)
-                for factors, first, n in zip(shipped.value, ends, sizes):
-                    own = _nearest(points, factors)
-                    for j, x in enumerate(dimensions):
-                        total[first : first + n, j] += np.bincount(own, x, n)
-                    total[first : first + n, width] += np.bincount(own, minlength=n)
+        for _, leaves in lv.unpacked(batches):
+            for own, first, last in zip(shipped.value, ends, ends[1:]):
+                total[first:last] += leaves.shares(own)
         yield summands(total)
 
-    out = summed(df.select(column).mapInArrow(share, SUMMED), int(ends[-1]), width + 1)
+    out = summed(packed.select(*lv.SCANNED).mapInArrow(share, SUMMED), int(ends[-1]), width + 1)
     shipped.destroy()
     return out
 
 
-def kmeans_step(df: DataFrame, centers: Mapping[int, np.ndarray], column: str = FEATURES) -> tuple[dict, set]:
+def kmeans_step(packed: DataFrame, centers: Mapping[int, np.ndarray]) -> tuple[dict, set]:
     """One assign-and-average step of every k, in one scan of the points; and the ks whose
     centers have all moved by ``TOL`` at most, which are settled.
 
     The step and the end are those of the library's ``KMeans``: a center without points
     stays where it is, and a null or a number that is not finite is an error.  A task
-    multiplies its points with the centers of each k and sends one sum per center.
+    sends one sum per center.
     """
     found, settled, first = {}, set(), 0
-    shares = _shares(df, list(centers.values()), column)
+    shares = _shares(packed, list(centers.values()))
     for k, old in centers.items():
         own = shares[first : first + len(old)]
         first += len(old)
@@ -228,6 +311,93 @@ def kmeans_step(df: DataFrame, centers: Mapping[int, np.ndarray], column: str =
     return found, settled
 
 
+# Below all buckets of distances: that of points which are their center.
+NO_DISTANCE = -(1 << 20)
+
+
+def _buckets(distances: np.ndarray) -> np.ndarray:
+    """Sixteen buckets for each doubling of a distance."""
+    out, there = np.full(len(distances), NO_DISTANCE, np.int64), distances > 0
+    out[there] = np.floor(np.log2(distances[there]) * 16)
+    return out
+
+
+def distance_sums(packed: DataFrame, models: Mapping[int, np.ndarray]) -> DataFrame:
+    """``k, bucket, n, total``: number and sum of the distances of each size, from one scan."""
+    shipped = packed.sparkSession.sparkContext.broadcast({k: np.asarray(c, dtype=float) for k, c in models.items()})
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict = {}
+        for _, leaves in lv.unpacked(batches):
+            for k, centers in shipped.value.items():
+                own = leaves.clusters(centers)
+                for first in range(0, len(own), DISTANCES_PER_STEP):
+                    part = slice(first, first + DISTANCES_PER_STEP)
+                    far = np.sqrt(((leaves.points[part] - centers[own[part]]) ** 2).sum(axis=1))
+                    buckets, at = np.unique(_buckets(far), return_inverse=True)
+                    for bucket, n, total in zip(buckets.tolist(), np.bincount(at).tolist(), np.bincount(at, far).tolist()):
+                        n_before, before = found.get((k, bucket), (0, 0.0))
+                        found[k, bucket] = (n_before + n, before + total)
+        rows = [(*key, *value) for key, value in found.items()]
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.float64())
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["k", "bucket", "n", "total"])
+
+    parts = packed.select(*lv.SCANNED).mapInArrow(sums, "k int, bucket int, n long, total double")
+    return parts.groupBy("k", "bucket").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
+def far_of_all(df: DataFrame, models: Mapping[int, np.ndarray], near: Mapping[int, int], column: str = FEATURES) -> Column:
+    """An array of ``k, prediction, distance`` of the models for which a row is far: in the
+    bucket ``near`` has for the k, or above."""
+    known = []
+    for k, found in models.items():
+        centers = np.asarray(found, dtype=float)
+        # Somewhat less, as rounding must not drop a row of the bucket.
+        known.append((k, centers, _factors(centers), 0.0 if near[k] == NO_DISTANCE else 2.0 ** (near[k] / 16) * (1 - 1e-9)))
+    shipped = df.sparkSession.sparkContext.broadcast(known)
+    width, most = known[0][1].shape[1], max(len(c) for _, c, *_ in known)
+
+    @F.arrow_udf("array<struct<k:int,prediction:int,distance:double>>")
+    def far(features: pa.Array) -> pa.Array:
+        rows, entries, first = [], [], 0
+        for points in _steps(features, width, most):
+            for k, centers, factors, least in shipped.value:
+                own = _nearest(points, factors)
+                distance = np.sqrt(((points - centers[own]) ** 2).sum(axis=1))
+                at = np.flatnonzero(distance >= least)
+                rows.append(at + first)
+                entries.append((np.full(len(at), k), own[at], distance[at]))
+            first += len(points)
+        rows = np.concatenate(rows) if rows else np.empty(0, np.int64)
+        by = rows.argsort(kind="stable")
+        k, own, distance = (np.concatenate(x)[by] for x in zip(*entries)) if entries else np.empty((3, 0))
+        parts = [pa.array(k.astype(np.int32)), pa.array(own.astype(np.int32)), pa.array(distance)]
+        ends = np.searchsorted(rows[by], np.arange(len(features) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(parts, names=["k", "prediction", "distance"]))
+
+    # Else the test for empty arrays, pushed down, computes them twice.
+    return far.asNondeterministic()(F.col(column).cast("array<double>"))
+
+
+def clusters_by_label(packed: DataFrame, models: Mapping[int, np.ndarray], label: str = "label") -> DataFrame:
+    """``k, prediction``, the label and ``n``, the number of points, of every model from one
+    scan of points packed with labels."""
+    shipped = packed.sparkSession.sparkContext.broadcast({k: np.asarray(c, dtype=float) for k, c in models.items()})
+    kind = packed.schema["labels"].dataType.elementType
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, leaves in lv.unpacked(batches):
+            labels = row.column("labels").flatten()
+            codes = np.frombuffer(row.column("codes")[0].as_buffer(), np.int32)
+            for k, centers in shipped.value.items():
+                pairs, n = np.unique(leaves.clusters(centers) * len(labels) + codes, return_counts=True)
+                own, at = np.divmod(pairs, len(labels))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), k, np.int32)), pa.array(own.astype(np.int32)), labels.take(pa.array(at)), pa.array(n)], names=["k", "prediction", "label", "n"])
+
+    found = packed.select("labels", "codes", *lv.SCANNED).mapInArrow(counts, f"k int, prediction int, label {kind.simpleString()}, n long")
+    return found.groupBy("k", "prediction", F.col("label").alias(label)).agg(F.sum("n").alias("n"))
+
+
 def nearest_of_all(df: DataFrame, models: Sequence, column: str = FEATURES) -> Column:
     """``prediction`` and ``distance``, arrays with the nearest center of each model, for one
     scan; null without features."""
@@ -361,7 +531,11 @@ def cluster_entropy(scored: DataFrame, label: str = "label") -> DataFrame:
 
 def entropy_by(scored: DataFrame, keys: list[str], label: str = "label") -> DataFrame:
     """``cluster_entropy`` of each group of ``keys``, such as several models' rows."""
-    pairs = scored.groupBy(*keys, "prediction", label).agg(F.count("*").alias("n"))
+    return entropy_of(scored.groupBy(*keys, "prediction", label).agg(F.count("*").alias("n")), keys)
+
+
+def entropy_of(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """``entropy_by`` of numbers ``n`` by keys, ``prediction`` and label."""
     # sum(-p ln p) over one cluster is ln N - sum(n ln n) / N.
     clusters = pairs.groupBy(*keys, "prediction").agg(
         F.sum("n").alias("size"), F.sum(F.col("n") * F.log("n")).alias("n_log_n")

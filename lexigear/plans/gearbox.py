@@ -35,21 +35,6 @@ def prepare(readings: DataFrame, sensors: list[str]) -> DataFrame:
     return standardize(assemble(readings, sensors))
 
 
-def scored_by_all(data: DataFrame, models: dict, near: dict | None = None) -> Column:
-    """An array of ``k, prediction, distance`` of every model, one scan for all of them.
-
-    ``data`` must come from ``with_predictions``.  With ``near`` (a bucket of distances for
-    each k) only entries in that bucket or above it.
-    """
-    entries = []
-    for k in models:
-        entries.append(F.struct(F.lit(k).alias("k"), F.col(f"_p{k}").alias("prediction"), F.col(f"_d{k}").alias("distance")))
-    if near is None:
-        return F.array(*entries)
-    least = F.create_map(*[F.lit(x) for k in models for x in (k, near[k])])
-    return F.filter(F.array(*entries), lambda e: _bucket(e["distance"]) >= least[e["k"]])
-
-
 def with_predictions(data: DataFrame, models: dict) -> DataFrame:
     """Each model's cluster, and the distance to its center, in columns of their own."""
     found = data.withColumn("_near", cl.nearest_of_all(data, list(models.values())))
@@ -57,43 +42,38 @@ def with_predictions(data: DataFrame, models: dict) -> DataFrame:
     return found.withColumns(each).drop("_near")
 
 
-def _bucket(distance: Column) -> Column:
-    """Sixteen buckets for each doubling of a distance."""
-    return F.when(distance > 0, F.floor(F.log2(distance) * 16)).otherwise(F.when(distance.isNotNull(), F.lit(-(1 << 20)))).cast("int")
-
-
-def fit_all(data: DataFrame, ks: Iterable[int], seed: int | None = None, max_iter: int = cl.MAX_ITER) -> tuple[dict, dict]:
+def fit_all(
+    data: DataFrame, ks: Iterable[int], seed: int | None = None, max_iter: int = cl.MAX_ITER, packed: DataFrame | None = None,
+) -> tuple[dict, dict]:
     """The centers of all ks, and the seconds each fit took.
 
     With a ``seed`` every k begins as the library's ``KMeans`` with that seed, and takes the
-    same steps to the same end.  Without one the scans for the starts are shared as well.
-    The steps of all ks that are not settled share a scan, whose seconds count for each by
-    its number of centers.  Persist ``data``.
+    same steps to the same end.  The scans for the starts are shared, with a seed or without,
+    and the steps of all ks that are not settled share a scan.  Its seconds count for each k
+    by its number of centers.  Scans read ``packed`` points (``clusters.pack``), which are
+    made of ``data`` unless they are given.
     """
     ks, models, seconds = list(ks), {}, {}
-    if seed is None and ks:
-        start = time.perf_counter()
-        models = cl.kmeans_starts(data, ks)
-        spent = (time.perf_counter() - start) / sum(ks)
-        seconds = {k: k * spent for k in ks}
-    elif ks:
-        vectors = cl.with_vectors(data).persist(StorageLevel.MEMORY_AND_DISK)
-        for k in ks:
-            start = time.perf_counter()
-            models[k] = cl.kmeans_start(vectors, k, seed)
-            seconds[k] = time.perf_counter() - start
-        vectors.unpersist()
+    if not ks:
+        return models, seconds
+    points = cl.pack(data).persist(StorageLevel.MEMORY_AND_DISK) if packed is None else packed
+    start = time.perf_counter()
+    models = cl.kmeans_starts(points, ks) if seed is None else cl.library_starts(points, ks, seed)
+    spent = (time.perf_counter() - start) / sum(ks)
+    seconds = {k: k * spent for k in ks}
     open_ = dict(models)
     for _ in range(max_iter):
         if not open_:
             break
         start = time.perf_counter()
-        moved, settled = cl.kmeans_step(data, open_)
+        moved, settled = cl.kmeans_step(points, open_)
         spent = (time.perf_counter() - start) / sum(open_)
         for k in open_:
             seconds[k] += k * spent
         models |= moved
         open_ = {k: c for k, c in moved.items() if k not in settled}
+    if packed is None:
+        points.unpersist()
     return models, seconds
 
 
@@ -104,7 +84,7 @@ def sweep_k(
 ) -> Sweep:
     """Fit every k over one persisted frame, and score all of them in two scans.
 
-    The first scan sums the distances of each k by size.  From the counts follows how far
+    The first scan, of packed points, sums the distances of each k by size.  From the counts follows how far
     the largest distances reach down; the second scan keeps the rows above that alone, and
     ranks them.  They yield the report, the threshold and the number of rows above it.
     ``runtime_seconds`` is a fit, with its share of the scans of all fits, and its even share
@@ -113,24 +93,23 @@ def sweep_k(
     spark = data.sparkSession
     kept = keep if keep is not None else [c for c in data.columns if c not in (FEATURES, key)]
     data = data.select(key, *kept, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
-    models, seconds = fit_all(data, ks, seed, max_iter)
+    packed = cl.pack(data).persist(StorageLevel.MEMORY_AND_DISK)
+    models, seconds = fit_all(data, ks, seed, max_iter, packed)
     if not models:
         data.unpersist()
         raise ValueError("a sweep needs at least one k")
     start = time.perf_counter()
     largest_n = max(top_n, threshold_rank)
-    found = with_predictions(data, models)
-    each = found.select(F.inline(scored_by_all(found, models)))
-    sums = each.groupBy("k", _bucket(F.col("distance")).alias("bucket")).agg(F.count("*").alias("n"), F.sum("distance").alias("total")).collect()
+    sums = cl.distance_sums(packed, models).collect()
+    packed.unpersist()
     near = {}
     for k in models:
         above = 0
-        for bucket, n in sorted(((r.bucket, r.n) for r in sums if r.k == k and r.bucket is not None), reverse=True):
+        for bucket, n in sorted(((r.bucket, r.n) for r in sums if r.k == k), reverse=True):
             near[k], above = bucket, above + n
             if above >= largest_n:
                 break
-        near.setdefault(k, 0)
-    far = found.select(key, *kept, F.inline(scored_by_all(found, models, near)))
+    far = data.withColumn("_far", cl.far_of_all(data, models, near)).select(key, *kept, F.inline("_far"))
     order = W.partitionBy("k").orderBy(F.desc("distance"), key)
     report = far.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= largest_n)
     ranked: dict[int, list] = {k: [] for k in models}
@@ -141,8 +120,8 @@ def sweep_k(
     summary, tops = [], []
     for k, rows in ranked.items():
         counted = [r for r in sums if r.k == k]
-        total, measured = sum(r.n for r in counted), sum(r.n for r in counted if r.bucket is not None)
-        mean = sum(r.total for r in counted if r.bucket is not None) / measured if measured else None
+        total = sum(r.n for r in counted)
+        mean = sum(r.total for r in counted) / total
         threshold = rows[:threshold_rank][-1].distance if rows else None
         above = sum(r.distance > threshold for r in rows[:threshold_rank])
         percent = 100.0 * above / total if total else 0.0
@@ -158,21 +137,18 @@ def sweep_k(
 
 def sweep_entropy(data: DataFrame, ks: Iterable[int], label: str = "label") -> DataFrame:
     """``k, entropy`` of fits with library defaults, scored in one scan."""
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    models, _ = fit_all(data, ks)
-    found = with_predictions(data, models)
-    pairs = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_p{k}").alias("prediction")) for k in models])
-    out = cl.entropy_by(found.select(label, F.inline(pairs)), ["k"], label)
-    rows = out.collect()
-    data.unpersist()
+    packed = cl.pack(data, label=label).persist(StorageLevel.MEMORY_AND_DISK)
+    models, _ = fit_all(data, ks, packed=packed)
+    rows = cl.entropy_of(cl.clusters_by_label(packed, models, label), ["k"]).collect()
+    packed.unpersist()
     return data.sparkSession.createDataFrame(rows, "k int, entropy double")
 
 
 def sweep_scores(data: DataFrame, ks: Iterable[int]) -> DataFrame:
     """``k, avg_distance`` of fits with library defaults, scored in one scan."""
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    models, _ = fit_all(data, ks)
-    found = with_predictions(data, models)
-    rows = found.select(F.inline(scored_by_all(found, models))).groupBy("k").agg(F.avg("distance").alias("avg_distance")).collect()
-    data.unpersist()
+    packed = cl.pack(data).persist(StorageLevel.MEMORY_AND_DISK)
+    models, _ = fit_all(data, ks, packed=packed)
+    sums = cl.distance_sums(packed, models)
+    rows = sums.groupBy("k").agg((F.sum("total") / F.sum("n")).alias("avg_distance")).collect()
+    packed.unpersist()
     return data.sparkSession.createDataFrame(rows, "k int, avg_distance double")
