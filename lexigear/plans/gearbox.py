@@ -15,6 +15,10 @@ from lexigear.operators import clusters as cl
 from lexigear.operators import outliers as ol
 from lexigear.operators.features import FEATURES, assemble, standardize
 
+# Scans read what is kept from the first row to the last; in memory it would fill the heap of
+# any executor, and be read from disk beyond that anyway.
+KEPT = StorageLevel.DISK_ONLY
+
 SUMMARY_SCHEMA = (
     "k int, avg_distance double, threshold double, total long, anomalies long, "
     "percent double, runtime_seconds double"
@@ -56,7 +60,7 @@ def fit_all(
     ks, models, seconds = list(ks), {}, {}
     if not ks:
         return models, seconds
-    points = cl.pack(data).persist(StorageLevel.MEMORY_AND_DISK) if packed is None else packed
+    points = cl.pack(data).persist(KEPT) if packed is None else packed
     start = time.perf_counter()
     models = cl.kmeans_starts(points, ks) if seed is None else cl.library_starts(points, ks, seed)
     spent = (time.perf_counter() - start) / sum(ks)
@@ -92,8 +96,8 @@ def sweep_k(
     """
     spark = data.sparkSession
     kept = keep if keep is not None else [c for c in data.columns if c not in (FEATURES, key)]
-    data = data.select(key, *kept, FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
-    packed = cl.pack(data).persist(StorageLevel.MEMORY_AND_DISK)
+    data = data.select(key, *kept, FEATURES).persist(KEPT)
+    packed = cl.pack(data).persist(KEPT)
     models, seconds = fit_all(data, ks, seed, max_iter, packed)
     if not models:
         data.unpersist()
@@ -137,7 +141,7 @@ def sweep_k(
 
 def sweep_entropy(data: DataFrame, ks: Iterable[int], label: str = "label") -> DataFrame:
     """``k, entropy`` of fits with library defaults, scored in one scan."""
-    packed = cl.pack(data, label=label).persist(StorageLevel.MEMORY_AND_DISK)
+    packed = cl.pack(data, label=label).persist(KEPT)
     models, _ = fit_all(data, ks, packed=packed)
     rows = cl.entropy_of(cl.clusters_by_label(packed, models, label), ["k"]).collect()
     packed.unpersist()
@@ -146,7 +150,7 @@ def sweep_entropy(data: DataFrame, ks: Iterable[int], label: str = "label") -> D
 
 def sweep_scores(data: DataFrame, ks: Iterable[int]) -> DataFrame:
     """``k, avg_distance`` of fits with library defaults, scored in one scan."""
-    packed = cl.pack(data).persist(StorageLevel.MEMORY_AND_DISK)
+    packed = cl.pack(data).persist(KEPT)
     models, _ = fit_all(data, ks, packed=packed)
     sums = cl.distance_sums(packed, models)
     rows = sums.groupBy("k").agg((F.sum("total") / F.sum("n")).alias("avg_distance")).collect()
