@@ -18,7 +18,7 @@ from lexigear.operators import search as se
 from lexigear.operators import tokens as tk
 from lexigear.operators import weighting as wt
 from lexigear.operators.decomposition import LsaModel, factorize, lsa_fit, project
-from lexigear.shared import through_table
+from lexigear.shared import is_table, through_table
 
 # The default parameter grid.
 GRID_NUM_FREQ = (5000, 10000, 20000)
@@ -35,16 +35,20 @@ def fit(
     """Decompose documents with token arrays (``doc_id, title, features``).
 
     The documents are tokenized once: their tokens are persisted until the weighted rows
-    are, and these while the solver runs.  With ``keep`` the document factors are written
+    are, unless they are read from a table as they are, and the rows while the solver runs.
+    Both go to disk: in memory they would fill the heap of any executor, and each pass
+    reads them once from the first row to the last.  With ``keep`` the document factors are written
     to the shared folder, so that any number of searches read them instead of projecting
     the documents anew, and nothing stays persisted.  ``tokenizer`` and ``lexicon`` are
     kept for queries; ``options`` go to the solver.
     """
-    tokens = docs.persist(StorageLevel.MEMORY_AND_DISK)
+    computed = not is_table(docs)
+    tokens = docs.persist(StorageLevel.DISK_ONLY) if computed else docs
     vocab = wt.Vocabulary.fetch(wt.vocabulary(tokens, num_freq))
-    matrix = wt.doc_term_matrix(tokens, vocab).drop("features").persist(StorageLevel.MEMORY_AND_DISK)
+    matrix = wt.doc_term_matrix(tokens, vocab).drop("features").persist(StorageLevel.DISK_ONLY)
     matrix.count()
-    tokens.unpersist()
+    if computed:
+        tokens.unpersist()
     model = replace(lsa_fit(matrix, vocab, k, **options), tokenizer=tokenizer, lexicon=lexicon)
     if keep:
         model = replace(model, documents=through_table(model.documents, "factors"))

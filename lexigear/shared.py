@@ -26,14 +26,19 @@ def through_table(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage with a table that outlives lost executors, and lets later
-    passes read only the columns they need.
+    passes read only the columns they need.  Its compression is that which takes least disk.
     """
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def is_table(df: DataFrame) -> bool:
+    """Whether ``df`` reads files and computes nothing, so that a copy would save no work."""
+    return df._jdf.queryExecution().optimizedPlan().getClass().getSimpleName() == "LogicalRelation"
+
+
 def scan_bytes(scan: DataFrame) -> int:
     """The size that the optimizer expects of a scan: that of its files."""
     return int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

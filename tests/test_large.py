@@ -3,13 +3,14 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lexigear import shared
 from lexigear.operators import clusters as cl
 from lexigear.operators import decomposition as dc
 from lexigear.operators import search as se
 from lexigear.operators import tokens as tk
-from lexigear.plans import gearbox
+from lexigear.plans import gearbox, lsa
 
 
 def test_large_scan_is_dealt_by_bytes(spark, folder, monkeypatch):
@@ -139,3 +140,36 @@ def test_lemmas_of_odd_rows(spark, max_map):
     alone = ["cat", "x"] if max_map else ["cats", "x"]  # a row without key joins nothing
     wanted = [(1, ["wolf", "x", None, "cat"]), (1, ["cat"]), (2, []), (3, []), (4, ["x"]), (None, alone)]
     assert found == sorted(map(str, wanted * 30))
+
+
+def kept_frames(spark):
+    """(bytes in memory, bytes on disk) of each persisted frame by its id."""
+    return {r.id(): (r.memSize(), r.diskSize()) for r in spark._jsc.sc().getRDDStorageInfo()}
+
+
+def test_fits_keep_rows_on_disk(spark, folder):
+    """One copy of the rows at most, which no executor holds in memory."""
+    rows = [(i, f"t{i}", [f"w{j % 17}" for j in range(i % 40)]) for i in range(200)]
+    computed = spark.createDataFrame(rows, "doc_id long, title string, features array<string>")
+    computed.write.parquet(folder)
+    found = []
+    for docs in (spark.read.parquet(folder), computed):
+        before = kept_frames(spark)
+        model = lsa.fit(docs, 10, 3)
+        kept = [sizes for i, sizes in kept_frames(spark).items() if i not in before]
+        assert len(kept) == 1 and kept[0][0] == 0 < kept[0][1]
+        found.append(model.sigma)
+    np.testing.assert_allclose(*found)
+    assert shared.is_table(spark.read.parquet(folder)) and not shared.is_table(computed)
+    assert not shared.is_table(spark.read.parquet(folder).withColumn("title", F.upper("title")))
+
+
+def test_sweeps_keep_points_on_disk(spark, monkeypatch):
+    _, data = blobs(spark)
+    data.count()
+    before, kept, step = kept_frames(spark), [], cl.kmeans_step
+    monkeypatch.setattr(cl, "kmeans_step", lambda *a: kept.append(kept_frames(spark)) or step(*a))
+    gearbox.sweep_entropy(data.select("label", "features"), (3,))
+    sizes = [sizes for i, sizes in kept[0].items() if i not in before]
+    assert len(sizes) == 1 and sizes[0][0] == 0 < sizes[0][1]
+    assert set(kept_frames(spark)) <= set(before)
