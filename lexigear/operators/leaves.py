@@ -155,7 +155,7 @@ def places(row: pa.RecordBatch) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Near:
-    """Points of some leaves and the centers that may be nearest to them.
+    """Points of some leaves, or each of them as a leaf, and the centers that may be nearest.
 
     ``at`` (leaves x points) are the places of the points, the last one repeated in a leaf
     that is not full; ``real`` tells which are no repeats.  ``centers`` (leaves x centers)
@@ -209,10 +209,23 @@ class Leaves:
         equal distances go to the lowest number."""
         squares, found = (centers * centers).sum(axis=1), kept[which].sum(axis=1)
         starts, factors = self.ends - self.counts, np.ascontiguousarray(-2.0 * centers.T)
+        # Where most centers remain, all of them are one product, with each point for itself.
+        most = (4 * found > len(centers)) & (found > FEW)
+        every = np.isin(np.arange(len(self.ends)), which[most])
+        single = np.flatnonzero(np.repeat(every, self.counts))
+        size = max(1, DISTANCES_PER_STEP // max(len(centers), self.points.shape[1]))
+        for first in range(0, len(single), size):
+            place = single[first : first + size, None]
+            points = self.points[place[:, 0]]
+            ranks = points @ factors
+            ranks += squares
+            own = ranks.argmin(axis=1)[:, None]
+            listed = np.broadcast_to(np.arange(len(centers)), ranks.shape)
+            yield Near(place, np.ones(place.shape, bool), points[:, None, :], listed, own, np.take_along_axis(ranks, own, 1))
+        which, found = which[~most], found[~most]
         for m in np.unique(found):
             leaves = which[found == m]
-            most = len(centers) if 4 * m > len(centers) else int(m)
-            size = max(1, DISTANCES_PER_STEP // (LEAF * max(most, self.points.shape[1])))
+            size = max(1, DISTANCES_PER_STEP // (LEAF * max(int(m), self.points.shape[1])))
             for first in range(0, len(leaves), size):
                 some = leaves[first : first + size]
                 listed = np.nonzero(kept[some])[1].reshape(-1, m)
@@ -220,18 +233,10 @@ class Leaves:
                 real = place < self.ends[some, None]
                 place = np.minimum(place, self.ends[some, None] - 1)
                 points = self.points[place]
-                if 4 * m > len(centers) and m > FEW:
-                    # Most centers remain: all of them are one product with fewer copies.
-                    listed = np.broadcast_to(np.arange(len(centers)), (len(some), len(centers)))
-                    ranks = (points.reshape(-1, points.shape[2]) @ factors + squares).reshape(*place.shape, -1)
-                else:
-                    ranks = points @ (-2.0 * centers[listed]).transpose(0, 2, 1)
-                    ranks += squares[listed][:, None, :]
-                if m == 1:
-                    yield Near(place, real, points, listed, np.zeros(place.shape, np.int64), ranks[:, :, 0])
-                else:
-                    own = ranks.argmin(axis=2)
-                    yield Near(place, real, points, listed, own, np.take_along_axis(ranks, own[:, :, None], 2)[:, :, 0])
+                ranks = points @ (-2.0 * centers[listed]).transpose(0, 2, 1)
+                ranks += squares[listed][:, None, :]
+                own = ranks.argmin(axis=2)
+                yield Near(place, real, points, listed, own, np.take_along_axis(ranks, own[:, :, None], 2)[:, :, 0])
 
     def shares(self, centers: np.ndarray) -> np.ndarray:
         """Sums and counts of the points nearest to each center."""
